@@ -92,11 +92,10 @@ def is_valid_url(url) -> Column:
 
 def normalise(url) -> Column:
     """Drop fragment, unmangle a query that starts with '&', lower scheme and host, NULL if invalid."""
-    u = strip_fragment(url)
-    u = F.when(~u.contains("?"), F.regexp_replace(u, r"^([^&]*)&", "$1?")).otherwise(u)
-    origin = F.regexp_extract(u, ORIGIN_RE, 1)
-    u = F.concat(F.lower(origin), F.substring(u, F.length(origin) + 1, 1 << 30))
-    return F.when(is_valid_url(u), u)
+    u = F.regexp_replace(strip_fragment(url), r"^([^?&]*)&([^?]*)$", "$1?$2")
+    lowered = F.concat(F.lower(F.regexp_extract(u, ORIGIN_RE, 1)),
+                       F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(.*)$", 1))
+    return F.when(is_valid_url(u), lowered)
 
 
 def url_id(url) -> Column:
@@ -163,6 +162,16 @@ def same_domain(src_url, url) -> Column:
     return F.coalesce(domain(src_url) == domain(url), F.lit(False))
 
 
+def materialize(df, name: str, expr: Column):
+    """Add ``expr`` as column ``name`` through a one-element generator.
+
+    A generator output is an attribute: later filters reference it instead of having the
+    (long) expression substituted into every predicate by filter push-down, which keeps the
+    generated code small enough for whole-stage codegen.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 def chain(*predicates: Column) -> Column:
     """Conjunction of filter predicates; cheap ones should come first."""
     return reduce(lambda a, b: a & b, predicates)

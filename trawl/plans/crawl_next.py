@@ -17,20 +17,13 @@ from pyspark.sql import functions as F
 from trawl.functions import schedule as S
 from trawl.functions import urls as U
 from trawl.operators.parse import extract_links
+from trawl.operators.urlfilter import filter_chain
 
 
 def filter_links(links: DataFrame, epsilon: float = 1.0, deny: DataFrame | None = None,
                  target_col: str = "target", source_md: Column | None = None) -> DataFrame:
     """Normalise then apply the chain; returns the links with the normalised ``url``."""
-    out = links.withColumn("url", U.normalise(target_col))
-    out = out.filter(F.col("url").isNotNull()
-                     & U.basic_filter("url")
-                     & U.regex_filter("url")
-                     & U.gz_sitemap_keep("url", source_md)
-                     & U.epsilon_keep("url", epsilon))
-    if deny is not None:
-        out = out.join(deny.select("url").distinct(), "url", "left_anti")
-    return out
+    return filter_chain(links, target_col=target_col, epsilon=epsilon, source_md=source_md, denylist=deny)
 
 
 def crawl_next(pages: DataFrame, relevance: Column | None = None, epsilon: float = 1.0,

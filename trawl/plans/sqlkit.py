@@ -65,11 +65,10 @@ def is_valid(u: str) -> str:
 
 
 def normalise(u: str) -> str:
-    s = strip_fragment(u)
-    s = f"(CASE WHEN NOT contains({s}, '?') THEN regexp_replace({s}, '^([^&]*)&', '\\1?') ELSE {s} END)"
-    origin = f"regexp_extract({s}, {lit(U.ORIGIN_RE)}, 1)"
-    s = f"(lower({origin}) || substr({s}, length({origin}) + 1))"
-    return f"(CASE WHEN {is_valid(s)} THEN {s} END)"
+    s = f"regexp_replace({strip_fragment(u)}, '^([^?&]*)&([^?]*)$', '\\1?\\2')"
+    low = (f"(lower(regexp_extract({s}, {lit(U.ORIGIN_RE)}, 1)) || "
+           f"regexp_extract({s}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(.*)$', 1))")
+    return f"(CASE WHEN {is_valid(s)} THEN {low} END)"
 
 
 def path_of(u: str) -> str:
