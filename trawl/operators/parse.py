@@ -185,3 +185,100 @@ def on_sitemap(md: Column) -> Column:
 def sub_documents(df: DataFrame, docs_col: str = "documents") -> DataFrame:
     """P20: one row per document found in a page."""
     return df.withColumn("document", F.explode(docs_col)).drop(docs_col)
+
+
+# Metadata extraction rules per output key, in priority order.
+# ("text", element): text of the first such element;
+# ("attr", element or "*", match attribute, match value, output attribute): values of all matches.
+META_RULES = {
+    "canonical": [("attr", "*", "rel", "canonical", "href")],
+    "parse.description": [("attr", "meta", "name", "description", "content"),
+                          ("attr", "meta", "name", "Description", "content"),
+                          ("attr", "meta", "name", "dc:description", "content"),
+                          ("attr", "meta", "property", "og:description", "content")],
+    "parse.title": [("text", "title"),
+                    ("attr", "meta", "name", "title", "content"),
+                    ("attr", "meta", "name", "dc:title", "content"),
+                    ("attr", "meta", "property", "og:title", "content"),
+                    ("text", "h1")],
+    "parse.keywords": [("attr", "meta", "name", "keywords", "content"),
+                       ("attr", "meta", "name", "meta:keyword", "content"),
+                       ("attr", "meta", "name", "dc:subject", "content")],
+    "parse.pubdate": [("attr", "*", "property", "article:published_time", "content"),
+                      ("attr", "*", "itemprop", "datePublished", "datetime"),
+                      ("attr", "*", "itemprop", "datePublished", "content"),
+                      ("attr", "*", "name", "OriginalPublicationDate", "content"),
+                      ("attr", "*", "property", "og:published_time", "content"),
+                      ("attr", "*", "name", "article_date_original", "content"),
+                      ("attr", "*", "name", "publication_date", "content"),
+                      ("attr", "*", "name", "publish_date", "content"),
+                      ("attr", "*", "name", "PublishDate", "content"),
+                      ("attr", "*", "name", "sailthru.date", "content"),
+                      ("attr", "*", "pubdate", "pubdate", "datetime")],
+    "parse.feedlink": [("attr", "link", "type", "application/rss+xml", "href"),
+                       ("attr", "link", "type", "application/atom+xml", "href")],
+    "parse.meta.language": [("attr", "meta", "name", "language", "content"),
+                            ("attr", "meta", "name", "Language", "content"),
+                            ("attr", "meta", "name", "LANGUAGE", "content"),
+                            ("attr", "meta", "name", "dc.language", "content"),
+                            ("attr", "meta", "name", "dc.Language", "content"),
+                            ("attr", "meta", "name", "DC.LANGUAGE", "content"),
+                            ("attr", "meta", "http-equiv", "content-language", "content"),
+                            ("attr", "meta", "http-equiv", "Content-Language", "content"),
+                            ("attr", "meta", "http-equiv", "CONTENT-LANGUAGE", "content")],
+    "parse.meta.author": [("attr", "meta", "name", "author", "content"),
+                          ("attr", "meta", "name", "Author", "content"),
+                          ("attr", "meta", "name", "AUTHOR", "content")],
+    "parse.meta.copyright": [("attr", "meta", "name", "copyright", "content"),
+                             ("attr", "meta", "name", "Copyright", "content"),
+                             ("attr", "meta", "name", "COPYRIGHT", "content")],
+    "parse.license": [("attr", "*", "rel", "license", "href"),
+                      ("attr", "*", "rel", "License", "href"),
+                      ("attr", "*", "rel", "LICENSE", "href"),
+                      ("attr", "*", "rel", "cc:license", "href"),
+                      ("attr", "*", "rel", "cc:License", "href"),
+                      ("attr", "*", "rel", "CC:LICENSE", "href"),
+                      ("attr", "meta", "name", "dc.license", "content"),
+                      ("attr", "meta", "name", "dc.License", "content"),
+                      ("attr", "meta", "name", "DC.LICENSE", "content")],
+}
+SPLIT_KEYS = ["parse.keywords"]
+DEDUP_KEYS = ["parse.feedlink", "parse.meta.language", "parse.meta.author", "parse.meta.copyright", "parse.license"]
+
+
+def tag_pattern(element: str) -> str:
+    """Opening tags of ``element`` ('*' = any element) with attributes."""
+    name = r"[a-zA-Z][a-zA-Z0-9]*" if element == "*" else element
+    return r"(?is)<" + name + r"\s[^>]*>"
+
+
+def text_pattern(element: str) -> str:
+    return r"(?is)<" + element + r"(?:\s[^>]*)?>(.*?)</" + element + r"\s*>"
+
+
+def rule_values(rule, html_col: str = "html") -> Column:
+    """Values one rule yields for a page (possibly empty array)."""
+    if rule[0] == "text":
+        texts = F.regexp_extract_all(F.col(html_col), F.lit(text_pattern(rule[1])), 1)
+        return F.transform(F.slice(texts, 1, 1), lambda t: H.strip_tags(t))
+    _, element, match_attr, match_value, out_attr = rule
+    tags = F.regexp_extract_all(F.col(html_col), F.lit(tag_pattern(element)), 0)
+    hits = F.filter(tags, lambda t: F.coalesce(H.attr(t, match_attr) == F.lit(match_value), F.lit(False)))
+    return F.filter(F.transform(hits, lambda t: H.attr(t, out_attr)), lambda v: v.isNotNull())
+
+
+def extract_meta(pages: DataFrame, rules: dict | None = None, html_col: str = "html",
+                 split_keys=SPLIT_KEYS, dedup_keys=DEDUP_KEYS) -> DataFrame:
+    """``parse`` metadata map from the rules (first rule with values wins per key),
+    comma lists split (P15), configured keys de-duplicated (P16)."""
+    rules = rules or META_RULES
+    entries = []
+    for key, rs in rules.items():
+        vals = None
+        for r in rs:
+            v = rule_values(r, html_col)
+            vals = F.when(F.size(v) > 0, v) if vals is None else F.coalesce(vals, F.when(F.size(v) > 0, v))
+        entries.append(F.struct(F.lit(key).alias("key"), vals.alias("value")))
+    md = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+    md = dedup_values(split_values(md, split_keys), dedup_keys)
+    return pages.withColumn("parse", md)

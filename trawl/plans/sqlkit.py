@@ -190,3 +190,20 @@ def filtered_links_cte(epsilon: float = 1.0, source: str = "lk") -> str:
 fl_n AS (SELECT *, {normalise('target')} AS url FROM {source}),
 fl AS (SELECT * FROM fl_n WHERE url IS NOT NULL AND {basic_filter('url')} AND {regex_filter('url')}
        AND {gz_keep('url')}{eps})"""
+
+
+def rule_values(rule, html: str = "html") -> str:
+    from trawl.operators.parse import tag_pattern, text_pattern
+    if rule[0] == "text":
+        return (f"list_transform(list_slice(regexp_extract_all({html}, {lit(text_pattern(rule[1]))}, 1), 1, 1), "
+                f"lambda t: {strip_tags('t')})")
+    _, element, a, v, out = rule
+    tags = f"regexp_extract_all({html}, {lit(tag_pattern(element))}, 0)"
+    hits = f"list_filter({tags}, lambda t: coalesce({attr('t', a)} = {lit(v)}, false))"
+    return f"list_filter(list_transform({hits}, lambda t: {attr('t', out)}), lambda x: x IS NOT NULL)"
+
+
+def meta_key(key: str, html: str = "html") -> str:
+    from trawl.operators.parse import META_RULES
+    whens = " ".join(f"WHEN len({rule_values(r, html)}) > 0 THEN {rule_values(r, html)}" for r in META_RULES[key])
+    return f"(CASE {whens} END)"
