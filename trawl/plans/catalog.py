@@ -23,6 +23,7 @@ MODULES = (
     "trawl.plans.queries_lookup",
     "trawl.plans.queries_blocks",
     "trawl.plans.queries_relevance",
+    "trawl.plans.queries_embed",
     "trawl.plans.queries_schedule",
     "trawl.plans.queries_graph",
     "trawl.plans.queries_evaluate",

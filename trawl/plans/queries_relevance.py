@@ -12,8 +12,8 @@ from trawl.plans.catalog import register
 from trawl.session import configure, load_table
 
 K = 8
-LOF_THRESHOLD = 0.0
-COS_THRESHOLD = 0.0
+LOF_THRESHOLD = 0.499  # mid-range of the provided vectors: both signs occur
+COS_THRESHOLD = 0.37
 
 
 def _emb(spark, sf_dir):

@@ -40,12 +40,38 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the operators rely on to an existing session."""
+    """Apply the session settings the operators rely on to an existing session, and make the
+    package importable in the Python workers (Arrow UDFs refer to its helpers)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package once per SparkContext and ``addPyFile`` it (what ``--py-files`` does)."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="trawl-pkg-")
+    path = os.path.join(out_dir, "trawl.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint directory for lineage cuts.
 
