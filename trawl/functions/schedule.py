@@ -83,7 +83,7 @@ def schedule_focused(status, md, now, fetch_error: int = FETCH_ERROR_INTERVAL,
     """FETCHED never; DISCOVERED at the carried date cut to whole minutes (never without one);
     FETCH_ERROR / ERROR / REDIRECTION now + interval; an interval of -1 means never (NULL)."""
     s = _c(status)
-    carried = F.to_timestamp(first_value(md, date_key)) if md is not None else F.lit(None).cast("timestamp")
+    carried = F.try_to_timestamp(first_value(md, date_key)) if md is not None else F.lit(None).cast("timestamp")
 
     def plus(m):
         return F.lit(None).cast("timestamp") if m == -1 else add_minutes(now, F.lit(m))
