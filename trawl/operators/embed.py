@@ -12,6 +12,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trawl.session import broadcast_if_small
 
@@ -102,7 +103,7 @@ def embed(blocks: DataFrame, model_fn: Callable[[list[str]], np.ndarray] | None
           text_col: str = "text", out_col: str = "embedding", dims: int = 64) -> DataFrame:
     """Apply a user model to every Arrow batch of texts (``mapInPandas``)."""
     model_fn = model_fn or hashing_model(dims)
-    schema = blocks.schema.add(out_col, "array<double>")
+    schema = T.StructType(list(blocks.schema.fields) + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
 
     def fn(batches):
         for pdf in batches:

@@ -40,14 +40,15 @@ def seen(rows: DataFrame, history: DataFrame, url_col: str = "url", hist_col: st
 
 
 def child_status(prioritised: DataFrame, crawled: DataFrame, link_col: str = "link", page_url_col: str = "url",
-                 key_cols=("page_id",)) -> DataFrame:
+                 key_cols=("page_id",), fetched_pages: DataFrame | None = None) -> DataFrame:
     """One DISCOVERED row per target (not the page itself, not crawled; earliest date when a
     target occurs in several blocks), then one FETCHED row per page without a date."""
     links = prioritised.filter(F.col(link_col) != F.col(page_url_col))
     links = not_seen(links, crawled, link_col, "url")
     disc = links.groupBy(F.col(link_col).alias("url")).agg(F.min("next_fetch").alias("next_fetch")) \
         .select("url", F.lit("DISCOVERED").alias("status"), "next_fetch")
-    fetched = prioritised.select(F.col(page_url_col).alias("url")).distinct() \
+    src = fetched_pages if fetched_pages is not None else prioritised
+    fetched = src.select(F.col(page_url_col).alias("url")).distinct() \
         .select("url", F.lit("FETCHED").alias("status"), F.lit(None).cast("timestamp").alias("next_fetch"))
     return disc.unionByName(fetched)
 

@@ -55,3 +55,18 @@ def q_anchor_first(spark, sf_dir):
     links = extract_links(_pages(spark, sf_dir), anchors=True)
     return links.select("page_id", F.col("link_pos").cast("long").alias("link_pos"), "target", "anchor",
                         F.size("anchors").cast("long").alias("n_anchors"))
+
+
+@register("crawl_step")
+def q_crawl_step(spark, sf_dir):
+    """Entry 1 over the whole tables: seeds = every page URL, fetched content = ``pages``,
+    corpus = ``embeddings``; returns the next frontier (rows-only check: a composition of the
+    operators that have their own oracles)."""
+    from trawl.plans.crawl_step import crawl_step, seed_frontier
+
+    pages = _pages(spark, sf_dir)
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    frontier = seed_frontier(pages.select("url"), now)
+    corpus = load_table(spark, sf_dir, "embeddings")
+    nxt = crawl_step(pages, frontier, corpus, now, scorer="cosine", threshold=0.0)
+    return nxt.select("url", "key", "status", F.date_format("next_fetch", "yyyy-MM-dd HH:mm:ss").alias("next_fetch"))
