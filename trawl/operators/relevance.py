@@ -119,14 +119,12 @@ def _knn_pass(queries: DataFrame, ids_c, mat_c, k: int, id_col: str, vec_col: st
         step = _rows_per_step(len(ids))
         for pdf in batches:
             qid = pdf[id_col].to_numpy(dtype=np.int64)
-            out_ids = np.zeros((len(pdf), 0), dtype=np.int64)
-            out_d = np.zeros((len(pdf), 0))
+            out_ids = [[] for _ in range(len(pdf))]
+            out_d = [[] for _ in range(len(pdf))]
             if len(pdf) and len(ids):
                 q = _as_matrix(pdf[vec_col])
-                kk = min(k, len(ids) - (1 if exclude_self else 0))
+                kk = min(k, len(ids))
                 m = min(k + margin, len(ids))
-                out_ids = np.zeros((len(pdf), kk), dtype=np.int64)
-                out_d = np.zeros((len(pdf), kk))
                 for a in range(0, len(pdf), step):
                     b = min(a + step, len(pdf))
                     qa = q[a:b]
@@ -139,9 +137,13 @@ def _knn_pass(queries: DataFrame, ids_c, mat_c, k: int, id_col: str, vec_col: st
                     exact = np.sqrt(((mat[cand] - qa[:, None, :]) ** 2).sum(axis=2))
                     exact[~np.isfinite(np.take_along_axis(d2, cand, axis=1))] = np.inf
                     order = np.lexsort((ids[cand], exact), axis=1)[:, :kk]
-                    out_ids[a:b] = np.take_along_axis(ids[cand], order, axis=1)
-                    out_d[a:b] = np.take_along_axis(exact, order, axis=1)
-            yield pd.DataFrame({id_col: qid, "nn_ids": list(out_ids), "nn_dist": list(out_d)})
+                    sel_ids = np.take_along_axis(ids[cand], order, axis=1)
+                    sel_d = np.take_along_axis(exact, order, axis=1)
+                    for r in range(b - a):
+                        ok = np.isfinite(sel_d[r])  # the left-out point itself never counts
+                        out_ids[a + r] = sel_ids[r][ok].tolist()
+                        out_d[a + r] = sel_d[r][ok].tolist()
+            yield pd.DataFrame({id_col: qid, "nn_ids": out_ids, "nn_dist": out_d})
 
     return queries.select(F.col(id_col).cast("long").alias(id_col), vec_col).mapInPandas(
         fn, f"{id_col} long, nn_ids array<long>, nn_dist array<double>")
