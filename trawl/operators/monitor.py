@@ -13,30 +13,36 @@ from pyspark.sql import functions as F
 from trawl.operators.ordered import top_k_per_key
 
 
-def bucket(ts_col: str, every: str) -> F.Column:
-    return F.window(F.col(ts_col).cast("timestamp"), every).start
+def bucket(ts_col: str, every: str, df: DataFrame | None = None) -> F.Column:
+    """Tumbling bucket start; a TIMESTAMP column is used as is so a streaming watermark on it applies."""
+    c = F.col(ts_col)
+    if df is None or dict(df.dtypes).get(ts_col) != "timestamp":
+        c = c.cast("timestamp")
+    return F.window(c, every)
 
 
 def metric_buckets(metrics: DataFrame, seconds: int = 10, ts_col: str = "ts") -> DataFrame:
     """Per bucket and metric name: count, mean per document, sum and per-second rate."""
-    b = bucket(ts_col, f"{seconds} seconds")
-    return metrics.groupBy(b.alias("bucket"), "name").agg(
+    b = bucket(ts_col, f"{seconds} seconds", metrics)
+    # grouped on the window struct itself, so a watermark on ``ts`` closes buckets in a stream
+    agg = metrics.groupBy(b.alias("_w"), "name").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"), F.sum("value").alias("sum_value"),
         (F.sum("value") / F.lit(float(seconds))).alias("per_sec"))
+    return agg.select(F.col("_w.start").alias("bucket"), "name", "n", "mean_value", "sum_value", "per_sec")
 
 
 def top_series(metrics: DataFrame, name: str, agg: str = "avg", every: str = "1 hour", k: int = 5,
                by: str = "task_id", ts_col: str = "ts") -> DataFrame:
     """Q1-Q4: per bucket the ``k`` series (tasks) with the largest avg/sum of metric ``name``."""
     f = F.avg("value") if agg == "avg" else F.sum("value")
-    per = metrics.filter(F.col("name") == name).groupBy(bucket(ts_col, every).alias("bucket"), by).agg(f.alias("metric"))
+    per = metrics.filter(F.col("name") == name).groupBy(bucket(ts_col, every).start.alias("bucket"), by).agg(f.alias("metric"))
     return top_k_per_key(per, ["bucket"], [F.col("metric").desc(), F.col(by)], k, salt_col=by)
 
 
 def series(metrics: DataFrame, name: str, agg: str = "avg", every: str = "1 hour", ts_col: str = "ts") -> DataFrame:
     """Q5-Q7: one value per bucket over time."""
     f = F.avg("value") if agg == "avg" else F.sum("value")
-    return metrics.filter(F.col("name") == name).groupBy(bucket(ts_col, every).alias("bucket")).agg(f.alias("metric"))
+    return metrics.filter(F.col("name") == name).groupBy(bucket(ts_col, every).start.alias("bucket")).agg(f.alias("metric"))
 
 
 def top_terms(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -66,4 +72,4 @@ def heap_by_worker(metrics: DataFrame, prefix: str = "memory/heap", k_workers: i
     names = mw.groupBy("worker", "name").agg(F.avg("value").alias("n_avg"))
     top_names = top_k_per_key(names, ["worker"], [F.col("n_avg").desc(), F.col("name")], k_names, salt_col="name")
     sel = mw.join(top_names.select("worker", "name"), ["worker", "name"], "left_semi")
-    return sel.groupBy("worker", "name", bucket(ts_col, every).alias("bucket")).agg(F.avg("value").alias("metric"))
+    return sel.groupBy("worker", "name", bucket(ts_col, every).start.alias("bucket")).agg(F.avg("value").alias("metric"))
