@@ -24,11 +24,18 @@ def _c(x) -> Column:
 
 
 def hex_to_base32(hex_col) -> Column:
-    """Base32 (RFC 4648, no padding needed for 160 bits) of a 40-digit hex string."""
+    """Base32 (RFC 4648) of a 40-digit hex string (160 bits = 32 symbols, no padding).
+
+    Every 5 hex digits are 20 bits = 4 base32 symbols, so the conversion is 8 ``conv`` calls and
+    32 shifts and look-ups: plain expressions inside whole-stage codegen, no lambdas."""
     h = _c(hex_col)
-    bits = F.array_join(F.transform(F.split(h, ""), lambda d: F.lpad(F.conv(d, 16, 2), 4, "0")), "")
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring(
-        F.lit(BASE32_ALPHABET), F.conv(F.substring(bits, i * 5 + 1, 5), 2, 10).cast("int") + 1, 1)), "")
+    out = []
+    for chunk in range(8):
+        v = F.conv(F.substring(h, chunk * 5 + 1, 5), 16, 10).cast("long")
+        for shift in (15, 10, 5, 0):
+            idx = F.shiftright(v, shift).bitwiseAND(31)
+            out.append(F.substring(F.lit(BASE32_ALPHABET), (idx + 1).cast("int"), 1))
+    return F.concat(*out)
 
 
 def sha1_base32(payload) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.session import broadcast_if_small
 
 TOKEN_RE = r"[\p{L}\p{N}]+"
 WINDOW = 512
@@ -73,9 +72,10 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dims:
     ex = docs.select(id_col, F.explode(tokens(text_col)).alias("term"))
     tf = ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.select(id_col).distinct().count()
-    # document frequencies: one row per term; broadcast only when the vocabulary is checked small
-    dfreq, _ = broadcast_if_small(dfreq, MAX_BROADCAST_TERMS)
+    n_docs = docs.count()  # one row per document
+    # The vocabulary is not bounded, so nothing is broadcast by hand: AQE measures the document
+    # frequency side at runtime and broadcasts it only under its size threshold (a hot term such
+    # as "the" is then a map-side lookup); above it the join is sort-merge with skew splitting.
     w = tf.join(dfreq, "term").withColumn(
         "w", F.col("tf") * F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)))
     return w.groupBy(id_col, md5_bucket(F.col("term"), dims).alias("dim")).agg(F.sum("w").alias("weight"))

@@ -25,7 +25,7 @@ def depth_keep(md: Column | None, max_depth: int = 20) -> Column:
 
 
 def deny(links: DataFrame, denylist: DataFrame, url_col: str = "url", md: Column | None = None,
-         compat: bool = False) -> DataFrame:
+         compat: bool = False, check_size: bool = True) -> DataFrame:
     """Drop URLs on the deny list; a source ``maxLinkDepth`` <= -1 also drops.
 
     ``compat=True`` reproduces the reference's branch where any carried ``maxLinkDepth``
@@ -39,14 +39,17 @@ def deny(links: DataFrame, denylist: DataFrame, url_col: str = "url", md: Column
         else:
             out = out.filter(F.coalesce(mld.try_cast("double") > -1, F.lit(True)))
     keys = denylist.select(F.col("url").alias(url_col)).distinct()
-    keys, _ = broadcast_if_small(keys)
+    if check_size:
+        # a deny list read from a file: counting it is cheap, broadcast under the bound
+        keys, _ = broadcast_if_small(keys)
+    # otherwise (a list derived inside the same job) AQE's runtime size decides
     return out.join(keys, url_col, "left_anti")
 
 
 def filter_chain(links: DataFrame, target_col: str = "target", steps=DEFAULT_STEPS, epsilon: float = 1.0,
                  max_depth: int = 20, max_length: int = 1024, max_repetition: int = 3,
                  source_md: Column | None = None, denylist: DataFrame | None = None,
-                 src_col: str | None = None, same_domain: bool = False) -> DataFrame:
+                 src_col: str | None = None, same_domain: bool = False, check_deny_size: bool = True) -> DataFrame:
     """Run the configured steps in order; output keeps the links with normalised ``url``."""
     out = U.materialize(links.drop("url") if "url" in links.columns else links, "url",
                         U.normalise(target_col) if "normalise" in steps else F.col(target_col))
@@ -66,5 +69,5 @@ def filter_chain(links: DataFrame, target_col: str = "target", steps=DEFAULT_STE
         preds.append(U.same_domain(src_col, "url"))
     out = out.filter(U.chain(*preds))
     if "deny" in steps and denylist is not None:
-        out = deny(out, denylist, "url")
+        out = deny(out, denylist, "url", check_size=check_deny_size)
     return out

@@ -45,8 +45,14 @@ def warc_rows(pages: DataFrame, url_col: str = "url", content_col: str = "html",
     uri = U.uri_escape(F.col(url_col)) if escape_uri else F.regexp_replace(F.col(url_col), " ", "%20")
     ctype = F.when(rtype == "response", F.lit("application/http; msgtype=response")).otherwise(
         F.coalesce(F.nullif(F.trim(M.first(md, "Content-Type")), F.lit("")), F.lit("application/octet-stream")))
-    pdig = W.sha1_base32(payload)
-    bdig = F.when(rtype == "response", W.sha1_base32(F.concat(head_bytes, payload))).otherwise(pdig)
+    # digests and the capture date are materialised once; the header lines refer to the columns
+    base = pages.select("*", payload.alias("_payload"), rtype.alias("_type"), head_bytes.alias("_head"),
+                        when.alias("_date"))
+    base = U.materialize(base, "_pdig", W.sha1_base32(F.col("_payload")))
+    base = U.materialize(base, "_bdig", F.when(F.col("_type") == "response", W.sha1_base32(
+        F.concat(F.col("_head"), F.col("_payload")))).otherwise(F.col("_pdig")))
+    payload, rtype, head_bytes, when = F.col("_payload"), F.col("_type"), F.col("_head"), F.col("_date")
+    pdig, bdig = F.col("_pdig"), F.col("_bdig")
     rec_id = W.det_uuid(F.concat(F.col(url_col), F.lit("|"), when))
     lines = F.array_compact(F.array(
         F.lit(W.WARC_VERSION),
@@ -63,8 +69,8 @@ def warc_rows(pages: DataFrame, url_col: str = "url", content_col: str = "html",
     ))
     lines = F.concat(lines, M.warc_md_lines(md, warc_keys))
     header = F.concat(F.array_join(lines, W.CRLF), F.lit(W.CRLF + W.CRLF))
-    return pages.select(
-        "*", rec_id.alias("record_id"), rtype.alias("type"), uri.alias("target_uri"), when.alias("date"),
+    return base.select(
+        *pages.columns, rec_id.alias("record_id"), rtype.alias("type"), uri.alias("target_uri"), when.alias("date"),
         pdig.alias("payload_digest"), bdig.alias("block_digest"), header.alias("warc_header"),
         F.concat(head_bytes, payload).alias("record_block"))
 

@@ -153,14 +153,23 @@ def q_schedule_adaptive(spark, sf_dir):
 # ------------------------------------------------------------------ link priority
 
 def _prioritised(spark, sf_dir):
+    """Block links with the page relevance (content share) computed on the page's block array
+    and carried into the same explode: one segmentation pass, no join."""
     configure(spark)
     pages = load_table(spark, sf_dir, "pages")
     arr = B.block_arrays(pages, min_words=0)
-    share = (F.size(F.filter("_blocks", lambda b: b["is_content"])) / F.size("_blocks")).alias("page_relevance")
-    scores = arr.select("page_id", F.when(F.size("_blocks") > 0, share).otherwise(F.lit(0.0)).alias("page_relevance"))
-    blocks = B.segment_pages(pages, min_words=0)
-    bl = B.block_links(blocks).withColumn("block_score", F.when(F.col("is_content"), 0.5).otherwise(-0.5))
-    return L.link_priority(bl, scores)
+    n = F.size("_blocks")
+    share = F.when(n > 0, F.size(F.filter("_blocks", lambda b: b["is_content"])) / n).otherwise(F.lit(0.0))
+    ex = arr.select("page_id", "url", share.alias("page_relevance"), F.posexplode("_blocks").alias("block_idx", "b"))
+    hrefs = F.regexp_extract_all(F.col("b.raw"), F.lit(B.H.A_HREF_RE), 1)
+    links = F.filter(F.transform(hrefs, lambda h: U.strip_fragment(U.resolve(F.col("url"), h))),
+                     lambda x: x.isNotNull() & (x != ""))
+    bl = ex.select("page_id", "url", F.col("block_idx").cast("long").alias("block_idx"), "page_relevance",
+                   F.when(F.col("b.is_content"), 0.5).otherwise(-0.5).alias("block_score"),
+                   F.posexplode(links).alias("link_idx", "link"))
+    rel = S.link_relevance(F.col("page_relevance"), F.col("block_score"))
+    return bl.withColumn("link_relevance", rel).withColumn("seconds", S.relevance_seconds(rel)) \
+        .withColumn("next_fetch", S.truncate_minute(S.relevance_to_date(rel)))
 
 
 SQL_LP = f"""{blocks_sql(0)},

@@ -103,7 +103,7 @@ SELECT page_id, link_pos, url FROM fl WHERE url NOT IN (SELECT url FROM deny)
 def q_url_chain(spark, sf_dir):
     links = _links(spark, sf_dir)
     dl = denylist_from_links(links.withColumn("url", U.normalise("target")).filter(F.col("url").isNotNull()))
-    out = filter_chain(links, epsilon=0.2, denylist=dl)
+    out = filter_chain(links, epsilon=0.2, denylist=dl, check_deny_size=False)
     return out.select("page_id", "link_pos", "url")
 
 
@@ -115,7 +115,7 @@ def q_deny_filter(spark, sf_dir):
     links = _links(spark, sf_dir)
     kept = filter_chain(links, steps=("basic", "normalise", "regex", "gz"))
     dl = denylist_from_links(links.withColumn("url", U.normalise("target")).filter(F.col("url").isNotNull()))
-    return deny(kept, dl).select("page_id", "link_pos", "url")
+    return deny(kept, dl, check_size=False).select("page_id", "link_pos", "url")
 
 
 @register("same_domain", f"""

@@ -94,8 +94,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Tables whose rows carry whole documents: per-row work (regex parsing, segmentation,
+# tokenising) dominates, so they are worth spreading before that work starts.
+TEXT_TABLES = frozenset({"pages", "documents"})
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """Parquet table; when its scan has fewer splits than the cluster has cores (a small table
+    stored as one row group), rows are hash-spread over the cores first.
+
+    Parsing, segmentation and scoring are CPU-heavy per row, so a one-split scan would run them
+    in one task. At scale the scan already has many more splits than cores and nothing changes.
+    The spread is an explicit-count repartition, so AQE keeps all of its partitions.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread is None:
+        spread = name in TEXT_TABLES
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, df.columns[0])
+    return df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
