@@ -127,3 +127,28 @@ def visible_text(html) -> Column:
 
 def title(html) -> Column:
     return strip_tags(F.regexp_extract(_c(html), TITLE_RE, 1))
+
+
+# Charsets the JVM decoder supports in every Spark build; others fall back to UTF-8.
+CHARSETS = ["UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"]
+
+
+def declared_charset(content_type=None, html_head=None) -> Column:
+    """Charset from the Content-Type header, else from <meta charset> / http-equiv in the
+    document head; upper-cased, NULL when none is declared."""
+    parts = []
+    if content_type is not None:
+        parts.append(F.regexp_extract(_c(content_type), r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", 1))
+    if html_head is not None:
+        parts.append(F.regexp_extract(_c(html_head), r"(?i)<meta[^>]+charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", 1))
+    return F.upper(F.coalesce(*[F.nullif(p, F.lit("")) for p in parts])) if parts else F.lit(None).cast("string")
+
+
+def decode_content(content, charset) -> Column:
+    """Bytes to text by the declared charset (supported set), UTF-8 otherwise."""
+    cs = F.upper(_c(charset))
+    expr = None
+    for name in CHARSETS:
+        branch = F.decode(_c(content), name)
+        expr = F.when(cs == name, branch) if expr is None else expr.when(cs == name, branch)
+    return expr.otherwise(F.decode(_c(content), "UTF-8"))

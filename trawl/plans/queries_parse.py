@@ -111,3 +111,20 @@ def q_page_signature(spark, sf_dir):
 @register("visible_text", f"SELECT page_id, {Q.visible_text('html')} AS text FROM pages")
 def q_visible_text(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", H.visible_text("html").alias("text"))
+
+
+@register("decode_charset", f"""
+SELECT page_id, upper(nullif(regexp_extract(substr(html, 1, 1024), {Q.lit(r'''(?i)<meta[^>]+charset\s*=\s*["']?([A-Za-z0-9_.:-]+)''')}, 1), '')) AS charset,
+       length(html)::BIGINT AS n_chars, md5(html) AS text_md5
+FROM pages
+""")
+def q_decode_charset(spark, sf_dir):
+    """P1 over raw bytes: the stored pages are encoded to bytes, the charset is read from the
+    document head, and the bytes are decoded again (round trip = the original text)."""
+    p = _pages(spark, sf_dir)
+    raw = p.select("page_id", F.encode("html", "UTF-8").alias("content"))
+    head = F.decode(F.substring("content", 1, 1024), "ISO-8859-1")  # ASCII-safe view of the head
+    cs = H.declared_charset(html_head=head)
+    text = H.decode_content(F.col("content"), cs)
+    return raw.select("page_id", cs.alias("charset"), F.length(text).cast("long").alias("n_chars"),
+                      F.md5(text).alias("text_md5"))

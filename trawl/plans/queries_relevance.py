@@ -171,3 +171,26 @@ def q_page_scores_whole(spark, sf_dir):
     model = R.lof_fit(emb, k=K)
     s = R.lof_score(pv, emb, model=model, k=K)
     return s.select(F.col("vec_id").cast("int").alias("page"), F.round("raw_score", 6).alias("page_score"))
+
+
+@register("segment_rule", f"""
+WITH {SQL_LOF},
+ps AS (SELECT page, count(*) AS num_blocks, count(*) FILTER (WHERE pred = 1) / count(*) AS relevant_pct FROM sb GROUP BY page),
+sz AS (SELECT page, floor(count(*) / 4) AS z FROM sb GROUP BY page),
+seg AS (SELECT sb.page, floor(sb.block_idx / sz.z) AS segment, avg(CASE WHEN pred = 1 THEN 1.0 ELSE 0.0 END) AS pct
+        FROM sb JOIN sz USING (page) WHERE sz.z > 0 AND sb.block_idx < sz.z * 4 GROUP BY ALL),
+mx AS (SELECT page, bool_or(pct > 0.6) AS any_seg FROM seg GROUP BY page)
+SELECT ps.page, ((ps.relevant_pct > 0.5 AND ps.num_blocks >= 4) OR (ps.num_blocks >= 4 AND coalesce(mx.any_seg, false))) AS relevant
+FROM ps LEFT JOIN mx USING (page)
+""")
+def q_segment_rule(spark, sf_dir):
+    """C5 (inactive in the reference, available here): page decision from the share and the
+    segment shares (thresholds 0.5 / 0.6 so both outcomes occur on the provided vectors)."""
+    from trawl.operators.links import segment_rule
+    sb = scored_blocks(spark, sf_dir)
+    ps = R.page_stats(sb)
+    seg = R.segment_stats(sb).groupBy("page").agg(F.collect_list(F.struct("segment", "seg_relevant_pct")).alias("segs"))
+    j = ps.join(seg, "page", "left").withColumn("segs", F.coalesce("segs", F.array().cast(
+        "array<struct<segment:int,seg_relevant_pct:double>>")))
+    return j.select("page", segment_rule(F.col("num_blocks"), F.col("relevant_pct"), F.col("segs"), min_blocks=4,
+                                         min_share=0.5, seg_share=0.6).alias("relevant"))

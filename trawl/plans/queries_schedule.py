@@ -458,3 +458,15 @@ def q_value_dedup(spark, sf_dir):
     d = dedup_values(md, ["parse.meta.author"])
     v = F.element_at(d, F.lit("parse.meta.author"))
     return sv.select("event_id", F.size(v).cast("long").alias("n_values"), F.array_join(F.array_sort(v), ",").alias("values_sorted"))
+
+
+@register("tunnelling", f"""
+WITH {SQL_LP}
+SELECT page_id, block_idx, link_idx, link, CASE WHEN is_content THEN 5 ELSE 4 END AS max_link_depth FROM lpd
+""")
+def q_tunnelling(spark, sf_dir):
+    """C4 (inactive in the reference, available here): links of irrelevant blocks get
+    maxLinkDepth - 1 (from the default 5)."""
+    p = _prioritised(spark, sf_dir)
+    return p.select("page_id", "block_idx", F.col("link_idx").cast("long").alias("link_idx"), "link",
+                    L.tunnelling(F.lit(5), F.col("block_score") > 0).alias("max_link_depth"))
