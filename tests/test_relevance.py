@@ -63,7 +63,7 @@ def test_cosine_max_and_chunked_corpus(spark):
     with np.errstate(invalid="ignore", divide="ignore"):
         sims = qn @ (c / np.linalg.norm(c, axis=1, keepdims=True)).T
     exp = np.nanmax(np.where(np.isfinite(sims), sims, np.nan), axis=1)
-    for bound in (10_000, 7):  # broadcast in one piece, or in chunks of ~7 vectors
+    for bound in (10_000, 7):  # broadcast in one piece, or blocked co-groups of ~7 corpus vectors
         got = R.max_cosine(vec_df(spark, q), vec_df(spark, c, 100), max_broadcast=bound).orderBy("vec_id").toPandas()
         assert np.allclose(got.best_sim.to_numpy(), exp, atol=1e-12)
 

@@ -1,10 +1,11 @@
 """Relevance scoring of blocks against a topical corpus (J6, J7, L1-L4) and roll-ups.
 
 Corpus x blocks is a nearest-neighbour problem. No pair rows are ever emitted: the corpus
-matrix is broadcast (after its size is checked) and each Arrow batch of blocks is scored with
-one numpy matrix product, keeping only the reduction (max cosine, or k nearest ids and
-distances). A corpus above the broadcast bound is processed in bounded chunks, one pass per
-chunk, and the partial results are merged exactly (max of maxes, top-k of top-ks).
+matrix is broadcast (after its row count is checked against a fixed bound) and each Arrow
+batch of blocks is scored with one numpy matrix product, keeping only the reduction (max
+cosine, or k nearest ids and distances). A corpus above the bound never goes through the
+driver: it is scored as a block nested loop of co-groups (query bucket x corpus chunk, both
+bounded) and the partial results are merged exactly (max of maxima, top-k of top-ks).
 
 Everything after the neighbour search (k-distance, reachability, LOF, page and segment
 statistics) is plain DataFrame joins and aggregations.
@@ -28,23 +29,10 @@ def _collect_corpus(corpus: DataFrame, id_col: str, vec_col: str):
     rows = corpus.select(F.col(id_col).cast("long").alias("id"),
                          F.col(vec_col).cast("array<double>").alias("v")).toPandas()
     ids = rows["id"].to_numpy(dtype=np.int64)
-    mat = np.vstack(rows["v"].map(lambda a: np.asarray(a, dtype=np.float64)).to_list()) if len(rows) else \
-        np.zeros((0, 0))
+    mat = _as_matrix(rows["v"])
     return ids, mat
 
 
-def _corpus_chunks(corpus: DataFrame, id_col: str, vec_col: str, max_rows: int):
-    """Yield (ids, matrix) pieces of at most ~max_rows vectors each (count checked first)."""
-    n = corpus.count()
-    if n <= max_rows:
-        yield _collect_corpus(corpus, id_col, vec_col)
-        return
-    chunks = int(np.ceil(n / max_rows)) * 2
-    keyed = corpus.withColumn("_chunk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(chunks)))
-    for c in range(chunks):
-        yield _collect_corpus(keyed.filter(F.col("_chunk") == c), id_col, vec_col)
-
-
 def _as_matrix(series: pd.Series) -> np.ndarray:
     if len(series) == 0:
         return np.zeros((0, 0))
@@ -56,32 +44,106 @@ def _rows_per_step(n_corpus: int, cells: int = 1 << 24) -> int:
     return max(1, cells // max(1, n_corpus))
 
 
-def _max_cosine_pass(blocks: DataFrame, ids_b, mat_b, id_col: str, vec_col: str, exclude_self: bool) -> DataFrame:
-    sc = blocks.sparkSession.sparkContext
-    norms = np.linalg.norm(mat_b, axis=1) if mat_b.size else np.zeros(0)
-    bc = sc.broadcast((ids_b, mat_b, norms))
+# ---------------------------------------------------------------- numpy kernels (one batch)
+
+def _cosine_kernel(qid, q, ids_c, mat_c, exclude_self: bool) -> np.ndarray:
+    """Best cosine of each query row over the corpus rows, starting at -1; NaN never wins."""
+    best = np.full(len(qid), -1.0)
+    if not len(qid) or not len(ids_c):
+        return best
+    n_c = np.linalg.norm(mat_c, axis=1)
+    nq = np.linalg.norm(q, axis=1)
+    step = _rows_per_step(len(ids_c))
+    for a in range(0, len(qid), step):
+        b = min(a + step, len(qid))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sim = (q[a:b] @ mat_c.T) / np.outer(nq[a:b], n_c)
+        sim[~np.isfinite(sim)] = -np.inf  # zero norms give NaN: never wins
+        if exclude_self:
+            sim[qid[a:b, None] == ids_c[None, :]] = -np.inf
+        best[a:b] = np.maximum(best[a:b], sim.max(axis=1))
+    return best
+
+
+def _knn_kernel(qid, q, ids, mat, k: int, exclude_self: bool, margin: int = 8):
+    """k nearest corpus rows of each query row (ties by id): (id lists, distance lists).
+    Candidates come from the product form of the distance; their distances are recomputed
+    exactly. The left-out point itself is never returned."""
+    out_ids = [[] for _ in range(len(qid))]
+    out_d = [[] for _ in range(len(qid))]
+    if not len(qid) or not len(ids):
+        return out_ids, out_d
+    sqn = (mat ** 2).sum(axis=1)
+    kk = min(k, len(ids))
+    m = min(k + margin, len(ids))
+    step = _rows_per_step(len(ids))
+    for a in range(0, len(qid), step):
+        b = min(a + step, len(qid))
+        qa = q[a:b]
+        d2 = (qa ** 2).sum(axis=1)[:, None] + sqn[None, :] - 2.0 * (qa @ mat.T)
+        if exclude_self:
+            d2[qid[a:b, None] == ids[None, :]] = np.inf
+        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < d2.shape[1] else \
+            np.tile(np.arange(d2.shape[1]), (b - a, 1))
+        exact = np.sqrt(((mat[cand] - qa[:, None, :]) ** 2).sum(axis=2))
+        exact[~np.isfinite(np.take_along_axis(d2, cand, axis=1))] = np.inf
+        order = np.lexsort((ids[cand], exact), axis=1)[:, :kk]
+        sel_ids = np.take_along_axis(ids[cand], order, axis=1)
+        sel_d = np.take_along_axis(exact, order, axis=1)
+        for r in range(b - a):
+            ok = np.isfinite(sel_d[r])
+            out_ids[a + r] = sel_ids[r][ok].tolist()
+            out_d[a + r] = sel_d[r][ok].tolist()
+    return out_ids, out_d
+
+
+# ---------------------------------------------------------------- two physical forms
+
+def _broadcast_pass(queries: DataFrame, corpus: DataFrame, kernel, schema: str, id_col: str, vec_col: str,
+                    cid: str, cvec: str) -> DataFrame:
+    """Corpus (size already checked) broadcast once; each Arrow batch of queries scored locally."""
+    ids_c, mat_c = _collect_corpus(corpus, cid, cvec)
+    bc = queries.sparkSession.sparkContext.broadcast((ids_c, mat_c))
 
     def fn(batches):
-        ids_c, mat_c, n_c = bc.value
-        step = _rows_per_step(len(ids_c))
+        ids, mat = bc.value
         for pdf in batches:
             qid = pdf[id_col].to_numpy(dtype=np.int64)
-            best = np.full(len(pdf), -1.0)
-            if len(pdf) and len(ids_c):
-                q = _as_matrix(pdf[vec_col])
-                nq = np.linalg.norm(q, axis=1)
-                for a in range(0, len(pdf), step):
-                    b = min(a + step, len(pdf))
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        sim = (q[a:b] @ mat_c.T) / np.outer(nq[a:b], n_c)
-                    sim[~np.isfinite(sim)] = -np.inf  # zero norms give NaN: never wins
-                    if exclude_self:
-                        sim[qid[a:b, None] == ids_c[None, :]] = -np.inf
-                    best[a:b] = np.maximum(best[a:b], sim.max(axis=1))
-            yield pd.DataFrame({id_col: qid, "best_sim": best})
-
-    return blocks.select(F.col(id_col).cast("long").alias(id_col), vec_col).mapInPandas(
-        fn, f"{id_col} long, best_sim double")
+            yield kernel(qid, _as_matrix(pdf[vec_col]), ids, mat)
+
+    return queries.select(F.col(id_col).cast("long").alias(id_col), vec_col).mapInPandas(fn, schema)
+
+
+def _blocked_pass(queries: DataFrame, corpus: DataFrame, kernel, schema: str, id_col: str, vec_col: str,
+                  cid: str, cvec: str, n_corpus: int, max_rows: int) -> DataFrame:
+    """Corpus above the broadcast bound: block nested loop without the driver. Queries are
+    hashed into B buckets and the corpus into C chunks of at most ~max_rows rows; each
+    (bucket, chunk) pair is one co-group scored by the kernel, so a task holds one bounded query
+    bucket and one bounded corpus chunk. The caller merges the C partial results per query."""
+    spark = queries.sparkSession
+    c_chunks = int(np.ceil(n_corpus / max_rows))
+    n_q = queries.count()
+    b_buckets = max(spark.sparkContext.defaultParallelism, int(np.ceil(n_q / max_rows)))
+    q = queries.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias(vec_col),
+                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(b_buckets)).alias("_b")) \
+        .withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(c_chunks - 1))))
+    c = corpus.select(F.col(cid).cast("long").alias("_cid"), F.col(cvec).alias("_cv"),
+                      F.pmod(F.xxhash64(F.col(cid)), F.lit(c_chunks)).alias("_c")) \
+        .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(b_buckets - 1))))
+
+    def fn(left, right):
+        qid = left[id_col].to_numpy(dtype=np.int64)
+        return kernel(qid, _as_matrix(left[vec_col]), right["_cid"].to_numpy(dtype=np.int64),
+                      _as_matrix(right["_cv"]))
+
+    return q.groupBy("_b", "_c").cogroup(c.groupBy("_b", "_c")).applyInPandas(fn, schema)
+
+
+def _scored(queries, corpus, kernel, schema, id_col, vec_col, cid, cvec, max_rows):
+    n = corpus.count()  # the size check that decides the physical form
+    if n <= max_rows:
+        return _broadcast_pass(queries, corpus, kernel, schema, id_col, vec_col, cid, cvec), False
+    return _blocked_pass(queries, corpus, kernel, schema, id_col, vec_col, cid, cvec, n, max_rows), True
 
 
 def max_cosine(blocks: DataFrame, corpus: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -89,16 +151,15 @@ def max_cosine(blocks: DataFrame, corpus: DataFrame, id_col: str = "vec_id", vec
                exclude_self: bool = False, max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
     """Best cosine similarity of each block over the corpus, starting at -1.0.
     Returns (id_col, best_sim)."""
-    parts = [
-        _max_cosine_pass(blocks, ids, mat, id_col, vec_col, exclude_self)
-        for ids, mat in _corpus_chunks(corpus, corpus_id_col or id_col, corpus_vec_col or vec_col, max_broadcast)
-    ]
-    if len(parts) == 1:
-        return parts[0]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy(id_col).agg(F.max("best_sim").alias("best_sim"))
+
+    def kernel(qid, q, ids, mat):
+        return pd.DataFrame({id_col: qid, "best_sim": _cosine_kernel(qid, q, ids, mat, exclude_self)})
+
+    out, blocked = _scored(blocks, corpus, kernel, f"{id_col} long, best_sim double", id_col, vec_col,
+                           corpus_id_col or id_col, corpus_vec_col or vec_col, max_broadcast)
+    if blocked:
+        out = out.groupBy(id_col).agg(F.max("best_sim").alias("best_sim"))  # max of partial maxima
+    return out
 
 
 def cosine_score(blocks: DataFrame, corpus: DataFrame, threshold: float = 0.0, **kw) -> DataFrame:
@@ -108,77 +169,28 @@ def cosine_score(blocks: DataFrame, corpus: DataFrame, threshold: float = 0.0, *
     return s.withColumn("score", adj).withColumn("pred", F.when(adj >= 0, 1).otherwise(-1))
 
 
-def _knn_pass(queries: DataFrame, ids_c, mat_c, k: int, id_col: str, vec_col: str, exclude_self: bool):
-    sc = queries.sparkSession.sparkContext
-    sq = (mat_c ** 2).sum(axis=1) if mat_c.size else np.zeros(0)
-    bc = sc.broadcast((ids_c, mat_c, sq))
-    margin = 8
-
-    def fn(batches):
-        ids, mat, sqn = bc.value
-        step = _rows_per_step(len(ids))
-        for pdf in batches:
-            qid = pdf[id_col].to_numpy(dtype=np.int64)
-            out_ids = [[] for _ in range(len(pdf))]
-            out_d = [[] for _ in range(len(pdf))]
-            if len(pdf) and len(ids):
-                q = _as_matrix(pdf[vec_col])
-                kk = min(k, len(ids))
-                m = min(k + margin, len(ids))
-                for a in range(0, len(pdf), step):
-                    b = min(a + step, len(pdf))
-                    qa = q[a:b]
-                    d2 = (qa ** 2).sum(axis=1)[:, None] + sqn[None, :] - 2.0 * (qa @ mat.T)
-                    if exclude_self:
-                        d2[qid[a:b, None] == ids[None, :]] = np.inf
-                    cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < d2.shape[1] else \
-                        np.tile(np.arange(d2.shape[1]), (b - a, 1))
-                    # exact distances for the candidates (the product form is only used to pick them)
-                    exact = np.sqrt(((mat[cand] - qa[:, None, :]) ** 2).sum(axis=2))
-                    exact[~np.isfinite(np.take_along_axis(d2, cand, axis=1))] = np.inf
-                    order = np.lexsort((ids[cand], exact), axis=1)[:, :kk]
-                    sel_ids = np.take_along_axis(ids[cand], order, axis=1)
-                    sel_d = np.take_along_axis(exact, order, axis=1)
-                    for r in range(b - a):
-                        ok = np.isfinite(sel_d[r])  # the left-out point itself never counts
-                        out_ids[a + r] = sel_ids[r][ok].tolist()
-                        out_d[a + r] = sel_d[r][ok].tolist()
-            yield pd.DataFrame({id_col: qid, "nn_ids": out_ids, "nn_dist": out_d})
-
-    return queries.select(F.col(id_col).cast("long").alias(id_col), vec_col).mapInPandas(
-        fn, f"{id_col} long, nn_ids array<long>, nn_dist array<double>")
-
-
 def knn(queries: DataFrame, corpus: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str = "embedding",
         corpus_id_col: str | None = None, corpus_vec_col: str | None = None, exclude_self: bool = False,
         max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
     """K nearest corpus points by Euclidean distance (ties by id), one row per neighbour:
     (id_col, rank, nn_id, dist)."""
-    parts = [
-        _knn_pass(queries, ids, mat, k, id_col, vec_col, exclude_self)
-        for ids, mat in _corpus_chunks(corpus, corpus_id_col or id_col, corpus_vec_col or vec_col, max_broadcast)
-    ]
-    rows = None
-    for p in parts:
-        e = p.select(id_col, F.posexplode(F.arrays_zip("nn_ids", "nn_dist")).alias("_r", "z")).select(
-            id_col, (F.col("_r") + 1).alias("rank"), F.col("z.nn_ids").alias("nn_id"),
-            F.col("z.nn_dist").alias("dist"))
-        rows = e if rows is None else rows.unionByName(e)
-    if len(parts) > 1:
+
+    def kernel(qid, q, ids, mat):
+        nn_ids, nn_d = _knn_kernel(qid, q, ids, mat, k, exclude_self)
+        return pd.DataFrame({id_col: qid, "nn_ids": nn_ids, "nn_dist": nn_d})
+
+    out, blocked = _scored(queries, corpus, kernel, f"{id_col} long, nn_ids array<long>, nn_dist array<double>",
+                           id_col, vec_col, corpus_id_col or id_col, corpus_vec_col or vec_col, max_broadcast)
+    rows = out.select(id_col, F.posexplode(F.arrays_zip("nn_ids", "nn_dist")).alias("_r", "z")).select(
+        id_col, (F.col("_r") + 1).alias("rank"), F.col("z.nn_ids").alias("nn_id"), F.col("z.nn_dist").alias("dist"))
+    if blocked:
         # merge partial top-k lists: at most k rows per query per chunk, so the window is bounded
         w = Window.partitionBy(id_col).orderBy("dist", "nn_id")
         rows = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return rows
 
 
-def lof_fit(corpus: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str = "embedding",
-            max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
-    """L1 fit: per corpus point its k-distance and local reachability density.
-    Returns (id, kdist, lrd). Needs at least k+1 corpus rows."""
-    n = corpus.count()
-    if n < k + 1:
-        raise ValueError(f"LOF needs at least {k + 1} corpus rows, got {n}")
-    nn = knn(corpus, corpus, k, id_col, vec_col, exclude_self=True, max_broadcast=max_broadcast)
+def _fit_from_neighbours(nn: DataFrame, k: int, id_col: str) -> DataFrame:
     kdist = nn.filter(F.col("rank") == k).select(F.col(id_col).alias("id"), F.col("dist").alias("kdist"))
     reach = nn.join(kdist.withColumnRenamed("id", "nn_id").withColumnRenamed("kdist", "nn_kdist"), "nn_id") \
         .withColumn("reach", F.greatest("dist", "nn_kdist"))
@@ -187,13 +199,28 @@ def lof_fit(corpus: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str
     return kdist.join(lrd, "id")
 
 
+def lof_fit(corpus: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str = "embedding",
+            max_broadcast: int = MAX_BROADCAST_VECTORS, neighbours: DataFrame | None = None) -> DataFrame:
+    """L1 fit: per corpus point its k-distance and local reachability density.
+    Returns (id, kdist, lrd). Needs at least k+1 corpus rows."""
+    n = corpus.count()
+    if n < k + 1:
+        raise ValueError(f"LOF needs at least {k + 1} corpus rows, got {n}")
+    nn = neighbours if neighbours is not None else knn(corpus, corpus, k, id_col, vec_col, exclude_self=True,
+                                                        max_broadcast=max_broadcast)
+    return _fit_from_neighbours(nn, k, id_col)
+
+
 def lof_score(queries: DataFrame, corpus: DataFrame, model: DataFrame | None = None, k: int = 8,
               threshold: float = 0.0, id_col: str = "vec_id", vec_col: str = "embedding",
               exclude_self: bool = False, max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
     """L1 + L2: score = 1.5 - LOF(x); adjusted = score - threshold; pred -1 iff adjusted < 0.
     Returns (id_col, lof, raw_score, score, pred)."""
-    model = model if model is not None else lof_fit(corpus, k, id_col, vec_col, max_broadcast)
     nn = knn(queries, corpus, k, id_col, vec_col, exclude_self=exclude_self, max_broadcast=max_broadcast)
+    if model is None:
+        # leave-one-out scoring of the corpus itself: the fit's neighbour lists are the same ones
+        same = queries is corpus and exclude_self
+        model = lof_fit(corpus, k, id_col, vec_col, max_broadcast, neighbours=nn if same else None)
     m = model.withColumnRenamed("id", "nn_id")
     j = nn.join(m, "nn_id").withColumn("reach", F.greatest("dist", "kdist"))
     agg = j.groupBy(id_col).agg((F.lit(1.0) / (F.avg("reach") + F.lit(LOF_EPS))).alias("lrd_x"),
