@@ -105,3 +105,8 @@ def test_page_stats(spark):
     assert r.num_blocks == 3 and r.num_relevant == 2
     assert r.page_relevance == pytest.approx(0.75) and r.info_sum == pytest.approx(0.25)
     assert r.score_var == pytest.approx(np.var([0.5, -0.25, 0.25]))
+
+
+def test_block_relevance_list(spark):
+    df = spark.createDataFrame([("p", 2, 1), ("p", 0, -1), ("p", 1, 1)], "page string, block_idx long, pred int")
+    assert R.block_relevance_list(df).first().relevance_flags == "011"

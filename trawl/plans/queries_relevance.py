@@ -194,3 +194,13 @@ def q_segment_rule(spark, sf_dir):
         "array<struct<segment:int,seg_relevant_pct:double>>")))
     return j.select("page", segment_rule(F.col("num_blocks"), F.col("relevant_pct"), F.col("segs"), min_blocks=4,
                                          min_share=0.5, seg_share=0.6).alias("relevant"))
+
+
+@register("info_sum", f"""
+WITH {SQL_LOF}
+SELECT page, round(sum(greatest(score, 0.0)) / count(*), 6) AS info_sum, count(*) AS num_blocks FROM sb GROUP BY page
+""")
+def q_info_sum(spark, sf_dir):
+    """Sum of the positive block scores over the number of all blocks of the page."""
+    st = R.page_stats(scored_blocks(spark, sf_dir))
+    return st.select("page", F.round("info_sum", 6).alias("info_sum"), "num_blocks")
