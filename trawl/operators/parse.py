@@ -46,17 +46,25 @@ def extract_links(pages: DataFrame, max_per_page: int = -1, anchors: bool = Fals
         # P5 strict: no links at all; filter before the regex scan so those pages cost nothing.
         base = base.filter(~F.col("_page_nofollow"))
     attrs = F.regexp_extract_all("html", F.lit(H.A_TAG_RE), 1)
-    inner = F.regexp_extract_all("html", F.lit(H.A_TAG_RE), 2)
-    tags = F.arrays_zip(attrs.alias("attrs"), inner.alias("inner"))
-    links = F.transform(tags, lambda t: F.struct(
-        U.resolve(F.col("src_url"), H.attr(t["attrs"], "href")).alias("target"),
-        F.coalesce(F.lower(F.trim(H.attr(t["attrs"], "rel"))) == "nofollow", F.lit(False)).alias("nofollow"),
-        H.strip_tags(t["inner"]).alias("anchor"),
-        H.attr(t["attrs"], "href").isNotNull().alias("has_href"),
-    ))
-    links = F.filter(links, lambda s: s["has_href"] & s["target"].isNotNull())
+    # first pass: the attribute values of each <a> tag, extracted once (the resolver below refers
+    # to the href many times, so it must be a field, not a re-evaluated regular expression)
+    if anchors:
+        inner = F.regexp_extract_all("html", F.lit(H.A_TAG_RE), 2)
+        tags = F.transform(F.arrays_zip(attrs.alias("attrs"), inner.alias("inner")), lambda t: F.struct(
+            H.attr(t["attrs"], "href").alias("href"),
+            F.coalesce(F.lower(F.trim(H.attr(t["attrs"], "rel"))) == "nofollow", F.lit(False)).alias("nofollow"),
+            H.strip_tags(t["inner"]).alias("anchor")))
+    else:
+        tags = F.transform(attrs, lambda a: F.struct(
+            H.attr(a, "href").alias("href"),
+            F.coalesce(F.lower(F.trim(H.attr(a, "rel"))) == "nofollow", F.lit(False)).alias("nofollow")))
+    tags = F.filter(tags, lambda t: t["href"].isNotNull())
     if strict_nofollow:
-        links = F.filter(links, lambda s: ~s["nofollow"])
+        tags = F.filter(tags, lambda t: ~t["nofollow"])
+    base = U.materialize(base, "_tags", tags)
+    links = F.filter(F.transform("_tags", lambda t: F.struct(
+        U.resolve(F.col("src_url"), t["href"]).alias("target"), t["nofollow"].alias("nofollow"),
+        *([t["anchor"].alias("anchor")] if anchors else []))), lambda s: s["target"].isNotNull())
     if not anchors:
         # distinct targets inside the row: array_distinct keeps first occurrences in order,
         # so the whole operator is a projection + explode (no shuffle).
