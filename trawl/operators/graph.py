@@ -26,7 +26,7 @@ def distinct_edges(edges: DataFrame, src: str = "src", dst: str = "dst", graph_c
 
 
 def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst", graph_col: str | None = None,
-         checkpoint: bool = True) -> DataFrame:
+         checkpoint: bool = True, norm_every: int = 8) -> DataFrame:
     """H1: hub and authority scores of every node, per graph.
 
     Returns (graph?, node, hub, authority). Graphs without edges (zero norm) give no rows.
@@ -38,13 +38,26 @@ def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst",
         ensure_checkpoint_dir(spark)
         e = e.checkpoint(eager=True)
     nodes = e.select(*g, F.col(src).alias("node")).union(e.select(*g, F.col(dst).alias("node"))).distinct()
-    if checkpoint:
-        nodes = nodes.checkpoint(eager=True)
     n_nodes = nodes.count()
     small = n_nodes <= MAX_BROADCAST_NODES
     scores = nodes.select(*g, "node", F.lit(1.0).alias("hub"), F.lit(1.0).alias("authority"))
 
-    for _ in range(rounds):
+    def normalise(raw: DataFrame) -> DataFrame:
+        norms = raw.groupBy(*g).agg(F.sqrt(F.sum(F.col("h") * F.col("h"))).alias("nh"),
+                                    F.sqrt(F.sum(F.col("a") * F.col("a"))).alias("na"))
+        if g:
+            norms, _ = broadcast_if_small(norms)  # one row per graph
+            j = raw.join(norms, g)
+        else:
+            nh, na = norms.first() if n_nodes else (0.0, 0.0)  # two scalars
+            j = raw.withColumn("nh", F.lit(nh)).withColumn("na", F.lit(na))
+        return j.filter((F.col("nh") > 0) & (F.col("na") > 0)).select(
+            *g, "node", (F.col("h") / F.col("nh")).alias("hub"), (F.col("a") / F.col("na")).alias("authority"))
+
+    # Every round's L2 normalisation is a positive factor per graph and per vector, so the
+    # directions after t rounds do not depend on when it is applied: vectors are normalised
+    # every ``norm_every`` rounds (bounding their growth) and at the end, not in a job per round.
+    for t in range(1, rounds + 1):
         s = F.broadcast(scores) if small else scores
         auth_in = e.join(s.select(*g, F.col("node").alias(src), "hub"), [*g, src]) \
             .groupBy(*g, F.col(dst).alias("node")).agg(F.sum("hub").alias("a"))
@@ -53,17 +66,11 @@ def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst",
         raw = nodes.join(auth_in, [*g, "node"], "left").join(hub_in, [*g, "node"], "left") \
             .select(*g, "node", F.coalesce("h", F.lit(0.0)).alias("h"), F.coalesce("a", F.lit(0.0)).alias("a"))
         if checkpoint:
-            raw = raw.checkpoint(eager=True)
-        norms = raw.groupBy(*g).agg(F.sqrt(F.sum(F.col("h") * F.col("h"))).alias("nh"),
-                                    F.sqrt(F.sum(F.col("a") * F.col("a"))).alias("na"))
-        if g:
-            norms, _ = broadcast_if_small(norms)  # one row per graph
-            j = raw.join(norms, g)
+            raw = raw.checkpoint(eager=True)  # lineage cut: a lost executor recomputes one round
+        if t == rounds or t % norm_every == 0:
+            scores = normalise(raw)
         else:
-            nh, na = norms.first() if n_nodes else (0.0, 0.0)
-            j = raw.withColumn("nh", F.lit(nh)).withColumn("na", F.lit(na))
-        scores = j.filter((F.col("nh") > 0) & (F.col("na") > 0)).select(
-            *g, "node", (F.col("h") / F.col("nh")).alias("hub"), (F.col("a") / F.col("na")).alias("authority"))
+            scores = raw.select(*g, "node", F.col("h").alias("hub"), F.col("a").alias("authority"))
     return scores
 
 
