@@ -21,6 +21,7 @@ from trawl.operators import embed as E
 from trawl.operators import frontier as FR
 from trawl.operators import links as L
 from trawl.operators import relevance as R
+from trawl.session import ensure_checkpoint_dir
 
 
 def score_blocks(blocks: DataFrame, corpus: DataFrame, scorer: str = "cosine", threshold: float = 0.0,
@@ -38,11 +39,16 @@ def score_blocks(blocks: DataFrame, corpus: DataFrame, scorer: str = "cosine", t
 def crawl_step(pages: DataFrame, frontier: DataFrame, corpus: DataFrame, now: Column, scorer: str = "cosine",
                threshold: float = 0.0, model_fn=None, key_mode: str = "host") -> DataFrame:
     """Returns the next frontier ``(url, key, metadata, status, next_fetch, leased_until)``."""
-    due = FR.due_urls(frontier, now)
+    spark = pages.sparkSession
+    ensure_checkpoint_dir(spark)
+    # ``due`` and the block scores are read by several consumers (fetch join, lease, page
+    # statistics, link priority): they are materialised once to the checkpoint folder instead
+    # of being recomputed per consumer, and their lineage is cut there.
+    due = FR.due_urls(frontier, now).checkpoint(eager=True)
     pages_n = U.materialize(pages.withColumnRenamed("url", "_raw_url"), "url", U.normalise("_raw_url"))
     fetched = pages_n.join(due.select("url"), "url", "left_semi")
     blocks = B.segment_pages(fetched, min_words=B.MIN_WORDS)
-    scored = score_blocks(blocks, corpus, scorer, threshold, model_fn)
+    scored = score_blocks(blocks, corpus, scorer, threshold, model_fn).checkpoint(eager=True)
     stats = R.page_stats(scored, page_col="url")
     bl = scored.select("page_id", "url", "block_idx", F.col("score").alias("block_score"),
                        F.posexplode("links").alias("link_idx", "link"))
