@@ -39,6 +39,17 @@ def seen(rows: DataFrame, history: DataFrame, url_col: str = "url", hist_col: st
     return rows.join(h, U.strip_fragment(url_col) == F.col("_seen"), "left_semi")
 
 
+def mark_seen(rows: DataFrame, history: DataFrame, url_col: str = "url", hist_col: str = "url",
+              out_col: str = "seen") -> DataFrame:
+    """J4 in one pass: flag each row whose fragment-free URL is in ``history`` (left join on the
+    distinct history, broadcast under the checked bound), instead of an anti join and a semi
+    join that would each read the rows."""
+    h = history.select(U.strip_fragment(hist_col).alias("_seen")).distinct().withColumn("_hit", F.lit(True))
+    h, _ = broadcast_if_small(h)
+    return rows.join(h, U.strip_fragment(url_col) == F.col("_seen"), "left") \
+        .withColumn(out_col, F.coalesce(F.col("_hit"), F.lit(False))).drop("_seen", "_hit")
+
+
 def child_status(prioritised: DataFrame, crawled: DataFrame, link_col: str = "link", page_url_col: str = "url",
                  key_cols=("page_id",), fetched_pages: DataFrame | None = None) -> DataFrame:
     """One DISCOVERED row per target (not the page itself, not crawled; earliest date when a

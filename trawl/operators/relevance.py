@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trawl.session import ensure_checkpoint_dir
+
 # Rows of corpus vectors broadcast in one piece (x 64 doubles = 100 MB at the bound).
 MAX_BROADCAST_VECTORS = 200_000
 LOF_EPS = 1e-10
@@ -206,9 +208,12 @@ def lof_fit(corpus: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str
     n = corpus.count()
     if n < k + 1:
         raise ValueError(f"LOF needs at least {k + 1} corpus rows, got {n}")
-    nn = neighbours if neighbours is not None else knn(corpus, corpus, k, id_col, vec_col, exclude_self=True,
-                                                        max_broadcast=max_broadcast)
-    return _fit_from_neighbours(nn, k, id_col)
+    if neighbours is None:
+        # the neighbour lists feed both the k-distances and the reachabilities: computed once
+        ensure_checkpoint_dir(corpus.sparkSession)
+        neighbours = knn(corpus, corpus, k, id_col, vec_col, exclude_self=True,
+                         max_broadcast=max_broadcast).checkpoint(eager=True)
+    return _fit_from_neighbours(neighbours, k, id_col)
 
 
 def lof_score(queries: DataFrame, corpus: DataFrame, model: DataFrame | None = None, k: int = 8,
@@ -216,7 +221,11 @@ def lof_score(queries: DataFrame, corpus: DataFrame, model: DataFrame | None = N
               exclude_self: bool = False, max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
     """L1 + L2: score = 1.5 - LOF(x); adjusted = score - threshold; pred -1 iff adjusted < 0.
     Returns (id_col, lof, raw_score, score, pred)."""
-    nn = knn(queries, corpus, k, id_col, vec_col, exclude_self=exclude_self, max_broadcast=max_broadcast)
+    ensure_checkpoint_dir(queries.sparkSession)
+    # k rows per query, read by the model (leave-one-out) and by the scoring join: materialised
+    # once in the checkpoint folder so the neighbour search runs once
+    nn = knn(queries, corpus, k, id_col, vec_col, exclude_self=exclude_self,
+             max_broadcast=max_broadcast).checkpoint(eager=True)
     if model is None:
         # leave-one-out scoring of the corpus itself: the fit's neighbour lists are the same ones
         same = queries is corpus and exclude_self

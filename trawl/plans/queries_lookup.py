@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions import urls as U
 from trawl.operators import lookup as LK
-from trawl.operators.links import not_seen, seen
+from trawl.operators.links import mark_seen
 from trawl.operators.parse import extract_links
 from trawl.plans import sqlkit as Q
 from trawl.plans.catalog import register
@@ -71,9 +71,9 @@ def q_crawled_anti(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     links = extract_links(pages).withColumn("link_pos", F.col("link_pos").cast("long"))
     n = U.materialize(links, "url", U.normalise("target")).filter(F.col("url").isNotNull())
-    new = not_seen(n, pages).withColumn("status", F.lit("DISCOVERED"))
-    old = seen(n, pages).withColumn("status", F.lit("FETCHED"))
-    return new.unionByName(old).select("page_id", "link_pos", "url", "status")
+    flagged = mark_seen(n, pages)
+    return flagged.select("page_id", "link_pos", "url",
+                          F.when(F.col("seen"), "FETCHED").otherwise("DISCOVERED").alias("status"))
 
 
 @register("embedded_first", f"""

@@ -33,9 +33,12 @@ def lof_scores(spark, sf_dir, threshold=LOF_THRESHOLD):
 
 
 def scored_blocks(spark, sf_dir):
+    """Scored blocks, materialised once: page and segment statistics read them several times."""
+    from trawl.session import ensure_checkpoint_dir
     emb = _emb(spark, sf_dir)
     s = R.lof_score(emb, emb, k=K, threshold=LOF_THRESHOLD, exclude_self=True)
-    return embedding_blocks(emb).join(s, "vec_id")
+    ensure_checkpoint_dir(spark)
+    return embedding_blocks(emb).join(s, "vec_id").checkpoint(eager=True)
 
 
 SQL_E = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
