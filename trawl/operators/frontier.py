@@ -80,7 +80,7 @@ def upsert_status(table: DataFrame, updates: DataFrame, order_cols=("ts",)) -> D
 def split_status(status: DataFrame, redirect: bool = True):
     """(status branch, log branch). With ``redirect`` DISCOVERED rows go to the log branch."""
     if not redirect:
-        return status, status.limit(0)
+        return status, status.filter(F.lit(False))
     disc = F.col("status") == "DISCOVERED"
     return status.filter(~disc), status.filter(disc)
 

@@ -52,10 +52,11 @@ _SHIPPED: set[int] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Zip this package once per SparkContext and ``addPyFile`` it (what ``--py-files`` does)."""
+    """Local runs: zip this package once per SparkContext and ``addPyFile`` it, so Python workers
+    started from any directory can import it. Cluster jobs ship it with ``--py-files``."""
     sc = spark.sparkContext
     key = id(sc._jsc)
-    if key in _SHIPPED:
+    if key in _SHIPPED or not sc.master.startswith("local"):
         return
     import zipfile
 

@@ -11,7 +11,8 @@
   ranked with HITS as soon as they fill up.
 
 Every sink below is either a versioned table or a file sink, so a replayed batch rewrites the
-same output; checkpoints go to the caller's checkpoint location.
+same output; checkpoints and the small loop state (one JSON line per finished batch) go to the
+caller's checkpoint location through the cluster's Hadoop file system.
 """
 
 from __future__ import annotations
@@ -46,12 +47,43 @@ def metric_stream(metrics: DataFrame, seconds: int = 10, delay: str = "1 minute"
     return metric_buckets(metrics.withWatermark(ts_col, delay), seconds, ts_col)
 
 
-def _latest_version(base: str) -> str | None:
-    if not os.path.isdir(base):
-        return None
-    vs = sorted(int(d.split("=")[1]) for d in os.listdir(base) if d.startswith("v=") and
-                os.path.exists(os.path.join(base, d, "_SUCCESS")))
-    return os.path.join(base, f"v={vs[-1]}") if vs else None
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system of ``path`` (local, HDFS, object store: whatever the cluster names)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _committed_dirs(spark: SparkSession, base: str, prefix: str) -> list[tuple[int, str]]:
+    """(number, path) of the sub-folders ``prefix<number>`` of ``base`` that hold a _SUCCESS marker."""
+    fs, jbase = _fs(spark, base)
+    if not fs.exists(jbase):
+        return []
+    out = []
+    for st in fs.listStatus(jbase):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            path = f"{base.rstrip('/')}/{name}"
+            if _fs(spark, path + "/_SUCCESS")[0].exists(_fs(spark, path + "/_SUCCESS")[1]):
+                out.append((int(name[len(prefix):]), path))
+    return sorted(out)
+
+
+def _latest_version(spark: SparkSession, base: str) -> str | None:
+    v = _committed_dirs(spark, base, "v=")
+    return v[-1][1] if v else None
+
+
+def _read_state(spark: SparkSession, state_dir: str, default: dict) -> dict:
+    """Small loop state (a few numbers) stored as one JSON line per finished batch."""
+    done = _committed_dirs(spark, state_dir, "batch=")
+    if not done:
+        return dict(default)
+    return json.loads(spark.read.text(done[-1][1]).first().value)
+
+
+def _write_state(spark: SparkSession, state_dir: str, batch_id: int, state: dict) -> None:
+    spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{state_dir.rstrip('/')}/batch={batch_id}")
 
 
 def crawl_loop(spark: SparkSession, pages_dir: str, status_dir: str, checkpoint: str, pages_schema,
@@ -64,9 +96,9 @@ def crawl_loop(spark: SparkSession, pages_dir: str, status_dir: str, checkpoint:
         found = crawl_next(batch, epsilon=epsilon).select(
             "url", F.col("host").alias("key"), "status", F.col("next_fetch").cast("timestamp").alias("next_fetch"),
             F.lit(batch_id).cast("long").alias("batch"))
-        prev = _latest_version(status_dir)
+        prev = _latest_version(batch.sparkSession, status_dir)
         if prev is None:
-            table = found.limit(0)
+            table = found.filter(F.lit(False))  # empty table with the status schema
         else:
             table = batch.sparkSession.read.parquet(prev)
         new = FR.upsert_status(table, found, order_cols=("batch",))
@@ -78,7 +110,7 @@ def crawl_loop(spark: SparkSession, pages_dir: str, status_dir: str, checkpoint:
 
 
 def read_status(spark: SparkSession, status_dir: str) -> DataFrame:
-    return spark.read.parquet(_latest_version(status_dir))
+    return spark.read.parquet(_latest_version(spark, status_dir))
 
 
 def evaluation_loop(spark: SparkSession, pages_dir: str, out_dir: str, checkpoint: str, pages_schema,
@@ -86,13 +118,10 @@ def evaluation_loop(spark: SparkSession, pages_dir: str, out_dir: str, checkpoin
                     max_files: int = 1):
     """T4: running harvest rate and recall over arriving pages (arrival = batch, then ``order``)."""
     stream = spark.readStream.schema(pages_schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
-    state_file = os.path.join(checkpoint, "eval_totals.json")
+    state_dir = f"{checkpoint.rstrip('/')}/eval_totals"
 
     def step(batch: DataFrame, batch_id: int):
-        tot = {"batch": -1, "rel": 0.0, "n": 0.0, "hits": 0.0}
-        if os.path.exists(state_file):
-            with open(state_file) as fh:
-                tot = json.load(fh)
+        tot = _read_state(spark, state_dir, {"batch": -1, "rel": 0.0, "n": 0.0, "hits": 0.0})
         if tot["batch"] >= batch_id:  # replay of a finished batch: totals already include it
             return
         df = batch.withColumn("_rel", F.col(relevant_col).cast("double")).withColumn("_one", F.lit(1.0))
@@ -111,10 +140,7 @@ def evaluation_loop(spark: SparkSession, pages_dir: str, out_dir: str, checkpoin
         r.unpersist()
         tot = {"batch": batch_id, "rel": tot["rel"] + (sums["_rel"] or 0.0), "n": tot["n"] + (sums["_one"] or 0.0),
                "hits": tot["hits"] + ((sums["_hit"] or 0.0) if targets is not None else 0.0)}
-        os.makedirs(checkpoint, exist_ok=True)
-        with open(state_file + ".tmp", "w") as fh:
-            json.dump(tot, fh)
-        os.replace(state_file + ".tmp", state_file)
+        _write_state(spark, state_dir, batch_id, tot)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
@@ -125,13 +151,10 @@ def hits_window_loop(spark: SparkSession, pages_dir: str, edges_dir: str, scores
     """T5: page links accumulate with their arrival number; every complete window of ``window``
     pages is ranked once (the last, partial window waits for more pages)."""
     stream = spark.readStream.schema(pages_schema).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
-    state_file = os.path.join(checkpoint, "hits_state.json")
+    state_dir = f"{checkpoint.rstrip('/')}/hits_state"
 
     def step(batch: DataFrame, batch_id: int):
-        st = {"batch": -1, "pages": 0, "ranked": 0}
-        if os.path.exists(state_file):
-            with open(state_file) as fh:
-                st = json.load(fh)
+        st = _read_state(spark, state_dir, {"batch": -1, "pages": 0, "ranked": 0})
         if st["batch"] >= batch_id:
             return
         from trawl.operators.ordered import position_within
@@ -149,10 +172,7 @@ def hits_window_loop(spark: SparkSession, pages_dir: str, edges_dir: str, scores
             hits(e.select("graph", "src", "dst"), rounds=rounds, graph_col="graph") \
                 .write.mode("overwrite").parquet(os.path.join(scores_dir, f"upto={complete}"))
         st = {"batch": batch_id, "pages": n_pages, "ranked": max(st["ranked"], complete)}
-        os.makedirs(checkpoint, exist_ok=True)
-        with open(state_file + ".tmp", "w") as fh:
-            json.dump(st, fh)
-        os.replace(state_file + ".tmp", state_file)
+        _write_state(spark, state_dir, batch_id, st)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
