@@ -23,7 +23,7 @@ def _labelled_docs(spark, sf_dir):
 @register("harvest_rate", """
 WITH d AS (SELECT l.doc_id, l.quality, d.n_chars FROM labels l JOIN documents d USING (doc_id))
 SELECT doc_id,
-       sum(quality) OVER w AS cum_relevant, count(*) OVER w AS cum_total,
+       (sum(quality) OVER w)::BIGINT AS cum_relevant, count(*) OVER w AS cum_total,
        round(sum(quality) OVER w / count(*) OVER w, 6) AS harvest_rate,
        (sum(n_chars) OVER w)::DOUBLE AS cum_time
 FROM d WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
@@ -39,7 +39,7 @@ def q_harvest_rate(spark, sf_dir):
 WITH t AS (SELECT DISTINCT 'doc:' || doc_id AS url FROM labels WHERE toxic = 1),
 d AS (SELECT doc_id, 'doc:' || doc_id AS url FROM documents),
 h AS (SELECT d.doc_id, (t.url IS NOT NULL)::INTEGER AS hit FROM d LEFT JOIN t USING (url))
-SELECT doc_id, sum(hit) OVER w AS cum_hits, round(sum(hit) OVER w / (SELECT count(*) FROM t), 6) AS recall
+SELECT doc_id, (sum(hit) OVER w)::BIGINT AS cum_hits, round(sum(hit) OVER w / (SELECT count(*) FROM t), 6) AS recall
 FROM h WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def q_recall_running(spark, sf_dir):
