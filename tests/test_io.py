@@ -135,3 +135,13 @@ def test_sub_documents_and_page_report(spark):
     rep = WR.page_debug_report(sc, R.segment_stats(sc), R.page_stats(sc)).collect()
     assert any(r.line.startswith("pred: 1 score: 0.500000") for r in rep) and len(rep) == 1 + 4 + 1
     assert os.path.exists(SF_SMALL)
+
+
+def test_politeness_threads(spark):
+    urls = spark.createDataFrame([(f"http://a.example.com/{i}", "a.example.com") for i in range(5)]
+                                 + [(f"http://b.example.org/{i}", "b.example.org") for i in range(4)], "url string, key string")
+    delays = spark.createDataFrame([("a.example.com", 2.0)], "key string, delay double")
+    p = FR.politeness_plan(urls, delays, order=("url",), min_delay=0.5, thread_rules=[(r"\.org$", 2)])
+    got = {r.url: (r.queue_pos, r.slot_s) for r in p.collect()}
+    assert got["http://a.example.com/4"] == (5, 8.0)   # 1 thread, 2 s apart
+    assert got["http://b.example.org/3"] == (4, 0.5)   # 2 threads, min delay: floor(3/2) * 0.5

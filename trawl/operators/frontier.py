@@ -140,21 +140,32 @@ def status_log_line(ts, status, next_fetch, url, key, md) -> Column:
 
 def politeness_plan(urls: DataFrame, delays: DataFrame | None = None, key_col: str = "key",
                     order=("url",), default_delay: float = 1.0, min_delay: float = 0.0,
-                    threads: int = 1) -> DataFrame:
+                    threads: int = 1, thread_rules: list[tuple[str, int]] | None = None) -> DataFrame:
     """earliest fetch slot (seconds from the start) of each URL in its queue: position p in
     the queue (skew-safe), slot = floor((p-1)/threads) * delay; with several threads per queue
-    the minimum delay applies; a larger queue-specific delay wins."""
+    the minimum delay applies. Per-queue values come from ``delays(key, delay[, threads])`` and
+    from ``thread_rules`` [(queue regex, threads), ...] (first match wins), else the defaults."""
     pos = position_within(urls, [key_col], list(order), out="queue_pos")
+    q_threads = F.lit(threads)
+    if thread_rules:
+        rule = None
+        for rx, n in thread_rules:
+            rule = F.when(F.col(key_col).rlike(rx), F.lit(n)) if rule is None else rule.when(F.col(key_col).rlike(rx), F.lit(n))
+        q_threads = rule.otherwise(q_threads)
     if delays is not None:
-        qd, _ = broadcast_if_small(delays.select(key_col, F.col("delay").alias("_qd")))
+        cols = [key_col, F.col("delay").alias("_qd")] + ([F.col("threads").alias("_qt")] if "threads" in delays.columns else [])
+        qd, _ = broadcast_if_small(delays.select(*cols))  # one row per queue, size checked
         pos = pos.join(qd, key_col, "left")
         base = F.coalesce(F.col("_qd"), F.lit(default_delay))
+        if "threads" in delays.columns:
+            q_threads = F.coalesce(F.col("_qt"), q_threads)
     else:
         base = F.lit(default_delay)
-    d = F.lit(min_delay) if threads > 1 else base
-    out = pos.withColumn("delay", d).withColumn(
-        "slot_s", F.floor((F.col("queue_pos") - 1) / F.lit(threads)) * F.col("delay"))
-    return out.drop("_qd") if delays is not None else out
+    out = pos.withColumn("threads", q_threads.cast("int"))
+    out = out.withColumn("delay", F.when(F.col("threads") > 1, F.lit(min_delay)).otherwise(base)).withColumn(
+        "slot_s", F.floor((F.col("queue_pos") - 1) / F.col("threads")) * F.col("delay"))
+    return out.drop("_qd", "_qt", "threads") if threads == 1 and not thread_rules and (
+        delays is None or "threads" not in delays.columns) else out.drop("_qd", "_qt")
 
 
 def round_robin(planned: DataFrame, key_col: str = "key") -> DataFrame:
