@@ -168,6 +168,17 @@ def politeness_plan(urls: DataFrame, delays: DataFrame | None = None, key_col: s
         delays is None or "threads" not in delays.columns) else out.drop("_qd", "_qt")
 
 
+def apply_crawl_delay(queues: DataFrame, robots_delay_col: str = "robots_delay", **rule) -> DataFrame:
+    """F6 as rows: the queue delay, or (delay beyond the maximum and not forced) an ERROR row
+    with cause ``crawl_delay`` for the queue's URLs."""
+    from trawl.functions.schedule import crawl_delay
+
+    d = crawl_delay(F.col(robots_delay_col), **rule)
+    return queues.withColumn("delay", d) \
+        .withColumn("status", F.when(F.col("delay").isNull(), F.lit("ERROR"))) \
+        .withColumn("error_cause", F.when(F.col("delay").isNull(), F.lit("crawl_delay")))
+
+
 def round_robin(planned: DataFrame, key_col: str = "key") -> DataFrame:
     """global hand-out order rotating over queues: by (position in queue, queue)."""
     return position_within(planned, [], ["queue_pos", key_col], out="rr_order")

@@ -328,13 +328,16 @@ def _urls_by_host(spark, sf_dir):
 
 @register("crawl_delay_rule", f"""
 SELECT DISTINCT {Q.host('url')} AS key, length({Q.host('url')}) * 1.5::DOUBLE AS robots_delay,
-       CASE WHEN length({Q.host('url')}) * 1.5::DOUBLE > 30.0 THEN NULL ELSE length({Q.host('url')}) * 1.5::DOUBLE END AS delay
+       CASE WHEN length({Q.host('url')}) * 1.5::DOUBLE > 30.0 THEN NULL ELSE length({Q.host('url')}) * 1.5::DOUBLE END AS delay,
+       CASE WHEN length({Q.host('url')}) * 1.5::DOUBLE > 30.0 THEN 'ERROR' END AS status,
+       CASE WHEN length({Q.host('url')}) * 1.5::DOUBLE > 30.0 THEN 'crawl_delay' END AS error_cause
 FROM pages
 """)
 def q_crawl_delay_rule(spark, sf_dir):
     u = _urls_by_host(spark, sf_dir).select("key").distinct()
     r = F.length("key") * 1.5
-    return u.select("key", r.alias("robots_delay"), S.crawl_delay(r).alias("delay"))
+    return FR.apply_crawl_delay(u.select("key", r.alias("robots_delay")), "robots_delay") \
+        .select("key", "robots_delay", "delay", "status", "error_cause")
 
 
 def _delays(urls):
