@@ -135,23 +135,26 @@ def write_warc(records: DataFrame, out_dir: str, crawler: str = "", max_records:
 
 
 def _split_records(data: bytes):
-    """Yield (header dict, block bytes) for each record of a (multi-member) gzip archive."""
-    raw = gzip.decompress(data)
-    pos = 0
-    while pos < len(raw):
-        end = raw.find(b"\r\n\r\n", pos)
-        if end < 0:
-            break
-        head = raw[pos:end].decode("utf-8", "replace").split("\r\n")
+    """Yield (header dict, block bytes) for each record of a (multi-member) gzip archive,
+    decompressing as a stream: memory holds the compressed file and one record at a time."""
+    stream = gzip.GzipFile(fileobj=io.BytesIO(data))
+    while True:
+        line = stream.readline()
+        if not line:
+            return
+        if not line.strip():
+            continue  # blank lines between records
         fields = {}
-        for line in head[1:]:
-            if ": " in line:
-                k, v = line.split(": ", 1)
+        while True:
+            h = stream.readline()
+            if not h or not h.strip():
+                break
+            text = h.decode("utf-8", "replace").rstrip("\r\n")
+            if ": " in text:
+                k, v = text.split(": ", 1)
                 fields[k] = v
         n = int(fields.get("Content-Length", "0"))
-        start = end + 4
-        yield fields, raw[start:start + n]
-        pos = start + n + 4
+        yield fields, stream.read(n)
 
 
 def read_warc(spark, paths) -> DataFrame:
@@ -159,7 +162,8 @@ def read_warc(spark, paths) -> DataFrame:
     full header map. One task per file (files are bounded by the writer's rotation)."""
     files = spark.read.format("binaryFile").load(paths)
 
-    def split(batches):
+    def split(batches, batch_rows: int = 1000):
+        cols = ["url", "content", "metadata", "headers"]
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
@@ -173,7 +177,11 @@ def read_warc(spark, paths) -> DataFrame:
                     rows.append((fields.get("WARC-Target-URI"), payload,
                                  {"warc.path": [path], "warc.type": [fields.get("WARC-Type")],
                                   "warc.date": [fields.get("WARC-Date")]}, fields))
-            yield pd.DataFrame(rows, columns=["url", "content", "metadata", "headers"])
+                    if len(rows) >= batch_rows:  # bounded output batches
+                        yield pd.DataFrame(rows, columns=cols)
+                        rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=cols)
 
     schema = T.StructType([
         T.StructField("url", T.StringType()), T.StructField("content", T.BinaryType()),
