@@ -63,7 +63,9 @@ def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst",
             .groupBy(*g, F.col(dst).alias("node")).agg(F.sum("hub").alias("a"))
         hub_in = e.join(s.select(*g, F.col("node").alias(dst), "authority"), [*g, dst]) \
             .groupBy(*g, F.col(src).alias("node")).agg(F.sum("authority").alias("h"))
-        raw = nodes.join(auth_in, [*g, "node"], "left").join(hub_in, [*g, "node"], "left") \
+        # every node ends an edge or starts one, so the full outer join of the two sums already
+        # holds every node (no join with the node list per round)
+        raw = auth_in.join(hub_in, [*g, "node"], "full_outer") \
             .select(*g, "node", F.coalesce("h", F.lit(0.0)).alias("h"), F.coalesce("a", F.lit(0.0)).alias("a"))
         if checkpoint:
             raw = raw.checkpoint(eager=True)  # lineage cut: a lost executor recomputes one round
