@@ -48,3 +48,12 @@ def test_top_k_and_json_roundtrip(spark):
     js = G.graph_json(df)
     back = G.read_graph_json(js.withColumnRenamed("json", "value"))
     assert sorted(map(tuple, back.collect())) == sorted(EDGES)
+
+
+def test_partitioned_path_equals_broadcast_path(spark):
+    rows = [(f"s{i % 17}", f"p{(i * 7) % 31}") for i in range(300)]
+    df = spark.createDataFrame(rows, "src string, dst string")
+    a = {r.node: (r.hub, r.authority) for r in G.hits(df).collect()}
+    b = {r.node: (r.hub, r.authority) for r in G.hits(df, max_broadcast_nodes=0).collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k][0] - b[k][0]) < 1e-12 and abs(a[k][1] - b[k][1]) < 1e-12 for k in a)

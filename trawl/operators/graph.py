@@ -26,7 +26,7 @@ def distinct_edges(edges: DataFrame, src: str = "src", dst: str = "dst", graph_c
 
 
 def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst", graph_col: str | None = None,
-         checkpoint: bool = True, norm_every: int = 8) -> DataFrame:
+         checkpoint: bool = True, norm_every: int = 8, max_broadcast_nodes: int = MAX_BROADCAST_NODES) -> DataFrame:
     """H1: hub and authority scores of every node, per graph.
 
     Returns (graph?, node, hub, authority). Graphs without edges (zero norm) give no rows.
@@ -39,8 +39,18 @@ def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst",
         e = e.checkpoint(eager=True)
     nodes = e.select(*g, F.col(src).alias("node")).union(e.select(*g, F.col(dst).alias("node"))).distinct()
     n_nodes = nodes.count()
-    small = n_nodes <= MAX_BROADCAST_NODES
+    small = n_nodes <= max_broadcast_nodes
     scores = nodes.select(*g, "node", F.lit(1.0).alias("hub"), F.lit(1.0).alias("authority"))
+    e_by_src = e_by_dst = e
+    if not small:
+        # Scores too large to broadcast: keep two copies of the edges hash-partitioned by source
+        # and by target (checkpoint keeps the partitioning), so each round shuffles only the
+        # scores and the partial sums, never the edges again.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        e_by_src = e.repartition(n, *g, src)
+        e_by_dst = e.repartition(n, *g, dst)
+        if checkpoint:
+            e_by_src, e_by_dst = e_by_src.checkpoint(eager=True), e_by_dst.checkpoint(eager=True)
 
     def normalise(raw: DataFrame) -> DataFrame:
         norms = raw.groupBy(*g).agg(F.sqrt(F.sum(F.col("h") * F.col("h"))).alias("nh"),
@@ -59,9 +69,9 @@ def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst",
     # every ``norm_every`` rounds (bounding their growth) and at the end, not in a job per round.
     for t in range(1, rounds + 1):
         s = F.broadcast(scores) if small else scores
-        auth_in = e.join(s.select(*g, F.col("node").alias(src), "hub"), [*g, src]) \
+        auth_in = e_by_src.join(s.select(*g, F.col("node").alias(src), "hub"), [*g, src]) \
             .groupBy(*g, F.col(dst).alias("node")).agg(F.sum("hub").alias("a"))
-        hub_in = e.join(s.select(*g, F.col("node").alias(dst), "authority"), [*g, dst]) \
+        hub_in = e_by_dst.join(s.select(*g, F.col("node").alias(dst), "authority"), [*g, dst]) \
             .groupBy(*g, F.col(src).alias("node")).agg(F.sum("authority").alias("h"))
         # every node ends an edge or starts one, so the full outer join of the two sums already
         # holds every node (no join with the node list per round)
