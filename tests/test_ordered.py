@@ -41,3 +41,13 @@ def test_running_sums(spark):
     exp = df.withColumn("c", F.sum("x").over(Window.orderBy("uid").rowsBetween(Window.unboundedPreceding, 0))) \
         .toPandas().sort_values("uid")
     assert (abs(got.cum_x.to_numpy() - exp.c.to_numpy()) < 1e-6).all()
+
+
+def test_hot_key_spans_several_tasks(spark):
+    """The hot key (a third of the rows) is spread over several range partitions, not one task."""
+    df = skewed(spark, 3000)
+    n = 6
+    cols = [F.col("key"), F.col("v"), F.col("uid")]
+    parts = df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id()) \
+        .filter(F.col("key") == "hot").select("_pid").distinct().count()
+    assert parts >= 2
