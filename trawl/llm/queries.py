@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import concat_cut, heap_bpe, merge_replay
+from trawl.llm import boosted, concat_cut, ftrl, heap_bpe, merge_replay
 from trawl.llm.store import load
 
 JSON_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,10 +18,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_bpe.token_counts(load(spark, sf_dir, "documents"), JSON_BPE, public_tokenizers.PATTERN)
 
 
+def op6_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return boosted.quality(docs, boosted.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op7_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concat_cut.pack(load(spark, sf_dir, "documents"), JSON_BPE, public_tokenizers.PATTERN)
 
 
+def op9_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return ftrl.scored(docs, ftrl.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.digests(load(spark, sf_dir, "documents"), RANK_BPE, public_tokenizers.PATTERN)
 
