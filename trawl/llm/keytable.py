@@ -1,0 +1,47 @@
+"""Index of distinct 64-bit keys in numpy (open addressing), looked up for whole arrays at once."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from trawl.llm.text import U64, mix
+
+
+class KeyTable:
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys.astype(U64)
+        size = 1 << max(4, int(2 * len(keys)).bit_length())
+        self.mask = U64(size - 1)
+        self.slot = np.full(size, -1, np.int32)
+        todo = np.arange(len(keys))
+        at = mix(self.keys) & self.mask
+        while len(todo):
+            free = self.slot[at[todo]] < 0
+            self.slot[at[todo[free]]] = todo[free]
+            todo = todo[self.slot[at[todo]] != todo]
+            at[todo] = (at[todo] + U64(1)) & self.mask
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key in the table, -1 where it is absent."""
+        keys = keys.astype(U64, copy=False)
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = mix(keys) & self.mask
+        out = self.slot[at].astype(np.int64)
+        todo = np.flatnonzero((out >= 0) & (self.keys[out] != keys))
+        while len(todo):
+            at[todo] = (at[todo] + U64(1)) & self.mask
+            got = self.slot[at[todo]]
+            out[todo] = got
+            todo = todo[(got >= 0) & (self.keys[got] != keys[todo])]
+        return out
+
+
+def add_up(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, summed counts)."""
+    if counts is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    new = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
+    return k[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]

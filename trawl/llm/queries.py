@@ -7,13 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import boosted, concat_cut, ftrl, heap_bpe, merge_replay
+from trawl.llm import boosted, concat_cut, ftrl, fusion, heap_bpe, merge_replay, suffix_tree
 from trawl.llm.store import load
 
 JSON_BPE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(load(spark, sf_dir, "documents"))
+
+
+def op4_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: doc_id, lang, posterior, kept."""
+    docs = load(spark, sf_dir, "documents")
+    got = fusion.identify(fusion.of_documents(docs), *fusion.trigram_tables(docs))
+    return got.selectExpr("row_id as doc_id", "lang", "posterior", "accepted as kept")
+
+
+def page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over ``pages``, with declared language, address suffix and host."""
+    tables = fusion.trigram_tables(load(spark, sf_dir, "documents"))
+    got = fusion.identify(fusion.of_pages(load(spark, sf_dir, "pages")), *tables)
+    return got.selectExpr("row_id as page_id", "lang", "posterior", "accepted as kept")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_bpe.token_counts(load(spark, sf_dir, "documents"), JSON_BPE, public_tokenizers.PATTERN)
 
@@ -37,7 +55,8 @@ def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    out = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return out | {"page_language": page_language}
 
 
 def oracle_sql() -> dict[str, str]:
