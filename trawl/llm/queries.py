@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import boosted, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, suffix_tree
+from trawl.llm import boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, suffix_tree
 from trawl.llm.store import load
 
 JSON_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,10 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op3_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup(load(spark, sf_dir, "documents"))
+
+
 def op4_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: doc_id, lang, posterior, kept."""
     docs = load(spark, sf_dir, "documents")
