@@ -44,11 +44,11 @@ _FIRST = -(1 << 63)  # a null id
 _REPEAT, _CHECK, _HOT = 0, 1, 2
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``columns`` with the id that orders documents and the hash that tells equal ids apart."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("id"),
-        F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 41).alias("rid"),
-        F.col("text"), F.col("doc_id").cast("long").alias("doc_id"))
+        F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 41).alias("rid"), *columns)
 
 
 def _segments(keyed: DataFrame, window: int) -> DataFrame:
@@ -235,15 +235,12 @@ def _merged(sent: DataFrame, window: int, chunk_bytes: int = 1 << 20) -> DataFra
     return dealt.mapInArrow(task, "id long, pos long, n int")
 
 
-def dedup(docs: DataFrame, window: int = 100, text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and, with ``text``, the kept text) per row."""
-    keyed = _keyed(docs)
+def _spans(keyed: DataFrame, window: int) -> DataFrame:
+    """(id, rid, spans): starts and ends of the removed spans of every document that has any."""
     judged = persist(_judged(_segments(keyed, window)), "judged")
     more = _merged(_sent(keyed, judged, window), window)
     runs = judged.where(F.col("kind") == _REPEAT).select("id", "pos", F.shiftright("size", 8).alias("n")) \
         .unionByName(more)
-
-    # unite the windows of each document into spans; a document's runs are sorted by start
     lists = runs.groupBy("id", F.shiftright("pos", _RID).alias("rid")).agg(F.collect_list(F.struct(
         (F.col("pos").bitwiseAND((1 << _RID) - 1)).alias("at"), "n")).alias("runs"))
 
@@ -257,36 +254,57 @@ def dedup(docs: DataFrame, window: int = 100, text: bool = False) -> DataFrame:
                 o = np.argsort(at[x:y], kind="stable")
                 lo, hi = at[x:y][o], at[x:y][o] + n[x:y][o] - 1 + window
                 top = np.maximum.accumulate(hi)
-                new = np.concatenate(([True], lo[1:] > top[:-1]))
-                cut = np.flatnonzero(new)
+                cut = np.flatnonzero(np.concatenate(([True], lo[1:] > top[:-1])))
                 spans.append(np.stack((lo[cut], top[np.append(cut[1:], len(lo)) - 1]), 1).ravel())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, pa.list_(pa.int64()))],
                                              ["id", "rid", "spans"])
 
-    spans = persist(lists.mapInArrow(unite, "id long, rid long, spans array<long>"), "spans")
+    return persist(lists.mapInArrow(unite, "id long, rid long, spans array<long>"), "spans")
+
+
+def _with_spans(keyed: DataFrame, window: int) -> DataFrame:
+    spans = _spans(keyed, window)
     size = spans.agg(F.sum(F.size("spans") * 8 + 32)).first()[0] or 0
+    return keyed.join(_bounded(spans, size), ["id", "rid"], "left")
+
 
-    def keep(batches):
+def _left(text: str | None, spans: list[int] | None) -> tuple[int, bytes]:
+    """(bytes of the text, its bytes outside the spans)."""
+    data = (text or "").encode()
+    edge = [0, *(spans or []), len(data)]
+    return len(data), b"".join([data[x:y] for x, y in zip(edge[::2], edge[1::2], strict=True)])
+
+
+def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row."""
+
+    def task(batches):
+        for b in batches:
+            spans = b.column(2).to_pylist()
+            got = [_left(t, s) for t, s in zip(b.column(1).to_pylist(), spans, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([n for n, _ in got], pa.int64()),
+                 pa.array([n - len(x) for n, x in got], pa.int64()),
+                 pa.array([len(s or []) // 2 for s in spans], pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for _, x in got], pa.string())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    rows = _with_spans(_keyed(docs), window).select(F.col("doc_id").cast("long"), "text", "spans")
+    return rows.mapInArrow(
+        task, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def cleaned(docs: DataFrame, columns: list[str], window: int = 100) -> DataFrame:
+    """``columns`` of every row with the repeated passages taken out of its text (a null text stays
+    null; bytes of a character that is cut apart go)."""
+
+    def task(batches):
         for b in batches:
-            n, removed, count, sha, kept = [], [], [], [], []
-            for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data = (t or "").encode()
-                s = s or []
-                edge = [0, *s, len(data)]
-                left = b"".join([data[x:y] for x, y in zip(edge[::2], edge[1::2], strict=True)])
-                n.append(len(data))
-                removed.append(len(data) - len(left))
-                count.append(len(s) // 2)
-                sha.append(hashlib.sha256(left).hexdigest())
-                if text:
-                    kept.append(None if t is None else left.decode("utf-8", "ignore"))
-            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
-                    pa.array(sha, pa.string())]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if text:
-                cols, names = [*cols, b.column(3), pa.array(kept, pa.string())], [*names, "rid", "kept_text"]
-            yield pa.RecordBatch.from_arrays(cols, names)
-
-    rows = keyed.join(_bounded(spans, size), ["id", "rid"], "left").select("doc_id", "text", "spans", "rid")
-    return rows.mapInArrow(keep, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-                           + (", rid long, kept_text string" if text else ""))
+            at = b.schema.get_field_index("text")
+            texts = [None if t is None else _left(t, s)[1].decode("utf-8", "ignore") for t, s in
+                     zip(b.column(at).to_pylist(), b.column(len(columns)).to_pylist(), strict=True)]
+            cols = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(len(columns))]
+            yield pa.RecordBatch.from_arrays(cols, columns)
+
+    schema = docs.select(*columns).schema
+    return _with_spans(_keyed(docs, tuple(columns)), window).select(*columns, "spans").mapInArrow(task, schema)

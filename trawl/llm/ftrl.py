@@ -133,3 +133,15 @@ def scored(docs: DataFrame, weights: np.ndarray, held_out: int = 0, keep_at: flo
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold() == held_out).alias("held_out")) \
         .mapInArrow(task, SCHEMA)
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, keep_at: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` with a score of ``keep_at`` or more, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def task(batches):
+        for b in batches:
+            s = score_column(b.column(b.schema.get_field_index("text")), shared.value)
+            yield b.filter(pa.array(s >= keep_at))
+
+    return docs.mapInArrow(task, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.store import persist
+from trawl.llm.store import bounded, persist
 from trawl.llm.text import LOWER, blocks
 
 CELLS = 1 << 15
@@ -186,3 +186,12 @@ def of_pages(pages: DataFrame) -> DataFrame:
     declared = F.regexp_extract("html", r"""(?is)<html\b[^>]*?\slang\s*=\s*["']?([a-zA-Z]{2,3})""", 1)
     return pages.select(F.col("page_id").alias("row_id"), text.alias("text"), declared.alias("declared"),
                         F.regexp_extract(host, r"\.([a-z]+)$", 1).alias("suffix"), host.alias("host"))
+
+
+def accepted(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
+    """The rows of ``docs`` (documents) whose language is accepted, all columns. A row is known by
+    the hash of its id and text."""
+    key = F.xxhash64("doc_id", "text")
+    verdict = identify(of_documents(docs).withColumn("row_id", F.xxhash64("row_id", "text")), langs, table)
+    gone = persist(verdict.where(~F.col("accepted")).select(F.col("row_id").alias("gone")).distinct(), "rejected")
+    return docs.join(bounded(gone), key == F.col("gone"), "left_anti")

@@ -27,13 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.components import components
-from trawl.llm.store import persist
+from trawl.llm.store import bounded, persist
 from trawl.llm.text import U64, blocks, hashed_words, mix, stream, windows
 
 ORDERS, BASE, DEPTH, NEAR, FIRST_ORDERS = 24, 4, 12, 6, 2
 _VALUES = ORDERS * BASE
-#: Rows of a side that may be broadcast (ids of 8 bytes: 16 MB).
-BROADCAST_IDS = 2_000_000
 
 
 def _orders() -> np.ndarray:
@@ -190,11 +188,6 @@ def candidates(classes: DataFrame, near: int = NEAR) -> DataFrame:
     return pairs.where("a < b").groupBy("a", "b").agg(F.max("first").alias("first"))
 
 
-def _bounded(ids: DataFrame) -> DataFrame:
-    """A written list of ids, broadcast if it is small enough, joined by a shuffle otherwise."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, set): sorted shingle hashes of the documents of ``ids``."""
 
@@ -205,7 +198,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                     [b.column(0).slice(lo, hi - lo),
                      pa.array([s.tobytes() for s in shingle_sets(data, off, size)], pa.binary())], ["id", "set"])
 
-    rows = docs.selectExpr("cast(doc_id as long) id", "text").join(_bounded(ids), "id")
+    rows = docs.selectExpr("cast(doc_id as long) id", "text").join(bounded(ids), "id")
     return rows.select("id", "text").mapInArrow(task, "id long, set binary")
 
 

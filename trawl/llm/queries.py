@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, suffix_tree
+from trawl.llm import boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, projected_search, suffix_tree
 from trawl.llm.store import load
 
 JSON_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,10 @@ def op7_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concat_cut.pack(load(spark, sf_dir, "documents"), JSON_BPE, public_tokenizers.PATTERN)
 
 
+def op8_projected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_search.nearest(load(spark, sf_dir, "embeddings"))
+
+
 def op9_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return ftrl.scored(docs, ftrl.fit(docs, load(spark, sf_dir, "labels")))

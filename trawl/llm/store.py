@@ -6,10 +6,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trawl.session import configure, ensure_checkpoint_dir, load_table
 
-__all__ = ["load", "persist"]
+#: Ids of a list that may be broadcast (8 bytes each: 16 MB).
+BROADCAST_IDS = 2_000_000
 
 
 def persist(df: DataFrame, name: str) -> DataFrame:
@@ -25,3 +27,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, spread over the cores where its scan has fewer splits."""
     configure(spark)
     return load_table(spark, sf_dir, name, spread=True)
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """A written list of ids: broadcast if it is short enough, joined by a shuffle otherwise."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
