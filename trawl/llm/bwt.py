@@ -15,108 +15,98 @@ import numpy as np
 
 
 class Strings:
-    """Concatenated strings with the ``step``-byte code that starts at every place."""
+    """Concatenated strings with codes of the bytes that start at every place: ``wide`` bytes at a
+    time, and ``rest`` once to make up ``depth``. Codes are ranks of byte strings in 16 bits; the
+    width is the largest whose distinct byte strings fit."""
 
     def __init__(self, parts: list[bytes], depth: int):
         self.data = np.frombuffer(b"".join(parts), np.uint8)
         size = np.array([len(p) for p in parts], np.int64)
-        first = np.cumsum(size) - size
+        self.offsets = np.cumsum(size) - size
         self.string = np.repeat(np.arange(len(parts)), size)
-        self.first, self.size = first[self.string], size[self.string]
+        self.first, self.size = self.offsets[self.string], size[self.string]
         self.rel = np.arange(len(self.data)) - self.first
-        self.offsets = first
-        d = self.data.astype(np.uint32)
-        for self.step in (4, 2, 1):
-            if depth % self.step:
-                continue
-            code = d
-            for k in range(1, self.step):
-                code = (code << np.uint32(8)) | d[self.after(k)]
-            if self.step == 4:
-                values, code = np.unique(code, return_inverse=True)
-                if len(values) > 1 << 16:
-                    continue
-            break
-        self.code = code.astype(np.uint16)
+        for wide in (8, 4, 2):
+            code = self._code(wide)
+            if code is not None:
+                break
+        self.widths = [depth % wide] * bool(depth % wide) + [wide] * (depth // wide)
+        self.code = {wide: code} | {w: self._code(w) for w in set(self.widths) - {wide}}
 
-    def after(self, k: int) -> np.ndarray:
-        """Place ``k`` bytes after every place, cyclically."""
-        r = self.rel + k
-        over = r >= self.size
+    def _code(self, width: int) -> np.ndarray | None:
+        code = self.data.astype(np.uint64)
+        for k in range(1, width):
+            code = (code << np.uint64(8)) | self.data[self.at(k)]
+        if width > 2:
+            values, code = np.unique(code, return_inverse=True)
+            if len(values) > 1 << 16:
+                return None
+        return code.astype(np.uint16)
+
+    def at(self, k: int, places=slice(None)) -> np.ndarray:
+        """Place ``k`` bytes after (before, if negative) each of ``places``, cyclically."""
+        r, size = self.rel[places] + k, self.size[places]
+        over = (r >= size) | (r < 0)
         if over.any():
-            r[over] %= self.size[over]
-        return self.first + r
+            r[over] %= size[over]
+        return self.first[places] + r
 
-    def shard(self, places: np.ndarray, depth: int) -> np.ndarray:
+    def shard(self, places: np.ndarray) -> np.ndarray:
         """``places`` sorted by their first ``depth`` bytes."""
-        order = places
-        for k in range(depth - self.step, -1, -self.step):
-            at = self.rel[order] + k
-            over = at >= self.size[order]
-            if over.any():
-                at[over] %= self.size[order][over]
-            order = order[np.argsort(self.code[self.first[order] + at], kind="stable")]
+        order, k = places, sum(self.widths)
+        for w in self.widths:
+            k -= w
+            order = order[np.argsort(self.code[w][self.at(k, order)], kind="stable")]
         return order
 
-    def before(self, order: np.ndarray) -> np.ndarray:
+    def before(self, order: np.ndarray, width: int) -> np.ndarray:
         """The transform: code of the bytes before each suffix."""
-        at = self.rel[order] - self.step
-        under = at < 0
-        if under.any():
-            at[under] %= self.size[order][under]
-        return self.code[self.first[order] + at]
+        return self.code[width][self.at(-width, order)]
 
 
-def merge(s: Strings, left: np.ndarray, right: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(merged order, common prefix with the place before, in steps; depth // step: all)."""
-    b0, b1 = s.before(left), s.before(right)
-    z = np.zeros(len(left) + len(right), bool)
+def merge(s: Strings, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(merged order, bytes known to be shared with the place before; the depth: all of them)."""
+    transforms = {w: np.concatenate((s.before(left, w), s.before(right, w))) for w in set(s.widths)}
+    n, depth = len(left) + len(right), sum(s.widths)
+    z = np.zeros(n, bool)
     z[len(left):] = True
-    block = np.zeros(len(z), np.int32)
-    prefix = np.full(len(z), depth // s.step, np.int16)
-    for rounds in range(depth // s.step):
-        sym = np.empty(len(z), np.uint16)
-        sym[~z], sym[z] = b0, b1
+    block = np.zeros(n, np.int32)
+    prefix = np.full(n, depth, np.int16)
+    done = 0
+    for width in s.widths:
+        ones = np.cumsum(z)
+        sym = transforms[width][np.where(z, len(left) - 1 + ones, np.arange(n) - ones)]
         order = np.argsort(sym, kind="stable")
-        z = z[order]
-        sym, old = sym[order], block[order]
-        new = np.empty(len(z), bool)
-        new[0] = True
-        np.not_equal(sym[1:], sym[:-1], out=new[1:])
-        new[1:] |= old[1:] != old[:-1]
-        prefix[new & (prefix == depth // s.step)] = rounds
+        z, sym, old = z[order], sym[order], block[order]
+        new = np.ones(n, bool)
+        new[1:] = (sym[1:] != sym[:-1]) | (old[1:] != old[:-1])
+        prefix[new & (prefix == depth)] = done
         block = np.cumsum(new, dtype=np.int32)
-    merged = np.empty(len(z), np.int64)
-    merged[~z], merged[z] = left, right
-    return merged, prefix
+        done += width
+    ones = np.cumsum(z)
+    return np.where(z, right[ones - 1], left[np.minimum(np.arange(n) - ones, len(left) - 1)]), prefix
 
 
-def repeated(parts: list[bytes], windows: np.ndarray, depth: int, shard_bytes: int = 1 << 19):
+def repeated(parts: list[bytes], windows: np.ndarray, depth: int, shards: int = 2):
     """(string, window start) of every window of ``depth`` bytes that equals one of an earlier
     string (strings are in order of precedence; ``windows[i]`` starts of string i count)."""
+    none = np.zeros(0, np.int64)
+    if len(parts) < 2:
+        return none, none
     s = Strings(parts, depth)
     n = len(parts)
-    # shards of whole strings, merged pairwise
-    cuts = np.unique(np.concatenate(([0, n // 2, n], np.searchsorted(s.offsets, np.arange(0, len(s.data), shard_bytes)))))
-    bounds = [*(int(s.offsets[c]) for c in cuts if c < n), len(s.data)]
-    orders = [s.shard(np.arange(a, b), depth) for a, b in zip(bounds[:-1], bounds[1:], strict=True) if b > a]
-    prefix = None
+    cuts = sorted({n * k // shards for k in range(shards)})
+    bounds = [*(int(s.offsets[c]) for c in cuts), len(s.data)]
+    orders = [s.shard(np.arange(a, b)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     while len(orders) > 1:
-        nxt = []
-        for i in range(0, len(orders) - 1, 2):
-            got, prefix = merge(s, orders[i], orders[i + 1], depth)
-            nxt.append(got)
-        orders = nxt + ([orders[-1]] if len(orders) % 2 else [])
-    order = orders[0]
-    if prefix is None or len(prefix) != len(order):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    interval = np.cumsum(prefix < depth // s.step)
+        left, right, *orders = orders
+        order, prefix = merge(s, left, right)
+        orders.append(order)
+    interval = np.cumsum(prefix < depth)
     ours = np.flatnonzero(s.rel[order] < windows[s.string[order]])
     order, interval = order[ours], interval[ours]
     # the first string of each interval keeps its window
     rank = np.lexsort((order, interval))
     order, interval = order[rank], interval[rank]
-    again = np.zeros(len(order), bool)
-    again[1:] = interval[1:] == interval[:-1]
-    at = order[again]
+    at = order[1:][interval[1:] == interval[:-1]]
     return s.string[at], s.rel[at]

@@ -192,8 +192,9 @@ def _sent(keyed: DataFrame, judged: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(task, "key long, id long, pos long, n int, bytes binary")
 
 
-def _merged(sent: DataFrame, window: int, chunk_bytes: int = 1 << 20) -> DataFrame:
-    """(id, pos, n) of windows that an earlier row holds too."""
+def _merged(sent: DataFrame, window: int, chunk_bytes: int = 1 << 16) -> DataFrame:
+    """(id, pos, n) of windows that an earlier row holds too. Rows of one key with the same bytes
+    need no comparing: all but the first are repeats."""
     dealt = sent.repartition(F.col("key")).sortWithinPartitions("key", "id", "pos")
 
     def task(batches):
@@ -214,21 +215,27 @@ def _merged(sent: DataFrame, window: int, chunk_bytes: int = 1 << 20) -> DataFra
                 [pa.array(i[which[cut]]), pa.array(p[which[cut]] + start[cut]),
                  pa.array(np.diff(np.append(cut, len(which))).astype(np.int32))], ["id", "pos", "n"])
 
-        group, last, size = [], None, 0
+        group: dict[bytes, tuple] = {}
+        last, size, same = None, 0, []
         for b in batches:
             key = b.column(0).to_numpy()
             for k, row in zip(key.tolist(), zip(*(c.to_pylist() for c in b.columns[1:]), strict=True), strict=True):
                 if k != last:
                     if len(group) > 1:
-                        held += group
-                        size += sum(len(x[3]) for x in group)
+                        held += group.values()
+                        size += sum(map(len, group))
                         if size > chunk_bytes:
                             yield from work(held)
                             held, size = [], 0
-                    group, last = [], k
-                group.append(row)
+                    group, last = {}, k
+                if group.setdefault(row[3], row) is not row:  # rows of a key come in document order
+                    same.append(row[:3])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[j] for x in same], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32()))],
+                ["id", "pos", "n"])
+            same = []
         if len(group) > 1:
-            held += group
+            held += group.values()
         if len(held) > 1:
             yield from work(held)
 
