@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from trawl.llm.pretok import Memo, Splitter
 
+_BITS = 20  # of a symbol in a packed pair
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -37,44 +38,50 @@ def byte_alphabet() -> dict[str, int]:
 class HeapCounter:
     """Merge rules of a byte-level BPE file (tokenizers' JSON) and counts of texts under them."""
 
-    def __init__(self, path: str, pattern: str, memo: int = 400_000):
+    def __init__(self, path: str, pattern: str, memo: int = 700_000):
         spec = json.load(open(path, encoding="utf-8"))
         vocab = spec["model"]["vocab"]
         self.symbol = {b: vocab[c] for c, b in byte_alphabet().items()}
-        self.rule: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rule: dict[int, int] = {}  # pair of symbols -> rank and merged symbol, packed
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
-            self.rule.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.rule.setdefault(vocab[a] << _BITS | vocab[b], rank << _BITS | vocab[a + b])
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.split = Splitter(pattern)
         self._token = Memo(self.merge_count, memo)
-        self._piece = Memo(lambda p: sum(map(self._token.__getitem__, self.split.findall(p))), memo)
+        self._piece = Memo(self._of_piece, memo // 2)
 
     def merge_count(self, token: str) -> int:
         sym = [self.symbol[b] for b in token.encode()]
         n = count = len(sym)
         if n == 1:
             return 1
-        rule = self.rule
-        heap = [(r[0], i) for i in range(n - 1) if (r := rule.get((sym[i], sym[i + 1])))]
+        rule, low = self.rule.get, (1 << _BITS) - 1
+        heap = [(r >> _BITS) << 32 | i for i in range(n - 1) if (r := rule(sym[i] << _BITS | sym[i + 1])) is not None]
         heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            rank, i = heappop(heap)
-            j = after[i] if sym[i] is not None else n
-            if j >= n or (r := rule.get((sym[i], sym[j]))) is None or r[0] != rank:
+            top = heappop(heap)
+            i = top & 0xFFFFFFFF
+            a, j = sym[i], after[i]
+            if a < 0 or j >= n or (r := rule(a << _BITS | sym[j])) is None or r >> _BITS != top >> 32:
                 continue  # the pair has changed since it was queued
-            sym[i], sym[j] = r[1], None
+            sym[i], sym[j] = r & low, -1
             count -= 1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if r := rule.get((sym[i], sym[k])):
-                    heappush(heap, (r[0], i))
-            if (h := before[i]) >= 0 and (r := rule.get((sym[h], sym[i]))):
-                heappush(heap, (r[0], h))
+                if (q := rule((r & low) << _BITS | sym[k])) is not None:
+                    heappush(heap, (q >> _BITS) << 32 | i)
+            if (h := before[i]) >= 0 and (q := rule(sym[h] << _BITS | (r & low))) is not None:
+                heappush(heap, (q >> _BITS) << 32 | h)
         return count
 
+    def _of_piece(self, piece: str) -> int:
+        if piece.isascii() and piece.lstrip(" ").isalpha() and piece.count(" ") < 2:
+            return self._token[piece]  # one pre-token
+        return sum(map(self._token.__getitem__, self.split.findall(piece)))
+
     def count(self, text: str) -> int:
         parts, total = [text], 0
         for a in self.added:

@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     classes = found.join(of_set, keys).where("id = doc_id").select("id", "sig").dropDuplicates(["id"])
     classes = persist(classes, "signatures")
     pairs = persist(candidates(classes), "candidates")
-    ids = lambda p: persist(p.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    one = lambda p, c: p.select(F.col(c).alias("id")).distinct()
+    ids = lambda p: persist(one(p, "a").union(one(p, "b")).distinct(), "ids")
     first = persist(_alike(pairs.where("first").select("a", "b"), classes, percent), "first")
     sets = persist(full_sets(docs, ids(first), size).dropDuplicates(["id"]), "sets")
     links = persist(confirmed(first, sets, percent), "links")

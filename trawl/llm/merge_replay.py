@@ -15,14 +15,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from trawl.llm.pretok import Splitter
+from trawl.llm.pretok import Memo, Splitter
 
+_BITS = 20  # of an id in a packed pair
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -32,77 +35,117 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Replay:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 500_000):
         self.ranks, self.most = ranks, memo
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.pair = Memo(self._pair, 4 * memo)  # rank of two adjacent ids, -1: not mergeable
         self.split = Splitter(pattern)
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.text_of = {i: b" %d" % i for i in ranks.values()}
+        self.words: dict[str, tuple[int, bytes, bytes]] = {}
         self.pieces: dict[str, tuple[int, bytes, bytes]] = {}
 
     def replay(self, corpus: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of every word of ``corpus``; a word that is itself in the vocabulary is one id."""
-        ranks = self.ranks
-        seqs: list[list[bytes | None]] = []
-        nexts, prevs = [], []
-        index: dict[int, dict[int, set[int]]] = {}
-        for w, word in enumerate(corpus):
-            if word in ranks:
-                seqs.append([word])
-                nexts.append(None)
-                prevs.append(None)
-                continue
-            s = [word[i:i + 1] for i in range(len(word))]
-            seqs.append(s)
-            nexts.append(list(range(1, len(s) + 1)))
-            prevs.append(list(range(-1, len(s) - 1)))
-            for i in range(len(s) - 1):
-                if (r := ranks.get(s[i] + s[i + 1])) is not None:
-                    index.setdefault(r, {}).setdefault(w, set()).add(i)
+        whole = [self.ranks.get(w) for w in corpus]
+        words = [w for w, r in zip(corpus, whole, strict=True) if r is None]
+        size = np.array([len(w) for w in words], np.int64)
+        end = np.cumsum(size)
+        flat = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
+        # places of the whole corpus as linked lists, one per word
+        nxt, prv = np.arange(1, len(flat) + 1), np.arange(-1, len(flat) - 1)
+        nxt[end - 1], prv[end - size] = -1, -1
+        pair = self.pair
+        keys, inverse = np.unique((flat[:-1] << _BITS | flat[1:])[nxt[:-1] > 0], return_inverse=True)
+        rank = np.array([pair[k] for k in keys.tolist()], np.int64)[inverse]
+        at = np.flatnonzero(nxt[:-1] > 0)[rank >= 0]
+        rank = rank[rank >= 0]
+        order = np.argsort(rank, kind="stable")
+        rank, at = rank[order], at[order]
+        cut = np.flatnonzero(np.concatenate((np.ones(min(len(rank), 1), bool), rank[1:] != rank[:-1])))
+        index = {r: x.tolist() for r, x in zip(rank[cut].tolist(), np.split(at, cut[1:]), strict=False)} if len(rank) else {}
         queue = list(index)
         heapify(queue)
+        sym, nxt, prv, ends = flat.tolist(), nxt.tolist(), prv.tolist(), end.tolist()
         while queue:
-            rank = heappop(queue)
-            for w, places in (index.pop(rank, None) or {}).items():
-                s, nxt, prv = seqs[w], nexts[w], prevs[w]
-                n, todo = len(s), sorted(places)
-                for t, i in enumerate(todo):
-                    if s[i] is None or (j := nxt[i]) >= n or ranks.get(s[i] + s[j]) != rank:
-                        continue  # merged away since it was indexed
-                    s[i], s[j] = s[i] + s[j], None
-                    nxt[i] = k = nxt[j]
-                    lower = False
-                    if k < n:
-                        prv[k] = i
-                    for a, b in ((i, k), (prv[i], i)):
-                        if 0 <= a and b < n and (r := ranks.get(s[a] + s[b])) is not None:
-                            if r not in index:
-                                index[r] = {}
-                                heappush(queue, r)
-                            index[r].setdefault(w, set()).add(a)
-                            lower |= r < rank
-                    if lower and t + 1 < len(todo):  # the word has a pair that goes first
-                        if rank not in index:
-                            index[rank] = {}
-                            heappush(queue, rank)
-                        index[rank].setdefault(w, set()).update(todo[t + 1:])
-                        break
-        return [tuple(ranks[x] for x in s if x is not None) for s in seqs]
+            now = heappop(queue)
+            places = index.pop(now, None)
+            if places is None:
+                continue
+            places.sort()
+            wait = -1  # end of a word that has a pair of lower rank to go first
+            for i in places:
+                a = sym[i]
+                if a < 0 or (j := nxt[i]) < 0 or pair[a << _BITS | sym[j]] != now:
+                    continue  # merged away since it was indexed
+                if i < wait:
+                    self._add(index, queue, now, i)
+                    continue
+                sym[i], sym[j] = now, -1
+                nxt[i] = k = nxt[j]
+                if k >= 0:
+                    prv[k] = i
+                    if (r := pair[now << _BITS | sym[k]]) >= 0:
+                        if (known := index.get(r)) is not None:
+                            known.append(i)
+                        else:
+                            self._add(index, queue, r, i)
+                        if r < now:
+                            wait = ends[bisect_right(ends, i)]
+                if (h := prv[i]) >= 0 and (r := pair[sym[h] << _BITS | now]) >= 0:
+                    if (known := index.get(r)) is not None:
+                        known.append(h)
+                    else:
+                        self._add(index, queue, r, h)
+                    if r < now:
+                        wait = ends[bisect_right(ends, i)]
+        ids = iter(zip((end - size).tolist(), ends, strict=True))
+        out = []
+        for r in whole:
+            if r is not None:
+                out.append((r,))
+            else:
+                x, y = next(ids)
+                out.append(tuple([t for t in sym[x:y] if t >= 0]))
+        return out
+
+    @staticmethod
+    def _add(index: dict[int, list[int]], queue: list[int], rank: int, place: int) -> None:
+        if rank in index:
+            index[rank].append(place)
+        else:
+            index[rank] = [place]
+            heappush(queue, rank)
+
+    def _pair(self, key: int) -> int:
+        b = self.bytes_of
+        return self.ranks.get(b[key >> _BITS] + b[key & ((1 << _BITS) - 1)], -1)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def _cut(self, piece: str) -> list[str]:
+        return [piece] if piece.isascii() and piece.lstrip(" ").isalpha() and piece.count(" ") < 2 \
+            else self.split.findall(piece)
+
     def learn(self, pieces: set[str]) -> None:
         """Replays the merges over the pre-tokens of ``pieces`` not seen before."""
         if len(self.words) > self.most:
             self.words.clear()
-        cut = {p: self.split.findall(p) for p in pieces}
-        new = list({t for c in cut.values() for t in c}.difference(self.words))
-        self.words.update(zip(new, self.replay([t.encode() for t in new]), strict=True))
-        for p, c in cut.items():
-            ids = [i for t in c for i in self.words[t]]
-            self.pieces[p] = (len(ids), "".join(f" {i}" for i in ids).encode(), self.decode(ids))
+        cut = [(p, self._cut(p)) for p in pieces]
+        new = list({t for _, c in cut for t in c}.difference(self.words))
+        words, text_of, bytes_of = self.words, self.text_of.__getitem__, self.bytes_of.__getitem__
+        for t, ids in zip(new, self.replay([t.encode() for t in new]), strict=True):
+            words[t] = (len(ids), b"".join(map(text_of, ids)), b"".join(map(bytes_of, ids)))
+        for p, c in cut:
+            if len(c) == 1:
+                self.pieces[p] = words[c[0]]
+            else:
+                got = [words[t] for t in c]
+                self.pieces[p] = (sum(x[0] for x in got), b"".join([x[1] for x in got]), b"".join([x[2] for x in got]))
 
     def split_all(self, texts: list[str]) -> list[list[str]]:
+        """Pieces of every text; ``self.pieces`` has (tokens, ids as text, decoded bytes) of each."""
         if len(self.pieces) > self.most:
             self.pieces.clear()
         cut = [self.split.pieces(t) for t in texts]
@@ -113,12 +156,7 @@ class Replay:
         return cut
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [[i for p in c for t in self.split.findall(p) for i in self._of(t)] for c in self.split_all(texts)]
-
-    def _of(self, token: str) -> tuple[int, ...]:
-        if token not in self.words:
-            self.words[token] = self.replay([token.encode()])[0]
-        return self.words[token]
+        return [[int(i) for p in c for i in self.pieces[p][1].split()] for c in self.split_all(texts)]
 
 
 _loaded: dict[tuple, Replay] = {}
@@ -147,7 +185,7 @@ def encode_ids(docs: DataFrame, path: str, pattern: str, group: int = 1024) -> D
         task, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, group: int = 1024) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, group: int = 2048) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: ids and decoded bytes of each piece come from
     the replay once and are joined per document."""
 
