@@ -51,3 +51,24 @@ def test_hot_key_spans_several_tasks(spark):
     parts = df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id()) \
         .filter(F.col("key") == "hot").select("_pid").distinct().count()
     assert parts >= 2
+
+
+def test_large_with_extra_columns_and_a_hot_key(spark):
+    """A million rows, more columns kept than key and order, one key with two thirds of the rows."""
+    n = 1_000_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("key"),
+        F.xxhash64("id").alias("ord"), F.col("id").alias("row"), (F.col("id") % 11).cast("double").alias("v"))
+    got = position_within(df, ["key"], ["ord", "row"], "pos", 64)
+    w = Window.partitionBy("key").orderBy("ord", "row")
+    bad = got.withColumn("want", F.row_number().over(w)).where("pos != want").count()
+    assert (got.count(), bad) == (n, 0)
+    got = running_sums(df, ["ord", "row"], ["v"], num_partitions=64)
+    w = Window.orderBy("ord", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    assert got.withColumn("want", F.sum("v").over(w)).where("cum_v != want").count() == 0
+
+
+def test_position_with_null_keys_and_order(spark):
+    df = spark.createDataFrame([(None, 3), (None, None), ("a", 2), ("a", 1)], "k string, o int")
+    got = {(r.k, r.o): r.pos for r in position_within(df, ["k"], ["o"]).collect()}
+    assert got == {(None, None): 1, (None, 3): 2, ("a", 1): 1, ("a", 2): 2}

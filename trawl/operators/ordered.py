@@ -4,49 +4,64 @@ A plain ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of
 task; with one host, queue or label holding a third of all rows that task holds a third of the
 data. These helpers keep the exact semantics but split hot keys:
 
-* ``position_within``: range-partition on (key, order) so a hot key spans many partitions,
-  number rows locally (``monotonically_increasing_id`` after a sort is consecutive inside a
-  partition), then add the counts of the key in earlier partitions from a small
-  (partition, key) count table.
+* ``position_within``: rows are cut into ordered buckets by bounds over (key, order) that are
+  computed once, as values; a row's bucket is an expression of the row alone, so every side of the
+  plan and every retry agrees on it. Rows are numbered inside (key, bucket), and the counts of the
+  key's earlier buckets are added from a small (key, bucket) table; the numbering and the join use
+  the same hash partitioning, so the rows are shuffled once.
 * ``top_k_per_key``: exact top-k from per-(key, salt) top-k candidates, then a final top-k over
   at most ``salts * k`` rows per key.
-* ``running_sums``: range-partition on the order, per-partition cumulative sums (Arrow batches),
-  plus per-partition totals offset by a prefix sum over partitions (one row per partition).
+* ``running_sums``: the same buckets over the order alone; sums inside a bucket plus the totals of
+  earlier buckets (one row per bucket, broadcast).
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from trawl.session import broadcast_if_small
 
+#: Rows compared with every bound one by one, so there are never more buckets than this.
+MAX_BUCKETS = 256
 
-def _n_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+def _bucket(df: DataFrame, cols: list[str], num: int | None) -> Column:
+    """Number of bounds at or below the row's ``cols``: an ordered, deterministic bucket.
+
+    The bounds are quantiles of the ``32 * num`` rows with the smallest hash of ``cols`` (one
+    bounded top-k job), so they are the same for any partitioning of the input."""
+    num = min(num or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), MAX_BUCKETS)
+    keys = df.select(*cols)
+    picked = sorted(
+        keys.orderBy(F.xxhash64(*cols)).limit(32 * num).collect(),
+        key=lambda r: [(v is not None, v if v is not None else 0) for v in r])
+    step = len(picked) / num
+    bounds = [picked[int(i * step)] for i in range(1, num)] if step >= 1 else picked[1:]
+    if not bounds:
+        return F.lit(0)
+    types = [f.dataType for f in keys.schema.fields]
+    row = lambda r: F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, types, cols, strict=True)])
+    here = F.struct(*[F.col(c) for c in cols])
+    return F.size(F.filter(F.array(*[row(r) for r in bounds]), lambda x: x <= here))
 
 
 def position_within(df: DataFrame, keys: list[str], order: list[str], out: str = "pos",
                     num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its ``keys`` group by ``order`` (``order`` must be a
-    total order within a key, e.g. end with a unique column)."""
-    n = _n_partitions(df, num_partitions)
-    cols = [F.col(c) for c in keys + order]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    stats = tagged.groupBy("_pid", *keys).agg(F.min("_mid").alias("_min"), F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1) if keys else \
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    # one row per (partition, key present in it): bounded by #keys + #partitions; checked before broadcast
-    offsets, _ = broadcast_if_small(offsets)
-    joined = tagged.join(offsets, ["_pid", *keys], "inner")
-    return joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_min") + 1).cast("long")) \
-        .drop("_pid", "_mid", "_min", "_off")
+    total order within a key, e.g. end with a unique column). Null keys form a group."""
+    tagged = df.withColumn("_b", _bucket(df, keys + order, num_partitions))
+    here = Window.partitionBy(*keys, "_b")
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    side = tagged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    side = side.select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("_b").alias("_k_b"),
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    ranked = tagged.withColumn("_r", F.row_number().over(here.orderBy(*order)))
+    same = F.col("_b") == F.col("_k_b")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_k_" + k))
+    joined = ranked.join(side, same)
+    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("long")) \
+        .drop("_b", "_r", "_off", "_k_b", *["_k_" + k for k in keys])
 
 
 def top_k_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, salts: int = 16,
@@ -67,37 +82,15 @@ def top_k_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, s
 def running_sums(df: DataFrame, order: list[str], values: list[str], prefix: str = "cum_",
                  num_partitions: int | None = None) -> DataFrame:
     """Cumulative sums of ``values`` over the total order ``order`` (rows unbounded preceding to
-    current row), without collecting the data into one partition."""
-    n = _n_partitions(df, num_partitions)
-    cols = [F.col(c) for c in order]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    fields = list(ranged.schema.fields) + [T.StructField("_pid", T.IntegerType())] + [
-        T.StructField(prefix + v, T.DoubleType()) for v in values]
-    schema = T.StructType(fields)
-
-    def local_cumsum(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry = np.zeros(len(values))
-        for pdf in batches:
-            for i, v in enumerate(values):
-                cs = pdf[v].astype("float64").fillna(0.0).to_numpy().cumsum() + carry[i]
-                if len(cs):
-                    carry[i] = cs[-1]
-                pdf[prefix + v] = cs
-            pdf["_pid"] = pid
-            yield pdf
-
-    local = ranged.mapInPandas(local_cumsum, schema)
-    # partition totals from the same (reused) range exchange, so no second Python pass
-    totals = ranged.withColumn("_pid", F.spark_partition_id()).groupBy("_pid").agg(
-        *[F.sum(F.coalesce(F.col(v).cast("double"), F.lit(0.0))).alias("_t_" + v) for v in values])
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_pid", *[F.coalesce(F.sum("_t_" + v).over(w), F.lit(0.0)).alias("_o_" + v)
-                                   for v in values])
-    # one row per partition: a proven bound, broadcast without further checks
-    out = local.join(F.broadcast(offs), "_pid", "inner")
-    for v in values:
-        out = out.withColumn(prefix + v, F.col(prefix + v) + F.col("_o_" + v)).drop("_o_" + v)
-    return out.drop("_pid")
+    current row), without collecting the data into one partition. Nulls add nothing."""
+    tagged = df.withColumn("_b", _bucket(df, order, num_partitions))
+    here = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    value = {v: F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values}
+    totals = tagged.groupBy("_b").agg(*[F.sum(value[v]).alias("_t_" + v) for v in values])
+    offsets = totals.select("_b", *[F.coalesce(F.sum("_t_" + v).over(before), F.lit(0.0)).alias("_o_" + v)
+                                    for v in values])
+    local = tagged.withColumns({prefix + v: F.sum(value[v]).over(here) for v in values})
+    out = local.join(F.broadcast(offsets), "_b")  # at most MAX_BUCKETS rows
+    return out.withColumns({prefix + v: F.col(prefix + v) + F.col("_o_" + v) for v in values}) \
+        .drop("_b", *["_o_" + v for v in values])
