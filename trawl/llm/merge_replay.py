@@ -35,7 +35,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Replay:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 450_000):
         self.ranks, self.most = ranks, memo
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
@@ -44,6 +44,9 @@ class Replay:
         self.text_of = {i: b" %d" % i for i in ranks.values()}
         self.words: dict[str, tuple[int, bytes, bytes]] = {}
         self.pieces: dict[str, tuple[int, bytes, bytes]] = {}
+        # the generation before: what is used again moves on, the rest is dropped
+        self.old_words: dict[str, tuple[int, bytes, bytes]] = {}
+        self.old_pieces: dict[str, tuple[int, bytes, bytes]] = {}
 
     def replay(self, corpus: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of every word of ``corpus``; a word that is itself in the vocabulary is one id."""
@@ -128,12 +131,23 @@ class Replay:
         return [piece] if piece.isascii() and piece.lstrip(" ").isalpha() and piece.count(" ") < 2 \
             else self.split.findall(piece)
 
-    def learn(self, pieces: set[str]) -> None:
+    @staticmethod
+    def _missing(keys: set[str], known: dict, old: dict) -> list[str]:
+        """Keys that neither generation of a memo has; those of the old one move to the new."""
+        new = []
+        for k in keys.difference(known):
+            if (v := old.get(k)) is None:
+                new.append(k)
+            else:
+                known[k] = v
+        return new
+
+    def learn(self, pieces: list[str]) -> None:
         """Replays the merges over the pre-tokens of ``pieces`` not seen before."""
         if len(self.words) > self.most:
-            self.words.clear()
+            self.old_words, self.words = self.words, {}
         cut = [(p, self._cut(p)) for p in pieces]
-        new = list({t for _, c in cut for t in c}.difference(self.words))
+        new = self._missing({t for _, c in cut for t in c}, self.words, self.old_words)
         words, text_of, bytes_of = self.words, self.text_of.__getitem__, self.bytes_of.__getitem__
         for t, ids in zip(new, self.replay([t.encode() for t in new]), strict=True):
             words[t] = (len(ids), b"".join(map(text_of, ids)), b"".join(map(bytes_of, ids)))
@@ -147,12 +161,12 @@ class Replay:
     def split_all(self, texts: list[str]) -> list[list[str]]:
         """Pieces of every text; ``self.pieces`` has (tokens, ids as text, decoded bytes) of each."""
         if len(self.pieces) > self.most:
-            self.pieces.clear()
+            self.old_pieces, self.pieces = self.pieces, {}
         cut = [self.split.pieces(t) for t in texts]
         new: set[str] = set()
         for c in cut:
             new.update(c)
-        self.learn(new.difference(self.pieces))
+        self.learn(self._missing(new, self.pieces, self.old_pieces))
         return cut
 
     def encode(self, texts: list[str]) -> list[list[int]]:
