@@ -71,6 +71,10 @@ def _segments(keyed: DataFrame, window: int) -> DataFrame:
             h, s, i, pos, size = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((pos, i, s))
             h, s, i, pos, size = h[order].view(np.int64), s[order].view(np.int64), i[order], pos[order], size[order]
+            # a row given twice is one occurrence
+            once = np.ones(len(s), bool)
+            once[1:] = (s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (pos[1:] != pos[:-1])
+            h, s, i, pos, size = (x[once] for x in (h, s, i, pos, size))
             again = np.zeros(len(s), bool)
             again[1:] = s[1:] == s[:-1]
             yield out(0, *(x[~again] for x in (h, s, i, pos, size)))
@@ -86,7 +90,7 @@ def _judged(segments: DataFrame) -> DataFrame:
     dealt = segments.repartition(F.col("h")).sortWithinPartitions("kind", "h", "s", "id", "pos")
 
     def task(batches):
-        last_h = last_s = None
+        last_h = last_s = last_at = None
         classes, pending = 0, None
 
         def out(kind, i, pos, size, h):
@@ -108,7 +112,11 @@ def _judged(segments: DataFrame) -> DataFrame:
             new_h[1:], new_s[1:] = h[1:] != h[:-1], s[1:] != s[:-1]
             new_h[0], new_s[0] = h[0] != last_h, h[0] != last_h or s[0] != last_s
             new_s |= new_h
-            again = ~new_s
+            twice = np.zeros(len(h), bool)  # the same occurrence from two tasks
+            twice[1:] = ~new_s[1:] & (i[1:] == i[:-1]) & (pos[1:] == pos[:-1])
+            twice[0] = not new_s[0] and last_at == (i[0], pos[0])
+            # a row given several times as the first of its class is not a repeat of itself
+            again = ~new_s & ~twice
             yield out(_REPEAT, i[again], pos[again], size[again], h[again])
             bucket = np.cumsum(new_h)  # 0: the bucket carried over
             n = np.bincount(bucket, new_s, bucket[-1] + 1).astype(np.int64)
@@ -123,7 +131,7 @@ def _judged(segments: DataFrame) -> DataFrame:
                 hot = np.append(hot, 0).astype(np.int64)
             if len(hot):
                 yield out(_HOT, i[hot], pos[hot], size[hot], h[hot])
-            last_h, last_s, classes = h[-1], s[-1], n[bucket[-1]]
+            last_h, last_s, last_at, classes = h[-1], s[-1], (i[-1], pos[-1]), n[bucket[-1]]
             if classes == 1:
                 if new_s[bucket == bucket[-1]].any():
                     f = np.flatnonzero(new_s)[-1:]
@@ -228,7 +236,8 @@ def _merged(sent: DataFrame, window: int, chunk_bytes: int = 1 << 16) -> DataFra
                             yield from work(held)
                             held, size = [], 0
                     group, last = {}, k
-                if group.setdefault(row[3], row) is not row:  # rows of a key come in document order
+                # rows of a key come in document order; a row given twice is one occurrence
+                if group.setdefault(row[3], row)[:2] != row[:2]:
                     same.append(row[:3])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[j] for x in same], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32()))],
