@@ -110,3 +110,18 @@ def test_page_stats(spark):
 def test_block_relevance_list(spark):
     df = spark.createDataFrame([("p", 2, 1), ("p", 0, -1), ("p", 1, 1)], "page string, block_idx long, pred int")
     assert R.block_relevance_list(df).first().relevance_flags == "011"
+
+
+def test_blocked_knn_with_few_queries_and_ties(spark):
+    from trawl.operators.relevance import knn
+
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 6))
+    x[:60] = x[0]
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for ids in ([5], [5, 200], list(range(300))):
+        q = df.where(F.col("vec_id").isin(ids))
+        want = sorted(map(str, knn(q, df, 8).collect()))
+        assert sorted(map(str, knn(q, df, 8, max_broadcast=100).collect())) == want
+    first = knn(df.where("vec_id = 200"), df.where("vec_id < 60"), 8).collect()
+    assert [r.nn_id for r in sorted(first, key=lambda r: r["rank"])] == list(range(8))

@@ -66,35 +66,32 @@ def _cosine_kernel(qid, q, ids_c, mat_c, exclude_self: bool) -> np.ndarray:
     return best
 
 
-def _knn_kernel(qid, q, ids, mat, k: int, exclude_self: bool, margin: int = 8):
+def _knn_kernel(qid, q, ids, mat, k: int, exclude_self: bool):
     """k nearest corpus rows of each query row (ties by id): (id lists, distance lists).
-    Candidates come from the product form of the distance; their distances are recomputed
-    exactly. The left-out point itself is never returned."""
+    Candidates are all rows whose product-form distance is at or below the k-th (with a margin for
+    rounding), so no tie is cut off before the id rule; their distances are recomputed exactly.
+    The left-out point itself is never returned."""
     out_ids = [[] for _ in range(len(qid))]
     out_d = [[] for _ in range(len(qid))]
     if not len(qid) or not len(ids):
         return out_ids, out_d
     sqn = (mat ** 2).sum(axis=1)
     kk = min(k, len(ids))
-    m = min(k + margin, len(ids))
     step = _rows_per_step(len(ids))
     for a in range(0, len(qid), step):
         b = min(a + step, len(qid))
         qa = q[a:b]
-        d2 = (qa ** 2).sum(axis=1)[:, None] + sqn[None, :] - 2.0 * (qa @ mat.T)
+        sqq = (qa ** 2).sum(axis=1)
+        d2 = sqq[:, None] + sqn[None, :] - 2.0 * (qa @ mat.T)
         if exclude_self:
             d2[qid[a:b, None] == ids[None, :]] = np.inf
-        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < d2.shape[1] else \
-            np.tile(np.arange(d2.shape[1]), (b - a, 1))
-        exact = np.sqrt(((mat[cand] - qa[:, None, :]) ** 2).sum(axis=2))
-        exact[~np.isfinite(np.take_along_axis(d2, cand, axis=1))] = np.inf
-        order = np.lexsort((ids[cand], exact), axis=1)[:, :kk]
-        sel_ids = np.take_along_axis(ids[cand], order, axis=1)
-        sel_d = np.take_along_axis(exact, order, axis=1)
+        bound = np.partition(d2, kk - 1, axis=1)[:, kk - 1] + 1e-9 * (sqq + sqn.max())
         for r in range(b - a):
-            ok = np.isfinite(sel_d[r])
-            out_ids[a + r] = sel_ids[r][ok].tolist()
-            out_d[a + r] = sel_d[r][ok].tolist()
+            cand = np.flatnonzero((d2[r] <= bound[r]) & np.isfinite(d2[r]))
+            exact = np.sqrt(((mat[cand] - qa[r]) ** 2).sum(axis=1))
+            order = np.lexsort((ids[cand], exact))[:kk]
+            out_ids[a + r] = ids[cand][order].tolist()
+            out_d[a + r] = exact[order].tolist()
     return out_ids, out_d
 
 
@@ -130,7 +127,8 @@ def _blocked_pass(queries: DataFrame, corpus: DataFrame, kernel, schema: str, id
         .withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(c_chunks - 1))))
     c = corpus.select(F.col(cid).cast("long").alias("_cid"), F.col(cvec).alias("_cv"),
                       F.pmod(F.xxhash64(F.col(cid)), F.lit(c_chunks)).alias("_c")) \
-        .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(b_buckets - 1))))
+        .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(b_buckets - 1)))) \
+        .join(q.select("_b").distinct(), "_b", "left_semi")  # buckets without a query form no group
 
     def fn(left, right):
         qid = left[id_col].to_numpy(dtype=np.int64)
