@@ -9,9 +9,10 @@ compared at a small depth, a crowded one at the depth where the sorted order sep
 region is ever gathered in one task (the rows at partition ends are joined up from a table of at
 most 2 * NEAR rows per partition).
 
-Candidates are confirmed on the full sets in two rounds: direct neighbours of a few orders first,
-then every candidate between classes that are not yet connected; candidates inside a component
-cannot change it. The components give the answer.
+It goes in rounds. The first compares direct neighbours of a few orders, the next all orders with
+each class labelled by its component so far: neighbours of one component cannot change it and are
+passed over. The rows of an order carry four bits of each MinHash value, so that neighbours whose
+signatures differ too much are dropped where they stand; the others are confirmed on the full sets.
 
 Defined results: no words: an empty set, linked with nothing; fewer than ``size`` words: the whole
 sequence is the one shingle; rows with the same id are one node with the links of each; a row with
@@ -30,7 +31,9 @@ from trawl.llm.components import components
 from trawl.llm.store import bounded, persist
 from trawl.llm.text import U64, blocks, hashed_words, mix, stream, windows
 
-ORDERS, BASE, DEPTH, NEAR, FIRST_ORDERS = 24, 4, 12, 6, 2
+ORDERS, BASE, DEPTH, NEAR = 24, 4, 12, 16
+#: (orders, neighbours) of each round; a round compares only what the rounds before left apart.
+ROUNDS = ((6, 2), (ORDERS, NEAR))
 _VALUES = ORDERS * BASE
 
 
@@ -99,93 +102,140 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
         task, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def _in_orders(classes: DataFrame) -> DataFrame:
-    """(tree, key, id): the signature of every class in every order, big-endian so that bytes
-    sort as values."""
-    orders = _orders()
+def least_alike(percent: int) -> int:
+    """Equal places of two packed signatures (low four bits of each value) under which two sets are
+    not compared: five standard deviations below what the threshold lets expect."""
+    share = percent / 100 + (1 - percent / 100) / 16
+    return int(np.floor(_VALUES * share - 5 * np.sqrt(_VALUES * share * (1 - share))))
+
+
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    d = x ^ y
+    return ((d & 15) == 0).sum(1) + ((d >> 4) == 0).sum(1)
+
+
+def _in_orders(classes: DataFrame, orders: int) -> DataFrame:
+    """(tree, key, id, label, low): every class in each of the first ``orders`` orders. The key is
+    the signature in that order, big-endian so that bytes sort as values; low is the packed signature."""
+    places = _orders()[:orders]
 
     def task(batches):
         for b in batches:
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").reshape(-1, _VALUES)
-            for t, positions in enumerate(orders):
+            low = (sig & 15).astype(np.uint8)
+            low = np.ascontiguousarray(low[:, ::2] | low[:, 1::2] << 4)
+            lows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(_VALUES // 2), len(low), [None, pa.py_buffer(low)])
+            for t, positions in enumerate(places):
                 key = np.ascontiguousarray(sig[:, positions].astype(">u2"))
                 keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * DEPTH), len(key), [None, pa.py_buffer(key)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), t, np.int32)), keys.cast(pa.binary()), b.column(0)],
-                    ["tree", "key", "id"])
+                    [pa.array(np.full(len(key), t, np.int32)), keys.cast(pa.binary()), b.column(0), b.column(2),
+                     lows.cast(pa.binary())], ["tree", "key", "id", "label", "low"])
 
-    return classes.select("id", "sig").mapInArrow(task, "tree int, key binary, id long")
+    return classes.select("id", "sig", "label").mapInArrow(
+        task, "tree int, key binary, id long, label long, low binary")
 
 
 _PREFIX = 2 * (BASE - 1)
 
 
-def _close(t, p, i, k, offset):
-    """Candidates among consecutive rows of the sorted order, ``offset`` apart."""
-    ok = np.flatnonzero((t[offset:] == t[:-offset]) & (p[offset:] == p[:-offset]))
-    return i[ok], i[ok + offset], t[ok]
+class _Run:
+    """Consecutive rows of the sorted orders: tree, prefix, id, label, packed signature."""
+
+    def __init__(self, *columns: np.ndarray):
+        self.tree, self.prefix, self.id, self.label, self.low = self.columns = columns
+
+    def __len__(self) -> int:
+        return len(self.id)
+
+    def __getitem__(self, rows: slice) -> _Run:
+        return _Run(*(c[rows] for c in self.columns))
+
+    def __add__(self, more: _Run) -> _Run:
+        return _Run(*(np.concatenate(c) for c in zip(self.columns, more.columns, strict=True)))
+
+    def pairs(self, k: int, least: int, new_from: int = 0, extra=None) -> tuple[np.ndarray, np.ndarray]:
+        """(smaller id, larger id) of rows ``k`` apart that share tree and prefix, have different
+        labels and signatures alike; the second row is at ``new_from`` or after."""
+        x = slice(max(0, new_from - k), max(0, len(self) - k))
+        y = slice(x.start + k, x.stop + k)
+        ok = (self.tree[x] == self.tree[y]) & (self.prefix[x] == self.prefix[y]) & (self.label[x] != self.label[y])
+        if extra is not None:
+            ok &= extra[x] != extra[y]
+        at = np.flatnonzero(ok) + x.start
+        at = at[_agreeing(self.low[at], self.low[at + k]) >= least]
+        a, b = self.id[at], self.id[at + k]
+        return np.minimum(a, b), np.maximum(a, b)
+
+    @staticmethod
+    def empty() -> _Run:
+        return _Run(np.zeros(0, np.int32), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64),
+                    np.zeros((0, _VALUES // 2), np.uint8))
+
 
+_NAMES = ["a", "b", "tree", "prefix", "label", "low", "pid", "pos"]
+_NEIGHBOURS = "a long, b long, tree int, prefix long, label long, low binary, pid int, pos long"
 
-def candidates(classes: DataFrame, near: int = NEAR) -> DataFrame:
-    """(a, b, first): distinct neighbours a < b; first: direct neighbours in one of the first orders."""
-    spark = classes.sparkSession
-    rows = _in_orders(classes)
+
+def candidates(classes: DataFrame, percent: int, orders: int = ORDERS, near: int = NEAR) -> DataFrame:
+    """(a, b), a < b: distinct classes of different labels that stand at most ``near`` apart in one of
+    the first ``orders`` sorted orders, share its prefix and have signatures alike.
+
+    classes: id, sig, label (the component known so far)."""
+    spark, least = classes.sparkSession, least_alike(percent)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    ranged = rows.repartitionByRange(n, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
+    ranged = _in_orders(classes, orders).repartitionByRange(n, "tree", "key", "id") \
+        .sortWithinPartitions("tree", "key", "id")
 
     def task(batches):
         from pyspark import TaskContext
 
-        pid, at = TaskContext.get().partitionId(), 0
-        T, P, I = np.zeros(0, np.int32), np.zeros(0, U64), np.zeros(0, np.int64)
+        pid, at, held = TaskContext.get().partitionId(), 0, _Run.empty()
 
-        def ends(t, p, i, start, kind):
-            n = len(t)
+        def ends(run, start):
+            n = len(run)
             return pa.RecordBatch.from_arrays(
-                [pa.array(i), pa.nulls(n, pa.int64()), pa.array(t), pa.array(np.zeros(n, bool)),
-                 pa.array(p.view(np.int64)), pa.array(np.full(n, pid, np.int32)),
-                 pa.array(np.arange(start, start + n))], NAMES)
+                [pa.array(run.id), pa.nulls(n, pa.int64()), pa.array(run.tree), pa.array(run.prefix.view(np.int64)),
+                 pa.array(run.label), pa.array([x.tobytes() for x in run.low], pa.binary()),
+                 pa.array(np.full(n, pid, np.int32)), pa.array(np.arange(start, start + n))], _NAMES)
 
         for b in batches:
-            if not len(b):
+            n = len(b)
+            if not n:
                 continue
-            key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, 2 * DEPTH)
-            wide = np.zeros((len(key), 8), np.uint8)
+            key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(n, 2 * DEPTH)
+            wide = np.zeros((n, 8), np.uint8)
             wide[:, :_PREFIX] = key[:, :_PREFIX]
-            t0 = b.column(0).to_numpy().astype(np.int32)
+            low = np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint8).reshape(n, -1)
+            now = _Run(b.column(0).to_numpy().astype(np.int32), wide.view(U64)[:, 0],
+                       b.column(2).to_numpy(), b.column(3).to_numpy(), low)
             if at < near:
-                yield ends(t0[:near], wide.view(U64)[:near, 0], b.column(2).to_numpy()[:near], at, "head")
-            old = len(T)
-            T = np.concatenate((T, t0))
-            P = np.concatenate((P, wide.view(U64)[:, 0]))
-            I = np.concatenate((I, b.column(2).to_numpy()))
-            at += len(key)
+                yield ends(now[:near - at], at)
+            old, held, at = len(held), held + now, at + n
             for k in range(1, near + 1):
-                if len(T) > k:
-                    lo = max(0, old - k)  # pairs inside the carried rows are out already
-                    x, y, t = _close(T[lo:], P[lo:], I[lo:], k, k)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(t),
-                         pa.array((t < FIRST_ORDERS) & (k == 1)), pa.nulls(len(x), pa.int64()),
-                         pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.int64())], NAMES)
-            T, P, I = T[-near:], P[-near:], I[-near:]
-        if len(T):
-            yield ends(T, P, I, at - len(T), "tail")
-
-    NAMES = ["a", "b", "tree", "first", "prefix", "pid", "pos"]
-    got = persist(ranged.mapInArrow(task, "a long, b long, tree int, first boolean, prefix long, pid int, pos long"),
-                  "neighbours")
+                x, y = held.pairs(k, least, old)
+                m = len(x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x), pa.array(y), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()),
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()),
+                     pa.nulls(m, pa.int64())], _NAMES)
+            held = held[-near:]
+        if len(held):
+            yield ends(held, at - len(held))
+
+    got = persist(ranged.mapInArrow(task, _NEIGHBOURS), "neighbours")
     # at most 2 * near rows per partition
-    edge = got.where("pid is not null").select("pid", "pos", "tree", "prefix", "a").distinct() \
-        .toPandas().sort_values(["pid", "pos"])
-    t, p, i, pid = (edge[c].to_numpy() for c in ("tree", "prefix", "a", "pid"))
+    edge = got.where("pid is not null").select(*_NAMES).distinct().toPandas().sort_values(["pid", "pos"])
+    rows = _Run(edge["tree"].to_numpy(np.int32), edge["prefix"].to_numpy(np.int64).view(U64),
+                edge["a"].to_numpy(np.int64), edge["label"].to_numpy(np.int64),
+                np.frombuffer(b"".join(map(bytes, edge["low"])), np.uint8).reshape(len(edge), -1)) \
+        if len(edge) else _Run.empty()
     more = []
     for k in range(1, near + 1):
-        ok = np.flatnonzero((t[k:] == t[:-k]) & (p[k:] == p[:-k]) & (pid[k:] != pid[:-k])) if len(t) > k else []
-        more += [(int(min(i[j], i[j + k])), int(max(i[j], i[j + k])), bool(k == 1 and t[j] < FIRST_ORDERS)) for j in ok]
-    pairs = got.where("pid is null").select("a", "b", "first") \
-        .unionByName(spark.createDataFrame(more, "a long, b long, first boolean"))
-    return pairs.where("a < b").groupBy("a", "b").agg(F.max("first").alias("first"))
+        x, y = rows.pairs(k, least, extra=edge["pid"].to_numpy())
+        more += zip(x.tolist(), y.tolist(), strict=True)
+    pairs = got.where("pid is null").select("a", "b").unionByName(spark.createDataFrame(more, "a long, b long"))
+    return pairs.where("a < b").distinct()
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -219,22 +269,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(task, "a long, b long")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Drops candidates whose signatures agree in far fewer places than the threshold asks for
-    (six standard deviations of the estimate below it)."""
-    share = percent / 100
-    least = int(np.floor(_VALUES * share - 6 * np.sqrt(_VALUES * share * (1 - share))))
-
-    def task(batches):
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), "<u2").reshape(-1, _VALUES) for k in (2, 3))
-            yield b.select([0, 1]).filter(pa.array((x == y).sum(1) >= least))
-
-    both = pairs.join(classes.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a") \
-        .join(classes.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(task, "a long, b long")
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs``."""
     info = persist(summaries(docs, size), "summaries")
@@ -243,24 +277,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     of_set = persist(found.groupBy(*keys).agg(F.min("doc_id").alias("id")), "classes")
     classes = found.join(of_set, keys).where("id = doc_id").select("id", "sig").dropDuplicates(["id"])
     classes = persist(classes, "signatures")
-    pairs = persist(candidates(classes), "candidates")
-    one = lambda p, c: p.select(F.col(c).alias("id")).distinct()
-    ids = lambda p: persist(one(p, "a").union(one(p, "b")).distinct(), "ids")
-    first = persist(_alike(pairs.where("first").select("a", "b"), classes, percent), "first")
-    sets = persist(full_sets(docs, ids(first), size).dropDuplicates(["id"]), "sets")
-    links = persist(confirmed(first, sets, percent), "links")
-    comp = persist(components(links), "components")
-    side = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias("c" + c))
-    rest = pairs.where("not first").join(side("a"), "a", "left").join(side("b"), "b", "left") \
-        .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-    rest = persist(_alike(rest, classes, percent), "rest")
-    sets = persist(full_sets(docs, ids(rest), size).dropDuplicates(["id"]), "sets")
-    links = links.unionByName(confirmed(rest, sets, percent))
     # a repeated id joins its classes
-    links = links.unionByName(of_set.join(found, keys).where("id != doc_id").groupBy("doc_id").agg(
-        F.min("id").alias("a"), F.max("id").alias("b")).where("a != b").select("a", "b"))
-    comp = persist(components(links), "components")
-    out = info.join(of_set, keys, "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
+    links = of_set.join(found, keys).where("id != doc_id").groupBy("doc_id").agg(
+        F.min("id").alias("a"), F.max("id").alias("b")).where("a != b").select("a", "b")
+    labelled = classes.withColumn("label", F.col("id"))
+    for orders, near in ROUNDS:
+        pairs = persist(candidates(labelled, percent, orders, near), "candidates")
+        ids = persist(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+        sets = persist(full_sets(docs, ids, size).dropDuplicates(["id"]), "sets")
+        links = persist(links.unionByName(confirmed(pairs, sets, percent)), "links")
+        comp = persist(components(links).withColumnRenamed("node", "id"), "components")
+        labelled = classes.join(comp, "id", "left").select("id", "sig", F.coalesce("component", "id").alias("label"))
+    out = info.join(of_set, keys, "left").join(comp, "id", "left")
     cid = F.coalesce("component", "id", "doc_id")
     return out.select("doc_id", "n_shingles", cid.alias("component_id"),
                       F.coalesce(F.col("doc_id") == cid, F.lit(True)).alias("kept"))
