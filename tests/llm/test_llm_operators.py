@@ -191,6 +191,23 @@ def test_crowded_family(spark):
     assert 400 - len(set(got.values())) >= 0.99 * joins
 
 
+def test_crowded_family_is_whole(spark):
+    """Families of more copies than a class has neighbours: the components are those of brute force."""
+    rng = np.random.default_rng(2)
+    texts = {}
+    for family, most in ((0, 7), (1, 9)):
+        base = [f"v{family}x{k}" for k in rng.integers(0, 900, 150)]
+        for i in range(1000 * family, 1000 * family + 400):
+            t = list(base)
+            for k in rng.integers(0, 150, rng.integers(1, most)):
+                t[k] = f"e{i}x{k}"
+            texts[i] = " ".join(t)
+    _, comp = near_expected(texts)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs).collect()}
+    assert got == comp
+
+
 def test_passages(docs, none):
     order = sorted(range(len(TEXTS)))
     null = "no id here at all".encode()

@@ -14,6 +14,12 @@ each class labelled by its component so far: neighbours of one component cannot
 passed over. The rows of an order carry four bits of each MinHash value, so that neighbours whose
 signatures differ too much are dropped where they stand; the others are confirmed on the full sets.
 
+The rounds compare all of a run (the classes that share the ``BASE - 1`` values of an order) that has
+at most ``NEAR + 1`` classes. The last step takes the runs that are longer and still have more than one
+label, and compares every two classes of different labels in them, without a bound: the run is cut
+into blocks of about ``BLOCK`` classes, pairs of blocks are dealt out, and each is confirmed on the
+full sets where it lies.
+
 Defined results: no words: an empty set, linked with nothing; fewer than ``size`` words: the whole
 sequence is the one shingle; rows with the same id are one node with the links of each; a row with
 a null id keeps a null component and is kept; other columns are ignored; an empty table gives an
@@ -35,6 +41,8 @@ ORDERS, BASE, DEPTH, NEAR = 24, 4, 12, 16
 #: (orders, neighbours) of each round; a round compares only what the rounds before left apart.
 ROUNDS = ((6, 2), (ORDERS, NEAR))
 _VALUES = ORDERS * BASE
+#: Classes of a block of a long run (a block has about so many).
+BLOCK = 128
 
 
 def _orders() -> np.ndarray:
@@ -269,6 +277,127 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(task, "a long, b long")
 
 
+def _in_runs(classes: DataFrame) -> DataFrame:
+    """(run, id, label): every class in its run of each order; a run is the order and the prefix."""
+    first = _orders()[:, :BASE - 1]
+
+    def task(batches):
+        for b in batches:
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").reshape(-1, _VALUES).astype(np.int64)
+            for t, p in enumerate(first):
+                run = np.full(len(sig), t, np.int64)
+                for k in p:
+                    run = run << 16 | sig[:, k]
+                yield pa.RecordBatch.from_arrays([pa.array(run), b.column(0), b.column(2)], ["run", "id", "label"])
+
+    return classes.select("id", "sig", "label").mapInArrow(task, "run long, id long, label long")
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray], width: int = 1 << 13) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every set of ``y``."""
+    kx, ky = np.concatenate(x), np.concatenate(y)
+    keys = np.intersect1d(kx, ky)
+    out = np.zeros((len(x), len(y)))
+    if not len(keys):
+        return out
+    sides = []
+    for sets, k in ((x, kx), (y, ky)):
+        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+        hit = np.flatnonzero(keys[at] == k)
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        sides.append((len(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])[hit], at[hit]))
+    for lo in range(0, len(keys), width):
+        m = []
+        for n, row, at in sides:
+            part = slice(*np.searchsorted(at, (lo, lo + width)))
+            m.append(np.zeros((n, min(width, len(keys) - lo)), np.float32))
+            m[-1][row[part], at[part] - lo] = 1
+        out += m[0] @ m[1].T
+    return out
+
+
+def _joins(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Positions of the (x, y) that join what the ones before them leave apart."""
+    over, out = {}, []
+
+    def top(a):
+        while over.setdefault(a, a) != a:
+            over[a] = a = over[over[a]]
+        return a
+
+    for k, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        a, b = top(a), top(b)
+        if a != b:
+            over[a] = b
+            out.append(k)
+    return out
+
+
+def _linked(x, y, tree: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Confirmed links between the classes of two blocks (id, label, signature, set) of a run of order
+    ``tree``, as far as they join labels; a pair that shares a run of an order before is left to it."""
+    share = percent / 100
+    least = int(np.floor(_VALUES * share - 5 * np.sqrt(_VALUES * share * (1 - share))))
+    same = x[2][:, None] == y[2][None]
+    ok = (x[1][:, None] != y[1][None]) & (same.sum(2) >= least)
+    for p in _orders()[:tree, :BASE - 1]:
+        ok &= ~same[:, :, p].all(2)
+    i, j = np.nonzero(ok)
+    if not len(i):
+        return i, j
+    (ri, i), (rj, j) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+    sx, sy = [x[3][r] for r in ri], [y[3][r] for r in rj]
+    both = _common(sx, sy)[i, j]
+    union = np.array([len(s) for s in sx])[i] + np.array([len(s) for s in sy])[j] - both
+    at = np.flatnonzero(100 * both >= percent * union)
+    i, j = ri[i[at]], rj[j[at]]
+    keep = _joins(x[1][i], y[1][j])
+    return x[0][i[keep]], y[0][j[keep]]
+
+
+def crowded(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """(a, b): links that join the labels of classes in runs of more than NEAR + 1 classes, every two of
+    them compared; None where no such run has two labels. classes: id, sig, label."""
+    runs = _in_runs(classes)
+    wide = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    wide = persist(wide.where(F.col("n") > NEAR + 1).where("lo < hi").select("run"), "runs")
+    if wide.isEmpty():
+        return None
+    rows = persist(runs.join(bounded(wide), "run"), "members")
+    groups = persist(rows.groupBy("run", "label").agg(F.count(F.lit(1)).alias("c")), "groups")
+    big = persist(groups.where(F.col("c") >= BLOCK), "big")
+    rest = persist(groups.where(F.col("c") < BLOCK).groupBy("run").agg(F.sum("c").alias("small")), "small")
+    # blocks of one label (``pure``), the rows of labels with few rows mixed
+    salt = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("c", "small") / BLOCK))
+    rows = rows.join(bounded(big), ["run", "label"], "left").join(bounded(rest), "run", "left") \
+        .withColumn("pure", F.when(F.col("c").isNotNull(), F.col("label"))) \
+        .select("run", "id", "label", "pure", F.xxhash64("run", "pure", salt).alias("block"))
+    ids = persist(rows.select("id").distinct(), "ids")
+    sets = persist(full_sets(docs, ids, size).dropDuplicates(["id"])
+                   .join(classes.select("id", "sig"), "id"), "sets")
+    blocks_ = persist(rows.join(sets, "id").groupBy("block", "run", "pure").agg(
+        F.collect_list(F.struct("id", "label", "sig", "set")).alias("rows")), "blocks")
+    x = blocks_.select("run", F.col("block").alias("x"), F.col("pure").alias("px"))
+    y = blocks_.select("run", F.col("block").alias("y"), F.col("pure").alias("py"))
+    pairs = persist(x.join(y, "run").where("x < y or (x = y and px is null)")
+                    .where("px is null or py is null or px != py").select("run", "x", "y"), "block-pairs")
+    both = pairs.join(blocks_.select(F.col("block").alias("x"), F.col("rows").alias("rx")), "x") \
+        .join(blocks_.select(F.col("block").alias("y"), F.col("rows").alias("ry")), "y").select("run", "rx", "ry")
+
+    def block(rows):
+        sig = np.frombuffer(b"".join(rows.field(2).to_pylist()), "<u2").reshape(-1, _VALUES)
+        return rows.field(0).to_numpy(), rows.field(1).to_numpy(), sig, \
+            [np.frombuffer(s.as_buffer(), U64) for s in rows.field(3)]
+
+    def task(batches):
+        for b in batches:
+            for run, rx, ry in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                a, c = _linked(block(rx.values), block(ry.values), run >> 16 * (BASE - 1), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], ["a", "b"])
+
+    return both.mapInArrow(task, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs``."""
     info = persist(summaries(docs, size), "summaries")
@@ -288,6 +417,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         links = persist(links.unionByName(confirmed(pairs, sets, percent)), "links")
         comp = persist(components(links).withColumnRenamed("node", "id"), "components")
         labelled = classes.join(comp, "id", "left").select("id", "sig", F.coalesce("component", "id").alias("label"))
+    more = crowded(persist(labelled, "labelled"), docs, size, percent)
+    if more is not None:
+        links = persist(links.unionByName(more), "links")
+        comp = persist(components(links).withColumnRenamed("node", "id"), "components")
     out = info.join(of_set, keys, "left").join(comp, "id", "left")
     cid = F.coalesce("component", "id", "doc_id")
     return out.select("doc_id", "n_shingles", cid.alias("component_id"),
