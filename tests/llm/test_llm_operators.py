@@ -288,6 +288,24 @@ def test_quality_on_edge_cases(spark, docs, none):
     assert ftrl.scored(none, ftrl.fit(none, empty)).count() == boosted.quality(none, None).count() == 0
 
 
+def test_every_pass_learns_from_long_texts(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"q{k}" for k in rng.integers(0, 300, 1500 if i % 3 else 40)), i % 2) for i in range(24)]
+    df = spark.createDataFrame([*rows, (24, "", 1)], "doc_id long, text string, quality int")
+    got = ftrl.fit(df.select("doc_id", "text").repartition(3), df.select("doc_id", "quality"))
+    model = ftrl.Ftrl()
+    order = df.where("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0").orderBy(F.xxhash64("doc_id")).collect()
+    assert sum(len(words(r.text)) > 800 for r in order) > 5
+    for _ in range(2):
+        for r in order:
+            for _, _, data, off in ftrl.blocks(pa.array([r.text])):
+                model.learn(ftrl.features(data, off)[0], r.quality)
+    assert np.allclose(got, model.weights(), atol=1e-6)
+
+
 def test_languages(spark, docs, none):
     de, en = "der hund und die katze sind im haus und schlafen ", "the dog and the cat are in the house and sleep "
     known = spark.createDataFrame([(i, (de if i % 2 else en) * 4, "de" if i % 2 else "en") for i in range(40)],

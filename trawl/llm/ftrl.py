@@ -2,9 +2,9 @@
 
 Features are hashes into ``2**BITS`` weights of word 1- and 2-grams and of 1- to 3-grams of word
 shapes (case, symbols, length, same as the word before). A document's value of a feature is its
-share of the document's n-grams. Training is one pass of follow-the-regularised-leader updates
+share of the document's n-grams. Training is two passes of follow-the-regularised-leader updates
 over a bounded sample of labelled documents (``SAMPLE_ROWS``) in one task, which streams them in
-id-hash order; scoring is a sparse dot product per document, vectorised over a batch.
+id-hash order once per pass, every document alike; scoring is a sparse dot product per document, vectorised over a batch.
 
 Defined results: a null or empty text has no features and scores the bias alone; every row gives
 one row; other columns are ignored; without labelled rows every score is 0.5. Label columns, lang,
@@ -85,9 +85,9 @@ class Ftrl:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, held_out: int = 0, passes: int = 2) -> np.ndarray:
     """Weights (float32, bias last) learnt from at most ``rows`` labelled documents outside fold
-    ``held_out``."""
+    ``held_out``, each learnt from once in each of ``passes`` passes."""
     def task(batches):
-        model, seen = Ftrl(), []
+        model, seen = Ftrl(), 0
         for b in batches:
             y = b.column(1).to_pylist()
             for lo, hi, data, off in blocks(b.column(0)):
@@ -96,16 +96,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, held_out: i
                 cut = np.searchsorted(doc[order], np.arange(1, hi - lo))
                 for k, f in enumerate(np.split(index[order].astype(np.int32), cut)):
                     model.learn(f, y[lo + k])
-                    seen.append((f if len(f) < 4000 else f[:0], y[lo + k]))
-        for _ in range(passes - 1):
-            for f, label in seen:
-                if len(f):
-                    model.learn(f, label)
+                seen += hi - lo
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([model.weights().astype("<f4").tobytes()], pa.binary())], ["w"])
 
     s = labelled(docs, labels, "quality", rows, held_out)
-    one = s.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "y")
+    one = s.repartition(1).withColumn("pass", F.explode(F.array(*map(F.lit, range(passes))))) \
+        .sortWithinPartitions("pass", F.xxhash64("doc_id"), "doc_id").select("text", "y")
     got = one.mapInArrow(task, "w binary").collect()
     return np.frombuffer(got[0].w, "<f4") if got else np.zeros((1 << BITS) + 1, np.float32)
 
