@@ -124,6 +124,52 @@ def test_unigrams_and_tree(docs, none):
     assert suffix_tree.scores(none).count() == 0
 
 
+def test_tree_keeps_rare_contexts_of_a_large_corpus(spark):
+    """The tree of more than 400,000 tokens equals one built by hand from all that is seen twice."""
+    rng = np.random.default_rng(9)
+    texts = {}
+    for i in range(20):
+        jump, to = rng.random(40_000) < 0.2, rng.integers(0, 200_000, 40_000)
+        w = np.arange(40_000) - np.maximum.accumulate(np.where(jump, np.arange(40_000), 0)) \
+            + to[np.maximum.accumulate(np.where(jump, np.arange(40_000), 0))]
+        texts[i] = " ".join(f"m{k}" for k in w)
+    texts |= {20: "", 21: "m1 m2 m3 unheard", 22: "m1"}
+    train = [[*words(t), None] for i, t in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    uni = Counter(w for t in train for w in t)
+    total, norm = sum(uni.values()), sum(uni.values()) + 0.5 * (len(uni) + 1)
+    assert total > 450_000
+    tree = {}  # kept context: (back-off weight, {next: probability})
+
+    def prob(context, w):
+        if not context:
+            return (uni[w] + 0.5) / norm
+        back, p = tree.get(context, (1.0, {}))
+        return p[w] if w in p else back * prob(context[1:], w)
+
+    for size in (1, 2):
+        entries, count = {}, Counter(tuple(t[k:k + size + 1]) for t in train for k in range(len(t) - size))
+        sums = Counter()
+        for g, n in count.items():
+            sums[g[:-1]] += n
+            if n >= 2:
+                entries.setdefault(g[:-1], {})[g[-1]] = n
+        new = {}
+        for s, e in entries.items():
+            back = 1 - sum(n - 0.5 for n in e.values()) / sums[s]
+            q = {w: prob(s[1:], w) for w in e}
+            p = {w: (n - 0.5) / sums[s] + back * q[w] for w, n in e.items()}
+            kl = sum(p[w] * np.log(p[w] / q[w]) for w in e) + back * max(1 - sum(q.values()), 0) * np.log(back)
+            if sums[s] * kl > 12:
+                new[s] = (back, p)
+        tree |= new
+    got = suffix_tree.scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = [*words(texts[r.doc_id]), None]
+        assert r.train_tokens == total and r.n_tokens == len(t)
+        assert r.score == pytest.approx(sum(np.log10(prob(tuple(t[max(0, k - 2):k]), w)) for k, w in enumerate(t)))
+
+
 def test_kept_contexts_are_distributions():
     context, c = np.array([0, 0, 1]), np.array([60.0, 30.0, 5.0])
     q, total = np.array([0.1, 0.2, 0.5]), np.array([100.0, 10.0])

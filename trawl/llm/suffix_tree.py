@@ -2,17 +2,16 @@
 
 Tokens are lower-cased words and one end per text. Contexts of 0, 1 and 2 tokens are the tree's
 states. The root is the smoothed unigram distribution, (c + 0.5) / (N + 0.5 (V + 1)). A longer
-context is a candidate if its probability in the training text is at least ``CONTEXT_P`` and is
-kept if a divergence test holds: its count times the Kullback-Leibler divergence of its
-next-token distribution from that of its longest kept proper suffix is above ``GAIN``. Its
+context is kept if a divergence test holds: its count times the Kullback-Leibler divergence of its
+next-token distribution from that of its longest kept proper suffix is above ``GAIN``. Its entries are
+the next tokens seen at least ``LEAST`` times after it, at every size of the input. Its
 distribution is smoothed by absolute discounting: P(w|s) = max(c(sw) - 0.5, 0) / c(s) + back(s)
 P(w|parent(s)), which sums to one. A token is scored in the longest kept suffix of what precedes it.
 
-Counting is level by level: unigrams of all training texts; pairs of words that are both frequent
-enough; triples inside frequent pairs. The candidates of a level are at most 1 / CONTEXT_P, and words of probability
-``WORD_P`` or more at most 1 / WORD_P (4 million, 48 MB), which is the proven bound of what is
-gathered and broadcast. All other words are scored from the whole count table: their occurrences,
-added up per document, are joined with it by a shuffle. The shuffled counts grow with the corpus.
+All levels are written tables that grow with the corpus; no table is gathered by the driver. Every token
+of every text is a row (its text, the two tokens before it, itself). Their distinct triples with the count
+in the training texts make the top level, its sums the pairs and words. Probabilities are worked out
+once per distinct pair and triple, level by level, and joined to the tokens by a shuffle.
 
 Defined results: a null or empty text is one end token; rows are scored one by one (repeated or
 null ids included; a null id has the fold of the empty text); other columns are ignored; without
@@ -22,24 +21,20 @@ result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.keytable import KeyTable, add_up
 from trawl.llm.sample import fold
 from trawl.llm.store import persist
 from trawl.llm.text import U64, blocks, hashed_words
 
-WORD_P = 2.5e-7
-CONTEXT_P = 5e-6
+LEAST = 2
 GAIN = 12.0
 DISCOUNT = 0.5
 END = U64(0x5851F42D4C957F2D)
-_FLUSH = 6_000_000
+_END = int(END.view(np.int64))
 
 
 def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,92 +45,9 @@ def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, at, END), np.insert(doc, at, np.arange(n))
 
 
-def _counted(train: DataFrame, keys) -> DataFrame:
-    """Sums of ``keys(tokens, documents)`` over all training texts: (k, c)."""
-
-    def task(batches):
-        held, counts, size = [], [], 0
-
-        def flush():
-            k, c = add_up(np.concatenate(held), np.concatenate(counts))
-            for i in range(0, len(k), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(k[i:i + (1 << 18)].view(np.int64)),
-                                                  pa.array(c[i:i + (1 << 18)].astype(np.int64))], ["k", "c"])
-
-        for b in batches:
-            for _, _, data, off in blocks(b.column(0)):
-                k, c = add_up(keys(*_tokens(data, off)))
-                held.append(k)
-                counts.append(c)
-                size += len(k)
-                if size > _FLUSH:
-                    yield from flush()
-                    held, counts, size = [], [], 0
-        if held:
-            yield from flush()
-
-    return train.select("text").mapInArrow(task, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
-
-
-@dataclass
-class Model:
-    """Tables of the tree; ``w_*`` by frequent word, ``p_*`` by pair, ``t_*`` by triple."""
-
-    total: int
-    distinct: int
-    words: KeyTable
-    w_log: np.ndarray  # log10 P(word) of the root
-    w_context: np.ndarray  # number of the word among the context words, -1 for others
-    w_back: np.ndarray  # log10 back-off weight of the word as a context, nan if not kept
-    n_context: int
-    pairs: KeyTable
-    p_log: np.ndarray
-    p_back: np.ndarray
-    triples: KeyTable
-    t_log: np.ndarray
-
-    def keys(self, tok: np.ndarray, doc: np.ndarray):
-        """(word, pair that ends at the token, pair that ends before it), -1 where there is none."""
-        w = self.words.find(tok)
-        c = np.where(w >= 0, self.w_context[w], -1)
-        pair = np.full(len(tok), -1, np.int64)
-        if len(tok) > 1 and len(self.pairs.keys):
-            ok = np.flatnonzero((c[1:] >= 0) & (c[:-1] >= 0) & (doc[1:] == doc[:-1])) + 1
-            pair[ok] = self.pairs.find(c[ok - 1] * self.n_context + c[ok])
-        before = np.full(len(tok), -1, np.int64)
-        if len(tok) > 2:
-            same = doc[1:] == doc[:-1]
-            before[1:][same] = pair[:-1][same]
-        return w, c, pair, before
-
-    def score(self, tok: np.ndarray, doc: np.ndarray):
-        """(log10 P in the tree, log10 P of the root), both without the root's part of words that
-        are not frequent, and the positions of those words."""
-        w, c, pair, before = self.keys(tok, doc)
-        rare = w < 0
-        root = np.where(rare, 0.0, self.w_log[w])
-        s = root.copy()
-        if self.n_context:
-            back = np.full(len(tok), np.nan)
-            same = np.flatnonzero(doc[1:] == doc[:-1]) + 1
-            back[same] = np.where(w[same - 1] >= 0, self.w_back[w[same - 1]], np.nan)
-            kept = ~np.isnan(back)
-            s[kept] += back[kept]
-            hit = kept & (pair >= 0)
-            s[hit] = self.p_log[pair[hit]]
-        if len(self.pairs.keys):
-            back = np.where(before >= 0, self.p_back[before], np.nan)
-            kept = ~np.isnan(back)
-            s[kept] += back[kept]
-            look = np.flatnonzero(kept & (c >= 0))
-            t = self.triples.find(before[look] * self.n_context + c[look])
-            s[look[t >= 0]] = self.t_log[t[t >= 0]]
-        return s, root, np.flatnonzero(rare)
-
-
 def _kept(context: np.ndarray, c: np.ndarray, q: np.ndarray, total: np.ndarray):
     """Smoothed log10 P of each (context, next) entry with parent probability ``q``, and log10
-    back-off weight of each context (nan where the divergence test fails)."""
+    back-off weight of each context (nan where the divergence test fails); ``_level`` for arrays."""
     part = np.maximum(c - DISCOUNT, 0) / total[context]
     n = len(total)
     back = 1 - np.bincount(context, part, n)
@@ -146,111 +58,71 @@ def _kept(context: np.ndarray, c: np.ndarray, q: np.ndarray, total: np.ndarray):
     return np.log10(p), np.where(kept, np.log10(np.maximum(back, 1e-300)), np.nan)
 
 
-def fit(train: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the whole unigram table (k, c) of the texts of ``train``."""
-    uni = persist(_counted(train, lambda tok, doc: tok), "unigrams")
-    row = uni.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, distinct = int(row.n or 0), int(row.v)
-    # at most 1 / WORD_P rows
-    freq = uni.where(F.col("c") >= max(2, int(np.ceil(WORD_P * total)))).toPandas().sort_values("k")
-    key = freq["k"].to_numpy(np.int64).view(U64)
-    count = freq["c"].to_numpy(np.int64)
-    norm = total + 0.5 * (distinct + 1)
-    p0 = (count + 0.5) / norm
-    least = max(2, int(np.ceil(CONTEXT_P * total)))
-    chosen = np.flatnonzero(count >= least)  # at most 1 / CONTEXT_P
-    context = np.full(len(key), -1, np.int64)
-    context[chosen] = np.arange(len(chosen))
-    none = np.zeros(0)
-    m = Model(total, distinct, KeyTable(key), np.log10(p0), context, np.full(len(key), np.nan), len(chosen),
-              KeyTable(none), none, none, KeyTable(none), none)
-    if not len(chosen):
-        return m, uni
-    sc = train.sparkSession.sparkContext
-
-    def frequent(keys) -> tuple[np.ndarray, np.ndarray]:
-        got = _counted(train, keys).where(F.col("c") >= least).toPandas().sort_values("k")
-        return got["k"].to_numpy(np.int64), got["c"].to_numpy(float)
-
-    shared, width = sc.broadcast(m), len(chosen)
-
-    def pair_keys(tok, doc):
-        x = shared.value
-        w = x.words.find(tok)
-        c = np.where(w >= 0, x.w_context[w], -1)
-        ok = np.flatnonzero((c[1:] >= 0) & (c[:-1] >= 0) & (doc[1:] == doc[:-1]))
-        return (c[ok] * width + c[ok + 1]).view(U64)
+def _events(rows: DataFrame) -> DataFrame:
+    """(row, doc_id, held_out, a, b, c): every token c of every text with the two before it (END where
+    there is none: an end has no successor, so it is never a context)."""
 
-    k, c = frequent(pair_keys)
-    first, then = k // width, k % width
-    p_log, back = _kept(first, c, p0[chosen][then], count[chosen].astype(float))
-    m.w_back[chosen] = back
-    m.pairs, m.p_log, m.p_back = KeyTable(k), p_log, np.full(len(k), np.nan)
-    shared2 = sc.broadcast(m)
-
-    def triple_keys(tok, doc):
-        _, cc, _, before = shared2.value.keys(tok, doc)
-        ok = np.flatnonzero((before >= 0) & (cc >= 0))
-        return (before[ok] * width + cc[ok]).view(U64)
+    def task(batches):
+        from pyspark import TaskContext
 
-    tk, tc = frequent(triple_keys)
-    if len(tk):
-        pair, nxt = tk // width, tk % width
-        # parent: the pair's last word if it is kept, else the root
-        last = then[pair]
-        inner = KeyTable(k).find(last * width + nxt)
-        q = p0[chosen][nxt]
-        kept = ~np.isnan(back[last])
-        q = np.where(kept & (inner >= 0), 10 ** p_log[inner], np.where(kept, 10 ** np.nan_to_num(back[last]) * q, q))
-        t_log, m.p_back = _kept(pair, tc, q, c)
-        m.triples, m.t_log = KeyTable(tk), t_log
-    return m, uni
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for lo, hi, data, off in blocks(batch.column(1)):
+                tok, doc = _tokens(data, off)
+                before = []
+                for k in (2, 1):
+                    t = np.full(len(tok), END)
+                    t[k:] = np.where(doc[k:] == doc[:-k], tok[:-k], END)
+                    before.append(t)
+                at = pa.array(doc + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + doc), batch.column(0).take(at), batch.column(2).take(at),
+                     *(pa.array(t.view(np.int64)) for t in (*before, tok))],
+                    ["row", "doc_id", "held_out", "a", "b", "c"])
+                row += hi - lo
+
+    return rows.mapInArrow(task, "row long, doc_id long, held_out boolean, a long, b long, c long")
+
+
+def _level(entries: DataFrame, context: list[str]) -> DataFrame:
+    """``entries`` (context, next token, t: count in training, q: probability in the parent) with q
+    replaced by the probability in the context where the divergence test keeps it."""
+    real = entries.where(F.col(context[0]) != _END)
+    seen = F.col("t") >= LEAST
+    total = real.groupBy(*context).agg(
+        F.sum("t").alias("n"), F.sum(F.when(seen, F.col("t") - DISCOUNT)).alias("part"),
+        F.sum(F.when(seen, F.col("q"))).alias("share")).where("part is not null")
+    total = total.select(*context, "n", (1 - F.col("part") / F.col("n")).alias("back"), "share")
+    p = (F.col("t") - DISCOUNT) / F.col("n") + F.col("back") * F.col("q")
+    gain = F.sum(p * F.log(p / F.col("q"))) + F.first("back") * F.greatest(1 - F.first("share"), F.lit(0.0)) \
+        * F.log(F.first("back"))
+    kept = real.where(seen).join(total, context).groupBy(*context).agg(
+        gain.alias("kl"), F.first("n").alias("n"), F.first("back").alias("back")).where(F.col("n") * F.col("kl") > GAIN)
+    kept = persist(kept.select(*context, "n", "back"), "contexts")
+    q = F.when(F.col("back").isNull(), F.col("q")).when(seen, p).otherwise(F.col("back") * F.col("q"))
+    return entries.join(kept, context, "left").withColumn("q", q).drop("n", "back")
 
 
 def scores(docs: DataFrame, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document; the
     tree is learnt from the rows outside fold ``held_out``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold() == held_out).alias("held_out"))
-    model, uni = fit(rows.where(~F.col("held_out")))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def task(batches):
-        from pyspark import TaskContext
-
-        m, row = shared.value, TaskContext.get().partitionId() << 40
-        for b in batches:
-            for lo, hi, data, off in blocks(b.column(1)):
-                n = hi - lo
-                tok, doc = _tokens(data, off)
-                s, base, rare = m.score(tok, doc)
-                size = np.bincount(doc, minlength=n)
-                # the rare words of each document with their counts
-                order = np.lexsort((tok[rare], doc[rare]))
-                t, d = tok[rare][order], doc[rare][order]
-                new = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])))) if len(t) \
-                    else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(t)))
-                cut = np.searchsorted(d[new], np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), b.column(0).slice(lo, n), b.column(2).slice(lo, n),
-                     pa.array(size.astype(np.int64)),
-                     pa.array((size - np.bincount(d, minlength=n)).astype(np.int64)),
-                     pa.array(np.bincount(doc, base, n)), pa.array(np.bincount(doc, s, n)),
-                     pa.ListArray.from_arrays(pa.array(cut), pa.array(t[new].view(np.int64))),
-                     pa.ListArray.from_arrays(pa.array(cut), pa.array(times.astype(np.int32)))],
-                    ["row", "doc_id", "held_out", "n_tokens", "known", "base", "tree", "rare", "times"])
-                row += n
-
-    part = persist(rows.mapInArrow(task, "row long, doc_id long, held_out boolean, n_tokens long, known long, "
-                                         "base double, tree double, rare array<long>, times array<int>"), "scored")
-    norm = model.total + 0.5 * (model.distinct + 1)
-    rare = part.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")) \
-        .select("row", F.col("x.rare").alias("k"), F.col("x.times").alias("times"))
-    found = rare.join(uni, "k", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / norm)).alias("rest"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("seen"))
-    rest = F.coalesce("rest", F.lit(0.0))
-    return part.drop("rare", "times").join(found, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"),
-        (F.col("tree") + rest).alias("score"))
+    events = _events(rows)  # made anew for the join at the end
+    triples = persist(events.groupBy("a", "b", "c").agg(
+        F.sum(F.when(F.col("held_out"), 0).otherwise(1)).alias("t")), "triples")
+    pairs = persist(triples.groupBy("b", "c").agg(F.sum("t").alias("t")), "pairs")
+    words = persist(pairs.groupBy("c").agg(F.sum("t").alias("n")), "words")
+    row = words.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
+    total, distinct = int(row.n or 0), int(row.v)
+    root = words.select("c", (F.col("n") > 0).cast("int").alias("known"),
+                        ((F.col("n") + 0.5) / (total + 0.5 * (distinct + 1))).alias("root"))
+    pairs = persist(_level(pairs.join(root, "c").withColumn("q", F.col("root")), ["b"]), "pair-level")
+    triples = triples.join(pairs.select("b", "c", "known", "root", "q"), ["b", "c"])
+    triples = persist(_level(triples, ["a", "b"]).select(
+        "a", "b", "c", "known", F.log10("root").alias("base"), F.log10("q").alias("tree")), "triple-level")
+    return events.join(triples, ["a", "b", "c"]).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"),
+        F.count(F.lit(1)).alias("n_tokens"), F.sum("known").alias("n_known"),
+        F.sum("base").alias("base_score"), F.sum("tree").alias("score")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        "base_score", "score")
