@@ -1,4 +1,4 @@
-"""The ten operators with production parameters over their whole tables, and the pipeline."""
+"""The operators with production parameters over their whole tables, and the pipeline."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, projected_search, suffix_tree
+from trawl.llm import align, boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, projected_search, suffix_tree
 from trawl.llm.store import load
 
 JSON_BPE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,10 @@ def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.digests(load(spark, sf_dir, "documents"), RANK_BPE, public_tokenizers.PATTERN)
 
 
+def op13_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(load(spark, sf_dir, "documents"), JSON_BPE, public_tokenizers.PATTERN, PIECES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return out | {"page_language": page_language}
