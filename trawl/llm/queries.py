@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import align, boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, merkle, projected_search, suffix_tree
+from trawl.llm import align, boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, lsh_forest, merge_replay, merkle, projected_search, suffix_tree, warc_history
 from trawl.llm.store import load
 
 JSON_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,6 +71,10 @@ def op11_incremental_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(load(spark, sf_dir, "documents"))
 
 
+def op12_merged_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_history.digests(load(spark, sf_dir, "pages"))
+
+
 def op13_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(load(spark, sf_dir, "documents"), JSON_BPE, public_tokenizers.PATTERN, PIECES)
 
@@ -81,4 +85,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_incremental_merkle": merkle.ORACLE_SQL}
+    return {"op11_incremental_merkle": merkle.ORACLE_SQL, "op12_merged_captures": warc_history.ORACLE_SQL}
