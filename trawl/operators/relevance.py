@@ -1,11 +1,8 @@
 """Relevance scoring of blocks against a topical corpus (J6, J7, L1-L4) and roll-ups.
 
-Corpus x blocks is a nearest-neighbour problem. No pair rows are ever emitted: the corpus
-matrix is broadcast (after its row count is checked against a fixed bound) and each Arrow
-batch of blocks is scored with one numpy matrix product, keeping only the reduction (max
-cosine, or k nearest ids and distances). A corpus above the bound never goes through the
-driver: it is scored as a block nested loop of co-groups (query bucket x corpus chunk, both
-bounded) and the partial results are merged exactly (max of maxima, top-k of top-ks).
+Corpus x blocks is a nearest-neighbour problem, solved exactly by pivot cells (``pivot``): a query
+searches only the cells that its k-th distance reaches, and no pair rows are emitted. The best cosine
+is the nearest neighbour among vectors of length 1.
 
 Everything after the neighbour search (k-distance, reachability, LOF, page and segment
 statistics) is plain DataFrame joins and aggregations.
@@ -13,152 +10,32 @@ statistics) is plain DataFrame joins and aggregations.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawl.operators import pivot
 from trawl.session import ensure_checkpoint_dir
 
-# Rows of corpus vectors broadcast in one piece (x 64 doubles = 100 MB at the bound).
+# Rows of corpus vectors broadcast in one piece (and never more bytes than pivot.MAX_BROADCAST_BYTES).
 MAX_BROADCAST_VECTORS = 200_000
 LOF_EPS = 1e-10
 LOF_OFFSET = 1.5
 
 
-def _collect_corpus(corpus: DataFrame, id_col: str, vec_col: str):
-    rows = corpus.select(F.col(id_col).cast("long").alias("id"),
-                         F.col(vec_col).cast("array<double>").alias("v")).toPandas()
-    ids = rows["id"].to_numpy(dtype=np.int64)
-    mat = _as_matrix(rows["v"])
-    return ids, mat
-
-
-def _as_matrix(series: pd.Series) -> np.ndarray:
-    if len(series) == 0:
-        return np.zeros((0, 0))
-    return np.vstack(series.map(lambda a: np.asarray(a, dtype=np.float64)).to_list())
-
-
-def _rows_per_step(n_corpus: int, cells: int = 1 << 24) -> int:
-    """Query rows per matrix product so that one distance block stays near 128 MB."""
-    return max(1, cells // max(1, n_corpus))
-
-
-# ---------------------------------------------------------------- numpy kernels (one batch)
-
-def _cosine_kernel(qid, q, ids_c, mat_c, exclude_self: bool) -> np.ndarray:
-    """Best cosine of each query row over the corpus rows, starting at -1; NaN never wins."""
-    best = np.full(len(qid), -1.0)
-    if not len(qid) or not len(ids_c):
-        return best
-    n_c = np.linalg.norm(mat_c, axis=1)
-    nq = np.linalg.norm(q, axis=1)
-    step = _rows_per_step(len(ids_c))
-    for a in range(0, len(qid), step):
-        b = min(a + step, len(qid))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = (q[a:b] @ mat_c.T) / np.outer(nq[a:b], n_c)
-        sim[~np.isfinite(sim)] = -np.inf  # zero norms give NaN: never wins
-        if exclude_self:
-            sim[qid[a:b, None] == ids_c[None, :]] = -np.inf
-        best[a:b] = np.maximum(best[a:b], sim.max(axis=1))
-    return best
-
-
-def _knn_kernel(qid, q, ids, mat, k: int, exclude_self: bool):
-    """k nearest corpus rows of each query row (ties by id): (id lists, distance lists).
-    Candidates are all rows whose product-form distance is at or below the k-th (with a margin for
-    rounding), so no tie is cut off before the id rule; their distances are recomputed exactly.
-    The left-out point itself is never returned."""
-    out_ids = [[] for _ in range(len(qid))]
-    out_d = [[] for _ in range(len(qid))]
-    if not len(qid) or not len(ids):
-        return out_ids, out_d
-    sqn = (mat ** 2).sum(axis=1)
-    kk = min(k, len(ids))
-    step = _rows_per_step(len(ids))
-    for a in range(0, len(qid), step):
-        b = min(a + step, len(qid))
-        qa = q[a:b]
-        sqq = (qa ** 2).sum(axis=1)
-        d2 = sqq[:, None] + sqn[None, :] - 2.0 * (qa @ mat.T)
-        if exclude_self:
-            d2[qid[a:b, None] == ids[None, :]] = np.inf
-        bound = np.partition(d2, kk - 1, axis=1)[:, kk - 1] + 1e-9 * (sqq + sqn.max())
-        for r in range(b - a):
-            cand = np.flatnonzero((d2[r] <= bound[r]) & np.isfinite(d2[r]))
-            exact = np.sqrt(((mat[cand] - qa[r]) ** 2).sum(axis=1))
-            order = np.lexsort((ids[cand], exact))[:kk]
-            out_ids[a + r] = ids[cand][order].tolist()
-            out_d[a + r] = exact[order].tolist()
-    return out_ids, out_d
-
-
-# ---------------------------------------------------------------- two physical forms
-
-def _broadcast_pass(queries: DataFrame, corpus: DataFrame, kernel, schema: str, id_col: str, vec_col: str,
-                    cid: str, cvec: str) -> DataFrame:
-    """Corpus (size already checked) broadcast once; each Arrow batch of queries scored locally."""
-    ids_c, mat_c = _collect_corpus(corpus, cid, cvec)
-    bc = queries.sparkSession.sparkContext.broadcast((ids_c, mat_c))
-
-    def fn(batches):
-        ids, mat = bc.value
-        for pdf in batches:
-            qid = pdf[id_col].to_numpy(dtype=np.int64)
-            yield kernel(qid, _as_matrix(pdf[vec_col]), ids, mat)
-
-    return queries.select(F.col(id_col).cast("long").alias(id_col), vec_col).mapInPandas(fn, schema)
-
-
-def _blocked_pass(queries: DataFrame, corpus: DataFrame, kernel, schema: str, id_col: str, vec_col: str,
-                  cid: str, cvec: str, n_corpus: int, max_rows: int) -> DataFrame:
-    """Corpus above the broadcast bound: block nested loop without the driver. Queries are
-    hashed into B buckets and the corpus into C chunks of at most ~max_rows rows; each
-    (bucket, chunk) pair is one co-group scored by the kernel, so a task holds one bounded query
-    bucket and one bounded corpus chunk. The caller merges the C partial results per query."""
-    spark = queries.sparkSession
-    c_chunks = int(np.ceil(n_corpus / max_rows))
-    n_q = queries.count()
-    b_buckets = max(spark.sparkContext.defaultParallelism, int(np.ceil(n_q / max_rows)))
-    q = queries.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias(vec_col),
-                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(b_buckets)).alias("_b")) \
-        .withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(c_chunks - 1))))
-    c = corpus.select(F.col(cid).cast("long").alias("_cid"), F.col(cvec).alias("_cv"),
-                      F.pmod(F.xxhash64(F.col(cid)), F.lit(c_chunks)).alias("_c")) \
-        .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(b_buckets - 1)))) \
-        .join(q.select("_b").distinct(), "_b", "left_semi")  # buckets without a query form no group
-
-    def fn(left, right):
-        qid = left[id_col].to_numpy(dtype=np.int64)
-        return kernel(qid, _as_matrix(left[vec_col]), right["_cid"].to_numpy(dtype=np.int64),
-                      _as_matrix(right["_cv"]))
-
-    return q.groupBy("_b", "_c").cogroup(c.groupBy("_b", "_c")).applyInPandas(fn, schema)
-
-
-def _scored(queries, corpus, kernel, schema, id_col, vec_col, cid, cvec, max_rows):
-    n = corpus.count()  # the size check that decides the physical form
-    if n <= max_rows:
-        return _broadcast_pass(queries, corpus, kernel, schema, id_col, vec_col, cid, cvec), False
-    return _blocked_pass(queries, corpus, kernel, schema, id_col, vec_col, cid, cvec, n, max_rows), True
-
-
 def max_cosine(blocks: DataFrame, corpus: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                corpus_id_col: str | None = None, corpus_vec_col: str | None = None,
                exclude_self: bool = False, max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
-    """Best cosine similarity of each block over the corpus, starting at -1.0.
-    Returns (id_col, best_sim)."""
+    """Best cosine similarity of each block over the corpus, starting at -1.0 (also for blocks
+    without a finite, non-zero vector). Returns (id_col, best_sim).
 
-    def kernel(qid, q, ids, mat):
-        return pd.DataFrame({id_col: qid, "best_sim": _cosine_kernel(qid, q, ids, mat, exclude_self)})
+    On vectors of length 1 the best cosine is the nearest neighbour (cosine = 1 - distance^2 / 2)."""
 
-    out, blocked = _scored(blocks, corpus, kernel, f"{id_col} long, best_sim double", id_col, vec_col,
-                           corpus_id_col or id_col, corpus_vec_col or vec_col, max_broadcast)
-    if blocked:
-        out = out.groupBy(id_col).agg(F.max("best_sim").alias("best_sim"))  # max of partial maxima
-    return out
+    near = pivot.nearest(pivot.clean(blocks, id_col, vec_col),
+                         pivot.clean(corpus, corpus_id_col or id_col, corpus_vec_col or vec_col),
+                         1, exclude_self, max_broadcast, directions=True)
+    best = near.select(F.col("id").alias(id_col), (1 - F.col("dist") * F.col("dist") / 2).alias("sim"))
+    return blocks.select(F.col(id_col).cast("long").alias(id_col)).join(best, id_col, "left").select(
+        id_col, F.greatest(F.lit(-1.0), F.coalesce("sim", F.lit(-1.0))).alias("best_sim"))
 
 
 def cosine_score(blocks: DataFrame, corpus: DataFrame, threshold: float = 0.0, **kw) -> DataFrame:
@@ -170,23 +47,13 @@ def cosine_score(blocks: DataFrame, corpus: DataFrame, threshold: float = 0.0, *
 
 def knn(queries: DataFrame, corpus: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str = "embedding",
         corpus_id_col: str | None = None, corpus_vec_col: str | None = None, exclude_self: bool = False,
-        max_broadcast: int = MAX_BROADCAST_VECTORS) -> DataFrame:
+        max_broadcast: int = MAX_BROADCAST_VECTORS, report: bool = False) -> DataFrame:
     """K nearest corpus points by Euclidean distance (ties by id), one row per neighbour:
-    (id_col, rank, nn_id, dist)."""
-
-    def kernel(qid, q, ids, mat):
-        nn_ids, nn_d = _knn_kernel(qid, q, ids, mat, k, exclude_self)
-        return pd.DataFrame({id_col: qid, "nn_ids": nn_ids, "nn_dist": nn_d})
-
-    out, blocked = _scored(queries, corpus, kernel, f"{id_col} long, nn_ids array<long>, nn_dist array<double>",
-                           id_col, vec_col, corpus_id_col or id_col, corpus_vec_col or vec_col, max_broadcast)
-    rows = out.select(id_col, F.posexplode(F.arrays_zip("nn_ids", "nn_dist")).alias("_r", "z")).select(
-        id_col, (F.col("_r") + 1).alias("rank"), F.col("z.nn_ids").alias("nn_id"), F.col("z.nn_dist").alias("dist"))
-    if blocked:
-        # merge partial top-k lists: at most k rows per query per chunk, so the window is bounded
-        w = Window.partitionBy(id_col).orderBy("dist", "nn_id")
-        rows = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return rows
+    (id_col, rank, nn_id, dist). With ``report`` also ``cells``: the pivot cells the query searched."""
+    near = pivot.nearest(pivot.clean(queries, id_col, vec_col),
+                         pivot.clean(corpus, corpus_id_col or id_col, corpus_vec_col or vec_col),
+                         k, exclude_self, max_broadcast)
+    return near.select(F.col("id").alias(id_col), "rank", "nn_id", "dist", *["cells"] * report)
 
 
 def _fit_from_neighbours(nn: DataFrame, k: int, id_col: str) -> DataFrame:
