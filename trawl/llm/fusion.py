@@ -189,9 +189,14 @@ def of_pages(pages: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
-    """The rows of ``docs`` (documents) whose language is accepted, all columns. A row is known by
-    the hash of its id and text."""
-    key = F.xxhash64("doc_id", "text")
-    verdict = identify(of_documents(docs).withColumn("row_id", F.xxhash64("row_id", "text")), langs, table)
-    gone = persist(verdict.where(~F.col("accepted")).select(F.col("row_id").alias("gone")).distinct(), "rejected")
-    return docs.join(bounded(gone), key == F.col("gone"), "left_anti")
+    """The rows of ``docs`` (documents) whose language is accepted, all columns, with ``lang`` the
+    language identified. A row is known by the hash of its id, text and source, by which the rows that go
+    or change are joined back."""
+    key = F.xxhash64("doc_id", "text", "source")
+    verdict = identify(of_documents(docs).withColumn("row_id", F.xxhash64("row_id", "text", "host")), langs, table)
+    said = docs.select(key.alias("row_id"), F.col("lang").alias("said"))
+    other = verdict.join(said, "row_id").where(~(F.col("accepted") & F.col("lang").eqNullSafe(F.col("said")))).select(
+        F.col("row_id").alias("_row"), F.when(F.col("accepted"), F.col("lang")).alias("_lang")).distinct()
+    rows = docs.join(bounded(persist(other, "relabelled")), key == F.col("_row"), "left")
+    rows = rows.where("_row is null or _lang is not null").withColumn("lang", F.coalesce("_lang", "lang"))
+    return rows.drop("_row", "_lang")
