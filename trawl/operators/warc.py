@@ -1,27 +1,23 @@
 """Archive export and import.
 
 ``warc_rows`` builds every header field as a column; ``write_warc`` assembles and gzips the
-records inside the writer tasks (one file per task and rotation, records per file capped, a
-warcinfo head per file) and returns one row per written file; ``read_warc`` splits archive
-files back into records, one task per file.
+records inside the writer tasks of the ``warc`` data source and returns one row per committed file;
+``read_warc`` reads archives back by byte ranges.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
-import os
+import json
+import uuid
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trawl.functions import meta as M
 from trawl.functions import urls as U
 from trawl.functions import warc as W
+from trawl.archive import register
 
-RECORD_SCHEMA = "record_id string, type string, target_uri string, date string, headers map<string,string>, payload binary"
 
 
 def _c(x) -> Column:
@@ -30,9 +26,10 @@ def _c(x) -> Column:
 
 def warc_rows(pages: DataFrame, url_col: str = "url", content_col: str = "html", md_col: str | None = None,
               head_col: str | None = None, capture_col: str | None = None, fallback_time=None,
-              warc_keys=M.WARC_KEYS, escape_uri: bool = False) -> DataFrame:
+              warc_keys=M.WARC_KEYS, escape_uri: bool = False, request_col: str | None = None) -> DataFrame:
     """K3 + V1-V5: one archive record per page with all header fields as columns and the full
-    header block as ``warc_header``; ``payload`` is the content as bytes."""
+    header block as ``warc_header``; ``payload`` is the content as bytes. With ``request_col`` (the head of
+    the HTTP request, may be null) also ``request_record``: a whole request record, for response pages."""
     content = F.col(content_col)
     payload = content if dict(pages.dtypes)[content_col] == "binary" else F.encode(content, "UTF-8")
     head = F.col(head_col) if head_col else F.lit(None).cast("string")
@@ -69,10 +66,22 @@ def warc_rows(pages: DataFrame, url_col: str = "url", content_col: str = "html",
     ))
     lines = F.concat(lines, M.warc_md_lines(md, warc_keys))
     header = F.concat(F.array_join(lines, W.CRLF), F.lit(W.CRLF + W.CRLF))
+    more = []
+    if request_col:
+        asked = F.concat(F.regexp_replace(F.col(request_col), r"(\r\n)+$", ""), F.lit(W.CRLF + W.CRLF))
+        head = F.concat_ws(W.CRLF, F.lit(W.WARC_VERSION), F.lit("WARC-Type: request"),
+                           F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), W.det_uuid(F.concat(rec_id, F.lit("|request"))), F.lit(">")),
+                           F.concat(F.lit("WARC-Concurrent-To: <urn:uuid:"), rec_id, F.lit(">")),
+                           F.concat(F.lit("WARC-Date: "), when), F.concat(F.lit("WARC-Target-URI: "), uri),
+                           F.lit("Content-Type: application/http; msgtype=request"),
+                           F.concat(F.lit("Content-Length: "), F.octet_length(asked).cast("string")))
+        record = F.concat(head, F.lit(W.CRLF + W.CRLF), asked, F.lit(W.CRLF + W.CRLF))
+        some = (rtype == "response") & F.col(request_col).isNotNull()
+        more = [F.when(some, F.encode(record, "UTF-8")).alias("request_record")]
     return base.select(
         *pages.columns, rec_id.alias("record_id"), rtype.alias("type"), uri.alias("target_uri"), when.alias("date"),
         pdig.alias("payload_digest"), bdig.alias("block_digest"), header.alias("warc_header"),
-        F.concat(head_bytes, payload).alias("record_block"))
+        F.concat(head_bytes, payload).alias("record_block"), *more)
 
 
 def block_records(blocks: DataFrame, key_cols=("page_id",)) -> DataFrame:
@@ -81,110 +90,27 @@ def block_records(blocks: DataFrame, key_cols=("page_id",)) -> DataFrame:
                                                F.encode(F.col("text"), "UTF-8").alias("content"))
 
 
-def write_warc(records: DataFrame, out_dir: str, crawler: str = "", max_records: int = 10_000,
-               info_fields: dict[str, str] | None = None, ts=None) -> DataFrame:
-    """K1/K2: write gzip-member-per-record archive files, one set per task; a file is rotated
-    after ``max_records`` records. Returns (path, records, bytes) per file. Files are written
-    under a temporary name and renamed, so a re-run task replaces its own output."""
-    info_fields = info_fields or {"software": "trawl", "format": "WARC File Format 1.0"}
+def write_warc(records: DataFrame, out_dir: str, crawler: str = "", max_records: int | None = None,
+               info_fields: dict[str, str] | None = None, ts=None, max_bytes: int = 1 << 30,
+               max_seconds: float = 600) -> DataFrame:
+    """K1/K2: writes the archives through the ``warc`` data source (``trawl.archive``): a warcinfo
+    member first, a member per record (a ``request_record`` before its response), a new file after
+    ``max_bytes``, ``max_records`` or ``max_seconds``. Returns (path, records, bytes) of the committed files."""
+    spark = records.sparkSession
+    register(spark)
     stamp = ts if ts is not None else F.current_timestamp()
-    rec = records.select("warc_header", "record_block",
-                         W.archive_path(stamp, crawler, F.lit(0)).alias("_path0"))
-
-    def write(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        state = {"fh": None, "n": 0, "bytes": 0, "rot": 0, "path": None}
-        done = []
-
-        def open_file(path0):
-            rel = path0[: -len("00000.warc.gz")] + f"{pid:05d}{state['rot']:03d}.warc.gz"
-            path = os.path.join(out_dir, rel)
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            fh = open(path + ".inprogress", "wb")
-            info = W.warcinfo_text(path0.split("/")[0], os.path.basename(path), info_fields,
-                                   f"{pid:08x}-0000-4000-8000-{state['rot']:012x}")
-            fh.write(gzip.compress(info.encode("utf-8")))
-            state.update(fh=fh, n=0, bytes=0, path=path)
-
-        def close_file():
-            if state["fh"] is not None:
-                state["fh"].close()
-                os.replace(state["path"] + ".inprogress", state["path"])
-                done.append((state["path"], state["n"], os.path.getsize(state["path"])))
-                state["fh"] = None
-                state["rot"] += 1
-
-        for pdf in batches:
-            for hdr, block, p0 in zip(pdf["warc_header"], pdf["record_block"], pdf["_path0"]):
-                if state["fh"] is None:
-                    open_file(p0)
-                buf = io.BytesIO()
-                buf.write(hdr.encode("utf-8"))
-                buf.write(bytes(block))
-                buf.write(b"\r\n\r\n")
-                state["fh"].write(gzip.compress(buf.getvalue()))
-                state["n"] += 1
-                if state["n"] >= max_records:
-                    close_file()
-        close_file()
-        yield pd.DataFrame(done, columns=["path", "records", "bytes"])
-
-    return rec.mapInPandas(write, "path string, records long, bytes long")
-
-
-def _split_records(data: bytes):
-    """Yield (header dict, block bytes) for each record of a (multi-member) gzip archive,
-    decompressing as a stream: memory holds the compressed file and one record at a time."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(data))
-    while True:
-        line = stream.readline()
-        if not line:
-            return
-        if not line.strip():
-            continue  # blank lines between records
-        fields = {}
-        while True:
-            h = stream.readline()
-            if not h or not h.strip():
-                break
-            text = h.decode("utf-8", "replace").rstrip("\r\n")
-            if ": " in text:
-                k, v = text.split(": ", 1)
-                fields[k] = v
-        n = int(fields.get("Content-Length", "0"))
-        yield fields, stream.read(n)
-
-
-def read_warc(spark, paths) -> DataFrame:
-    """Archive files -> (url, content, metadata) for response/resource records, plus the
-    full header map. One task per file (files are bounded by the writer's rotation)."""
-    files = spark.read.format("binaryFile").load(paths)
-
-    def split(batches, batch_rows: int = 1000):
-        cols = ["url", "content", "metadata", "headers"]
-        for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                for fields, block in _split_records(bytes(content)):
-                    if fields.get("WARC-Type") not in ("response", "resource"):
-                        continue
-                    payload = block
-                    if fields.get("WARC-Type") == "response":
-                        sep = block.find(b"\r\n\r\n")
-                        payload = block[sep + 4:] if sep >= 0 else block
-                    rows.append((fields.get("WARC-Target-URI"), payload,
-                                 {"warc.path": [path], "warc.type": [fields.get("WARC-Type")],
-                                  "warc.date": [fields.get("WARC-Date")]}, fields))
-                    if len(rows) >= batch_rows:  # bounded output batches
-                        yield pd.DataFrame(rows, columns=cols)
-                        rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=cols)
-
-    schema = T.StructType([
-        T.StructField("url", T.StringType()), T.StructField("content", T.BinaryType()),
-        T.StructField("metadata", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
-        T.StructField("headers", T.MapType(T.StringType(), T.StringType()))])
-    return files.select("path", "content").mapInPandas(split, schema)
+    job = uuid.uuid4().hex
+    options = {"path": out_dir, "job": job, "max_bytes": max_bytes, "max_records": max_records or "", "max_seconds": max_seconds,
+               "info": json.dumps(info_fields or {"software": "trawl", "format": "WARC File Format 1.0"})}
+    more = ["request_record"] if "request_record" in records.columns else []
+    records.select("warc_header", "record_block", W.archive_path(stamp, crawler, F.lit(0)).alias("path"), *more) \
+        .write.format("warc").mode("append").options(**options).save()
+    return spark.read.schema("path string, records long, bytes long").json(f"{out_dir.rstrip('/')}/_commits/{job}.json")
+
+
+def read_warc(spark, paths, split_bytes: int = 128 << 20) -> DataFrame:
+    """Archive files or folders -> (url, content, metadata) for response/resource records, plus the
+    full header map. One task per ``split_bytes`` of a file."""
+    register(spark)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.format("warc").options(paths=json.dumps(paths), split_bytes=split_bytes).load()

@@ -59,6 +59,11 @@ def remove(uri: str) -> None:
         system.delete_file(path)
 
 
+def exists(uri: str) -> bool:
+    system, path = locate(uri)
+    return system.get_file_info(path).type != fs.FileType.NotFound
+
+
 def files(uri: str, suffix: tuple[str, ...] = ()) -> list[tuple[str, int]]:
     """(URI, bytes) of the files below a folder (or of the one file), by name; names and folders that
     begin with ``_`` or ``.`` are left out."""
