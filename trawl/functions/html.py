@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trawl.functions import tags as T
+
 # <a ...>anchor</a>: group 1 = attributes, group 2 = inner html
 A_TAG_RE = r"(?is)<a\s([^>]*)>(.*?)</a>"
 # href="..." or href='...' inside an attribute string
@@ -46,12 +48,10 @@ def directives_from_values(values) -> Column:
         v == "none", F.array(*[F.lit(x) for x in NONE_EXPANSION])).otherwise(F.array(v))))
 
 
-def meta_robots_content(html) -> Column:
-    """content of the first <meta name=robots ...> tag (any case), NULL if none."""
-    tags = F.regexp_extract_all(_c(html), F.lit(META_TAG_RE), 0)
-    robots = F.filter(tags, lambda t: F.coalesce(F.lower(attr(t, "name")) == "robots", F.lit(False))
-                      & attr(t, "content").isNotNull())
-    return attr(F.try_element_at(robots, F.lit(1)), "content")
+def meta_robots_content(page_tags) -> Column:
+    """content of the first meta tag with one whose name contains robots (any case), NULL if none."""
+    attrs = T.first_tag(page_tags, "meta", lambda a: T.get(a, "name").rlike("(?i)robots") & T.get(a, "content").isNotNull())
+    return T.get(attrs, "content")
 
 
 def robots_directives(header_values=None, meta_content=None) -> Column:
@@ -84,20 +84,17 @@ def is_nocache(directives) -> Column:
     return F.array_contains(_c(directives), "nocache")
 
 
-def meta_refresh_target(html) -> Column:
+def meta_refresh_target(page_tags) -> Column:
     """URL of <meta http-equiv=refresh content="n;URL=...">, NULL if none."""
-    tags = F.regexp_extract_all(_c(html), F.lit(META_TAG_RE), 0)
-    refresh = F.filter(tags, lambda t: F.coalesce(F.lower(attr(t, "http-equiv")) == "refresh", F.lit(False)))
-    content = attr(F.try_element_at(refresh, F.lit(1)), "content")
-    target = F.regexp_extract(content, r"(?i)^\s*\d*\s*;\s*url\s*=\s*['\"]?([^'\"]+)", 1)
+    attrs = T.first_tag(page_tags, "meta", lambda a: F.lower(T.get(a, "http-equiv")) == "refresh")
+    target = F.regexp_extract(T.get(attrs, "content"), r"(?i)^\s*\d*\s*;\s*url\s*=\s*['\"]?([^'\"]+)", 1)
     return F.when(F.trim(target) != "", F.trim(target))
 
 
-def canonical_href(html) -> Column:
+def canonical_href(page_tags) -> Column:
     """P10: non-blank href of the first <link rel=canonical>, NULL if none."""
-    tags = F.regexp_extract_all(_c(html), F.lit(r"(?is)<link\s[^>]*>"), 0)
-    canon = F.filter(tags, lambda t: F.coalesce(F.lower(attr(t, "rel")) == "canonical", F.lit(False)))
-    href = F.trim(attr(F.try_element_at(canon, F.lit(1)), "href"))
+    attrs = T.first_tag(page_tags, "link", lambda a: F.lower(F.trim(T.get(a, "rel"))) == "canonical")
+    href = F.trim(T.get(attrs, "href"))
     return F.when(href != "", href)
 
 

@@ -12,16 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions import html as H
+from trawl.functions import tags as T
 from trawl.functions import urls as U
 
 # Fixed values (ours): tags that start or end a text block.
 BLOCK_TAGS = ["p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "td", "th", "tr", "table",
               "article", "section", "nav", "header", "footer", "aside", "blockquote", "pre", "br", "body",
               "html", "main", "form", "dd", "dt", "dl", "figure", "figcaption"]
-BOUNDARY_RE = r"(?is)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
-DROP_RE = [r"(?is)<head\b.*?</head>", r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>",
-           r"(?s)<!--.*?-->"]
 MIN_WORDS = 5
 
 # Content rule thresholds (number-of-words classifier, Kohlschuetter et al., WSDM 2010).
@@ -29,22 +26,6 @@ MAX_LINK_DENSITY = 1.0 / 3.0
 PREV_LINK_DENSITY = 5.0 / 9.0
 
 
-def clean_html(html) -> Column:
-    t = F.col(html) if isinstance(html, str) else html
-    for rx in DROP_RE:
-        t = F.regexp_replace(t, rx, " ")
-    return t
-
-
-def n_words(text) -> Column:
-    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
-
-
-def link_words(raw) -> Column:
-    inner = F.regexp_extract_all(raw, F.lit(H.A_TAG_RE), 2)
-    return F.aggregate(F.transform(inner, lambda t: n_words(H.strip_tags(t))), F.lit(0), lambda a, x: a + x)
-
-
 def is_content(w, ld, w_prev, ld_prev, w_next) -> Column:
     """B3 rule on the block's words and link density and its neighbours' (missing = 0)."""
     return (F.when(ld > MAX_LINK_DENSITY, F.lit(False))
@@ -55,24 +36,18 @@ def is_content(w, ld, w_prev, ld_prev, w_next) -> Column:
 def block_arrays(pages: DataFrame, min_words: int = MIN_WORDS, url_col: str = "url",
                  key_cols=("page_id",)) -> DataFrame:
     """Per page the array ``_blocks`` of kept blocks (text, raw html, words, link density, content flag)."""
-    pieces = F.split(clean_html("html"), BOUNDARY_RE)
-    feats = F.transform(
-        F.filter(F.transform(pieces, lambda p: F.struct(H.strip_tags(p).alias("text"), p.alias("raw"))),
-                 lambda b: b["text"] != ""),
-        lambda b: F.struct(b["text"].alias("text"), b["raw"].alias("raw"), n_words(b["text"]).alias("w"),
-                           link_words(b["raw"]).alias("lw")))
-    # materialised once: the neighbour lookups below index into it
-    base = U.materialize(pages.select(*key_cols, F.col(url_col).alias("url"), "html"), "_f", feats).drop("html")
+    # one scan of the page; the neighbour lookups below index into its column
+    base = pages.select(*key_cols, F.col(url_col).alias("url"), T.pieces("html", BLOCK_TAGS).alias("_f"))
 
     def ld(b):
         return F.coalesce(b["lw"] / F.when(b["w"] > 0, b["w"]), F.lit(0.0))
 
     f = F.col("_f")
     classified = F.transform(f, lambda b, i: F.struct(
-        b["text"].alias("text"), b["raw"].alias("raw"), b["w"].alias("w"), ld(b).alias("ld"),
+        b["text"].alias("text"), b["hrefs"].alias("hrefs"), b["w"].alias("w"), ld(b).alias("ld"),
         is_content(b["w"], ld(b),
-                   F.coalesce(F.try_element_at(f, i)["w"], F.lit(0)),
-                   F.coalesce(ld(F.try_element_at(f, i)), F.lit(0.0)),
+                   F.when(i > 0, F.try_element_at(f, F.greatest(i, F.lit(1)))["w"]).otherwise(0),
+                   F.when(i > 0, ld(F.try_element_at(f, F.greatest(i, F.lit(1))))).otherwise(0.0),
                    F.coalesce(F.try_element_at(f, i + 2)["w"], F.lit(0))).alias("is_content")))
     kept = F.filter(classified, lambda b: b["w"] >= min_words)
     return U.materialize(base, "_blocks", kept).drop("_f")
@@ -83,8 +58,7 @@ def segment_pages(pages: DataFrame, min_words: int = MIN_WORDS, url_col: str = "
     """Blocks of every page; B2's word cut after classification, before links."""
     arr = block_arrays(pages, min_words, url_col, key_cols)
     ex = arr.select(*key_cols, "url", F.posexplode("_blocks").alias("block_idx", "b"))
-    hrefs = F.regexp_extract_all(F.col("b.raw"), F.lit(H.A_HREF_RE), 1)
-    links = F.filter(F.transform(hrefs, lambda h: U.strip_fragment(U.resolve(F.col("url"), h))),
+    links = F.filter(F.transform("b.hrefs", lambda h: U.strip_fragment(U.resolve(F.col("url"), h))),
                      lambda x: x.isNotNull() & (x != ""))
     return ex.select(*key_cols, "url", F.col("block_idx").cast("long").alias("block_idx"),
                      F.col("b.text").alias("text"), F.col("b.is_content").alias("is_content"),

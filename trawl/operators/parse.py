@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
+from trawl.functions import tags as T
 from trawl.functions import urls as U
 
 
-
 def page_directives(pages: DataFrame, header_col: str | None = None, skip_headers: bool = False,
                     skip_meta: bool = False) -> Column:
     """P6 + P8: robots directives of a page from the header values and/or the meta tag."""
@@ -25,10 +25,20 @@ def page_directives(pages: DataFrame, header_col: str | None = None, skip_header
         hdr = F.col(header_col)
     elif "metadata" in pages.columns and not skip_headers:
         hdr = F.element_at(F.col("metadata"), F.lit("X-Robots-Tag"))
-    meta = None if skip_meta else H.meta_robots_content("html")
+    meta = None if skip_meta else H.meta_robots_content(_page_tags(pages))
     return H.robots_directives(hdr, meta)
 
 
+def _page_tags(pages: DataFrame) -> Column:
+    """The tag table of a page: its column ``tags`` where it was made before, else the scan."""
+    return F.col("tags") if "tags" in pages.columns else T.table("html", "meta")
+
+
+def with_tags(pages: DataFrame) -> DataFrame:
+    """``pages`` with the tag table of each page (``tags``), made once for all that reads it."""
+    return pages.withColumn("tags", T.table("html"))
+
+
 def extract_links(pages: DataFrame, max_per_page: int = -1, anchors: bool = False,
                   strict_nofollow: bool = True, url_col: str = "url", key_cols=("page_id",),
                   skip_headers: bool = False, skip_meta: bool = False) -> DataFrame:
@@ -38,27 +48,20 @@ def extract_links(pages: DataFrame, max_per_page: int = -1, anchors: bool = Fals
     ``target``, and with ``anchors=True`` also ``anchor`` (first non-blank anchor) and
     ``anchors`` (all non-blank anchors in order).
     """
-    directives = page_directives(pages, skip_headers=skip_headers, skip_meta=skip_meta)
-    page_nofollow = H.is_nofollow(directives)
-    base = pages.select(*key_cols, F.col(url_col).alias("src_url"), "html",
-                        page_nofollow.alias("_page_nofollow"))
-    if strict_nofollow:
-        # P5 strict: no links at all; filter before the regex scan so those pages cost nothing.
+    header_col = ["metadata"] if "metadata" in pages.columns and "metadata" not in key_cols else []
+    scanned = F.col("tags") if "tags" in pages.columns else T.table("html", "a", "meta")
+    base = pages.select(*key_cols, F.col(url_col).alias("src_url"), *header_col, scanned.alias("_found"))
+    header = F.element_at("metadata", F.lit("X-Robots-Tag")) if "metadata" in pages.columns and not skip_headers else None
+    directives = H.robots_directives(header, None if skip_meta else H.meta_robots_content("_found"))
+    base = base.withColumn("_page_nofollow", H.is_nofollow(directives))
+    if strict_nofollow:  # P5 strict: no links at all
         base = base.filter(~F.col("_page_nofollow"))
-    attrs = F.regexp_extract_all("html", F.lit(H.A_TAG_RE), 1)
-    # first pass: the attribute values of each <a> tag, extracted once (the resolver below refers
-    # to the href many times, so it must be a field, not a re-evaluated regular expression)
-    if anchors:
-        inner = F.regexp_extract_all("html", F.lit(H.A_TAG_RE), 2)
-        tags = F.transform(F.arrays_zip(attrs.alias("attrs"), inner.alias("inner")), lambda t: F.struct(
-            H.attr(t["attrs"], "href").alias("href"),
-            F.coalesce(F.lower(F.trim(H.attr(t["attrs"], "rel"))) == "nofollow", F.lit(False)).alias("nofollow"),
-            H.strip_tags(t["inner"]).alias("anchor")))
-    else:
-        tags = F.transform(attrs, lambda a: F.struct(
-            H.attr(a, "href").alias("href"),
-            F.coalesce(F.lower(F.trim(H.attr(a, "rel"))) == "nofollow", F.lit(False)).alias("nofollow")))
-    tags = F.filter(tags, lambda t: t["href"].isNotNull())
+    found = F.filter("_found", lambda t: (t["name"] == "a") & T.get(t["attrs"], "href").isNotNull())
+    # the resolver below refers to the href many times, so it must be a field
+    tags = F.transform(found, lambda t: F.struct(
+        T.get(t["attrs"], "href").alias("href"),
+        F.coalesce(F.lower(F.trim(T.get(t["attrs"], "rel"))) == "nofollow", F.lit(False)).alias("nofollow"),
+        *([t["text"].alias("anchor")] if anchors else [])))
     if strict_nofollow:
         tags = F.filter(tags, lambda t: ~t["nofollow"])
     base = U.materialize(base, "_tags", tags)
@@ -130,8 +133,9 @@ def redirects(pages: DataFrame, use_canonical: bool = True, ignore_meta_redirect
     When the target differs from the page: the target becomes DISCOVERED and the page
     REDIRECTION with ``_redirTo``.
     """
-    refresh = F.lit(None).cast("string") if ignore_meta_redirect else H.meta_refresh_target("html")
-    canon = H.canonical_href("html") if use_canonical else F.lit(None).cast("string")
+    pages = pages if "tags" in pages.columns else with_tags(pages)
+    refresh = F.lit(None).cast("string") if ignore_meta_redirect else H.meta_refresh_target("tags")
+    canon = H.canonical_href("tags") if use_canonical else F.lit(None).cast("string")
     raw = F.coalesce(canon, refresh)
     target = U.resolve(F.col(url_col), raw)
     red = pages.select(*key_cols, F.col(url_col).alias("page_url"), target.alias("target")) \
@@ -254,25 +258,13 @@ SPLIT_KEYS = ["parse.keywords"]
 DEDUP_KEYS = ["parse.feedlink", "parse.meta.language", "parse.meta.author", "parse.meta.copyright", "parse.license"]
 
 
-def tag_pattern(element: str) -> str:
-    """Opening tags of ``element`` ('*' = any element) with attributes."""
-    name = r"[a-zA-Z][a-zA-Z0-9]*" if element == "*" else element
-    return r"(?is)<" + name + r"\s[^>]*>"
-
-
-def text_pattern(element: str) -> str:
-    return r"(?is)<" + element + r"(?:\s[^>]*)?>(.*?)</" + element + r"\s*>"
-
-
-def rule_values(rule, html_col: str = "html") -> Column:
-    """Values one rule yields for a page (possibly empty array)."""
+def rule_values(rule, tags: str = "tags") -> Column:
+    """Values one rule yields for a page's tag table (possibly empty array)."""
     if rule[0] == "text":
-        texts = F.regexp_extract_all(F.col(html_col), F.lit(text_pattern(rule[1])), 1)
-        return F.transform(F.slice(texts, 1, 1), lambda t: H.strip_tags(t))
+        return T.elements(tags, rule[1])
     _, element, match_attr, match_value, out_attr = rule
-    tags = F.regexp_extract_all(F.col(html_col), F.lit(tag_pattern(element)), 0)
-    hits = F.filter(tags, lambda t: F.coalesce(H.attr(t, match_attr) == F.lit(match_value), F.lit(False)))
-    return F.filter(F.transform(hits, lambda t: H.attr(t, out_attr)), lambda v: v.isNotNull())
+    hits = F.filter(tags, lambda t: (F.lit(element == "*") | (t["name"] == element)) & F.coalesce(T.get(t["attrs"], match_attr) == F.lit(match_value), F.lit(False)))
+    return F.filter(F.transform(hits, lambda t: T.get(t["attrs"], out_attr)), lambda v: v.isNotNull())
 
 
 def extract_meta(pages: DataFrame, rules: dict | None = None, html_col: str = "html",
@@ -280,13 +272,17 @@ def extract_meta(pages: DataFrame, rules: dict | None = None, html_col: str = "h
     """``parse`` metadata map from the rules (first rule with values wins per key),
     comma lists split (P15), configured keys de-duplicated (P16)."""
     rules = rules or META_RULES
+    base = pages if "tags" in pages.columns else pages.withColumn("tags", T.table(html_col))
+    # the few tags that a rule may match by an attribute
+    some = F.array(*[F.lit(a) for a in sorted({r[2] for rs in rules.values() for r in rs if r[0] == "attr"})])
+    base = U.materialize(base, "_marked", F.filter("tags", lambda t: F.arrays_overlap(F.map_keys(t["attrs"]), some)))
     entries = []
     for key, rs in rules.items():
         vals = None
         for r in rs:
-            v = rule_values(r, html_col)
+            v = rule_values(r, "tags" if r[0] == "text" else "_marked")
             vals = F.when(F.size(v) > 0, v) if vals is None else F.coalesce(vals, F.when(F.size(v) > 0, v))
         entries.append(F.struct(F.lit(key).alias("key"), vals.alias("value")))
     md = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
     md = dedup_values(split_values(md, split_keys), dedup_keys)
-    return pages.withColumn("parse", md)
+    return base.withColumn("parse", md).drop("_marked")

@@ -161,8 +161,7 @@ def _prioritised(spark, sf_dir):
     n = F.size("_blocks")
     share = F.when(n > 0, F.size(F.filter("_blocks", lambda b: b["is_content"])) / n).otherwise(F.lit(0.0))
     ex = arr.select("page_id", "url", share.alias("page_relevance"), F.posexplode("_blocks").alias("block_idx", "b"))
-    hrefs = F.regexp_extract_all(F.col("b.raw"), F.lit(B.H.A_HREF_RE), 1)
-    links = F.filter(F.transform(hrefs, lambda h: U.strip_fragment(U.resolve(F.col("url"), h))),
+    links = F.filter(F.transform("b.hrefs", lambda h: U.strip_fragment(U.resolve(F.col("url"), h))),
                      lambda x: x.isNotNull() & (x != ""))
     bl = ex.select("page_id", "url", F.col("block_idx").cast("long").alias("block_idx"), "page_relevance",
                    F.when(F.col("b.is_content"), 0.5).otherwise(-0.5).alias("block_score"),

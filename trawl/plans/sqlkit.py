@@ -8,6 +8,7 @@ used only by the correctness check, never by the Spark jobs themselves.
 from __future__ import annotations
 
 from trawl.functions import html as H
+from trawl.operators.blocks import BLOCK_TAGS
 from trawl.functions import urls as U
 
 
@@ -192,8 +193,23 @@ fl AS (SELECT * FROM fl_n WHERE url IS NOT NULL AND {basic_filter('url')} AND {r
        AND {gz_keep('url')}{eps})"""
 
 
+def tag_pattern(element: str) -> str:
+    """Opening tags of ``element`` ('*' = any element) with attributes."""
+    name = r"[a-zA-Z][a-zA-Z0-9]*" if element == "*" else element
+    return r"(?is)<" + name + r"\s[^>]*>"
+
+
+def text_pattern(element: str) -> str:
+    return r"(?is)<" + element + r"(?:\s[^>]*)?>(.*?)</" + element + r"\s*>"
+
+
+BOUNDARY_RE = r"(?is)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
+DROP_RE = [r"(?is)<head\b.*?</head>", r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>",
+           r"(?s)<!--.*?-->"]
+
+
+
 def rule_values(rule, html: str = "html") -> str:
-    from trawl.operators.parse import tag_pattern, text_pattern
     if rule[0] == "text":
         return (f"list_transform(list_slice(regexp_extract_all({html}, {lit(text_pattern(rule[1]))}, 1), 1, 1), "
                 f"lambda t: {strip_tags('t')})")
