@@ -7,6 +7,9 @@ written in the common subset of Java and RE2 syntax so the same text serves the
 
 from __future__ import annotations
 
+import codecs
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -126,10 +129,6 @@ def title(html) -> Column:
     return strip_tags(F.regexp_extract(_c(html), TITLE_RE, 1))
 
 
-# Charsets the JVM decoder supports in every Spark build; others fall back to UTF-8.
-CHARSETS = ["UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"]
-
-
 def declared_charset(content_type=None, html_head=None) -> Column:
     """Charset from the Content-Type header, else from <meta charset> / http-equiv in the
     document head; upper-cased, NULL when none is declared."""
@@ -142,10 +141,19 @@ def declared_charset(content_type=None, html_head=None) -> Column:
 
 
 def decode_content(content, charset) -> Column:
-    """Bytes to text by the declared charset (supported set), UTF-8 otherwise."""
-    cs = F.upper(_c(charset))
-    expr = None
-    for name in CHARSETS:
-        branch = F.decode(_c(content), name)
-        expr = F.when(cs == name, branch) if expr is None else expr.when(cs == name, branch)
-    return expr.otherwise(F.decode(_c(content), "UTF-8"))
+    """Bytes to text by the declared charset, UTF-8 where it is null or unknown; malformed bytes become
+    replacement characters. Null content stays null."""
+
+    @F.arrow_udf("string")
+    def decoded(contents: pa.Array, charsets: pa.Array) -> pa.Array:
+        out = []
+        for raw, name in zip(contents.to_pylist(), charsets.to_pylist(), strict=True):
+            try:
+                codec = codecs.lookup(name or "UTF-8")
+                text = raw and raw.decode(codec.name if codec._is_text_encoding else "UTF-8", "replace")
+            except (LookupError, ValueError):
+                text = raw.decode("UTF-8", "replace") if raw else raw
+            out.append("" if text == b"" else text)
+        return pa.array(out, pa.string())
+
+    return decoded(_c(content), _c(charset))

@@ -43,11 +43,41 @@ def scheme(url) -> Column:
     return F.lower(F.nullif(F.regexp_extract(_c(url), r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1), F.lit("")))
 
 
-def domain(url) -> Column:
-    """Pay-level domain approximated as the last two host labels (no public-suffix table)."""
+# Suffixes of two labels under which names are registered, and rules of other kinds, for use
+# without a rule table ("*." any one label below, "!" a name that is registered all the same).
+SUFFIXES = [
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "nhs.uk", "org.uk", "plc.uk", "police.uk", "sch.uk",
+    "com.au", "net.au", "org.au", "edu.au", "gov.au", "asn.au", "id.au", "co.nz", "net.nz", "org.nz", "ac.nz", "govt.nz",
+    "co.jp", "ac.jp", "go.jp", "ne.jp", "or.jp", "co.kr", "ac.kr", "go.kr", "or.kr", "com.cn", "net.cn", "org.cn",
+    "edu.cn", "gov.cn", "ac.cn", "com.hk", "org.hk", "edu.hk", "com.tw", "org.tw", "edu.tw", "com.sg", "edu.sg",
+    "co.in", "net.in", "org.in", "ac.in", "gov.in", "com.br", "net.br", "org.br", "gov.br", "edu.br", "com.ar",
+    "org.ar", "com.mx", "org.mx", "com.tr", "org.tr", "edu.tr", "gov.tr", "co.za", "org.za", "ac.za", "gov.za",
+    "co.il", "org.il", "ac.il", "com.ua", "com.pl", "net.pl", "org.pl", "edu.pl", "gov.pl", "co.at", "or.at", "ac.at",
+    "gv.at", "com.es", "org.es", "gob.es", "com.fr", "gouv.fr", "asso.fr", "com.pt", "gov.pt", "gov.it", "edu.it",
+    "co.id", "ac.id", "go.id", "co.th", "ac.th", "go.th", "com.my", "com.ph", "com.vn", "com.eg", "com.sa",
+    "*.ck", "!www.ck"]
+
+
+def _suffix_pattern(rules) -> tuple[str, str]:
+    """Patterns of a host's registrable domain: by the exceptions, and by the other rules."""
+    def text(r):
+        return r.replace("*", "[^.]+").replace(".", r"\.").replace(r"[^\.]", "[^.]")
+
+    names = sorted({r for r in rules if not r.startswith("!")}, key=lambda r: (-r.count("."), r))
+    kept = "|".join(text(r[1:]) for r in rules if r.startswith("!")) or r"\b\B"
+    return rf"(?:^|\.)({kept})$", r"(?:^|\.)([^.]+\.(?:" + "|".join([*map(text, names), "[^.]+"]) + "))$"
+
+
+def domain(url, suffixes=SUFFIXES) -> Column:
+    """Registrable (pay-level) domain: the public suffix and one label more; the host itself where it is an
+    address or nothing more than a suffix. For a whole rule table see ``lookup.pay_level_domain``."""
     h = host(url)
-    return F.when(h.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), h).otherwise(
-        F.coalesce(F.nullif(F.regexp_extract(h, r"([^.]+\.[^.]+)$", 1), F.lit("")), h))
+    exception, rule = _suffix_pattern(suffixes)
+    bare = h.rlike("^(?:" + "|".join(r.replace("*", "[^.]+").replace(".", r"\.").replace(r"[^\.]", "[^.]")
+                                     for r in suffixes if not r.startswith("!")) + ")$")
+    return F.when(h.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), h).otherwise(F.coalesce(
+        F.nullif(F.regexp_extract(h, exception, 1), F.lit("")), F.when(bare, h),
+        F.nullif(F.regexp_extract(h, rule, 1), F.lit("")), h))
 
 
 def strip_fragment(url) -> Column:
@@ -55,12 +85,33 @@ def strip_fragment(url) -> Column:
     return F.regexp_replace(_c(url), r"#.*$", "")
 
 
+def _bind(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def remove_dot_segments(url) -> Column:
-    """'/./' collapses; 'seg/../' pairs are removed (three passes cover nesting seen in practice)."""
-    u = F.regexp_replace(_c(url), r"/\.(?=/|$)", "")
-    for _ in range(3):
-        u = F.regexp_replace(u, r"/(?!\.\./)[^/?#]+/\.\.(?=/|$)", "")
-    return u
+    """'.' segments of the path go, '..' with the segment before it (one without stays); query and fragment
+    are left alone."""
+
+    def step(done, part):
+        back = (part == "..") & (F.size(done) > 1) & (F.try_element_at(done, F.lit(-1)) != "..")
+        return F.when(part == ".", done).when(back, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))) \
+            .otherwise(F.concat(done, F.array(part)))
+
+    def joined(parts, left):
+        open_end = F.try_element_at(parts, F.lit(-1)).isin(".", "..") & (F.try_element_at(left, F.lit(-1)) != "..")
+        return F.concat(F.array_join(left, "/"), F.when(open_end, "/").otherwise(""))
+
+    def clean(u):
+        start = F.regexp_extract(u, r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?)([^?#]*)", 1)
+        path = F.regexp_extract(u, r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?)([^?#]*)", 2)
+        rest = F.regexp_extract(u, r"(?s)^[^?#]*(.*)$", 1)
+        folded = _bind(F.split(path, "/"), lambda parts: _bind(
+            F.aggregate(parts, F.array().cast("array<string>"), step), lambda left: joined(parts, left)))
+        return F.concat(start, folded, rest)
+
+    return _bind(_c(url), lambda u: F.when(u.rlike(r"^[^?#]*/\.\.?([/?#]|$)"), clean(u)).otherwise(u))
 
 
 def resolve(base, href) -> Column:

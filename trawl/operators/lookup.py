@@ -71,6 +71,34 @@ def flag_membership(pages: DataFrame, keys: DataFrame, mode: str = "domain", url
         out_col, F.coalesce(F.col("_in"), F.lit(False)).cast("string")).drop("_k", "_in")
 
 
+def read_suffixes(spark, path: str) -> DataFrame:
+    """A public-suffix file: one rule per line up to the first white space, comments after ``//``."""
+    rule = F.lower(F.regexp_extract("value", r"^\s*(\S*)", 1))
+    return spark.read.text(path).select(rule.alias("rule")).where((F.col("rule") != "") & ~F.col("rule").startswith("//"))
+
+
+def pay_level_domain(df: DataFrame, rules: DataFrame, url_col: str = "url", out_col: str = "domain") -> DataFrame:
+    """U4: ``df`` with the registrable domain of its URL by a whole rule table (``rule``: a suffix, ``*.`` for any
+    one label below it, ``!`` for an exception). Every suffix of each distinct host is looked up; an exception
+    decides, else the longest rule, else the last label. Hosts that are addresses or only a suffix stay."""
+    body = F.regexp_replace("rule", r"^(?:!|\*\.)", "")
+    table = rules.select(body.alias("_suffix"), F.col("rule").startswith("!").alias("_not"),
+                         F.col("rule").startswith("*.").cast("int").alias("_more")).distinct()
+    table, _ = broadcast_if_small(table)
+    hosts = df.select(U.host(url_col).alias("_host")).where("_host is not null").distinct()
+    labels, n = F.split("_host", r"\."), F.size(F.split("_host", r"\."))
+    tails = hosts.select("_host", F.explode(F.sequence(F.lit(1), n)).alias("_size"))
+    tails = tails.withColumn("_suffix", F.array_join(F.slice(labels, n - F.col("_size") + 1, F.col("_size")), "."))
+    found = tails.join(table, "_suffix", "left").groupBy("_host").agg(
+        F.max(F.when(F.col("_not"), F.col("_size") - 1)).alias("_kept"),
+        F.max(F.when(~F.col("_not") & (F.col("_size") + F.col("_more") <= n), F.col("_size") + F.col("_more"))).alias("_rule"))
+    size = F.coalesce("_kept", F.greatest(F.col("_rule"), F.lit(1)))
+    own = F.when(F.col("_host").rlike(r"^\d{1,3}(\.\d{1,3}){3}$") | (n <= size), F.col("_host")).otherwise(
+        F.array_join(F.slice(labels, F.greatest(n - size, F.lit(1)), size + 1), "."))
+    domains, _ = broadcast_if_small(found.select("_host", own.alias(out_col)))
+    return df.join(domains, U.host(url_col) == F.col("_host"), "left").drop("_host")
+
+
 def read_denylist(spark, path: str, allow: str = "Science") -> DataFrame:
     """Split on every comma; lines with exactly two parts whose label is not ``allow``
     (case-insensitive); the key is the trimmed first part. Returns (url, label)."""
@@ -96,24 +124,30 @@ def first_seen(rows: DataFrame, order_cols, url_col: str = "url") -> DataFrame:
 
 def apply_robots(urls: DataFrame, rules: DataFrame, sitemaps: DataFrame | None = None, url_col: str = "url",
                  discovery: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """Longest matching prefix of the host's rules decides (no match: allowed).
+    """The longest matching rule of the host decides (no match: allowed; of equally long ones, an
+    allowing one). In a rule ``*`` stands for any characters and a last ``$`` for the end of path and query;
+    an empty rule matches nothing.
 
     ``rules(host, prefix, allow)`` are gathered per host into one array (bounded by the size of a
     robots file) and matched inside the URL's row, so no (URL, rule) pairs are produced.
     Returns (urls with ``allowed``, ``status`` and ``error_cause``; sitemap status rows of
     allowed hosts when ``discovery``)."""
-    per_host = rules.groupBy(F.col("host").alias("_rh")).agg(
-        F.collect_list(F.struct("prefix", "allow")).alias("_rules"))
+    closed = F.col("prefix").endswith("$")
+    body = F.when(closed, F.col("prefix").substr(F.lit(1), F.length("prefix") - 1)).otherwise(F.col("prefix"))
+    quoted = F.transform(F.split(body, r"\*"), lambda s: F.concat(F.lit("\\Q"), F.replace(s, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    pattern = F.concat(F.lit("(?s)^"), F.array_join(quoted, ".*"), F.when(closed, "$").otherwise(""))
+    plain = ~F.col("prefix").contains("*") & ~closed
+    per_host = rules.where(F.length("prefix") > 0).groupBy(F.col("host").alias("_rh")).agg(F.collect_list(F.struct(
+        "prefix", "allow", F.when(~plain, pattern).alias("pattern"))).alias("_rules"))
     per_host, _ = broadcast_if_small(per_host)
     h = U.host(url_col)
-    path = F.coalesce(F.nullif(U.path_of(url_col), F.lit("")), F.lit("/"))
+    path = F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)", 1)
+    path = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
     j = urls.join(per_host, h == F.col("_rh"), "left")
-    matching = F.filter(F.coalesce(F.col("_rules"), F.array().cast("array<struct<prefix:string,allow:boolean>>")),
-                        lambda r: path.startswith(r["prefix"]))
-    best = F.aggregate(matching, F.struct(F.lit(-1).alias("len"), F.lit(True).alias("allow")),
-                       lambda acc, r: F.when(F.length(r["prefix"]) > acc["len"],
-                                             F.struct(F.length(r["prefix"]).alias("len"), r["allow"].alias("allow")))
-                       .otherwise(acc))
+    matching = F.filter(F.coalesce(F.col("_rules"), F.array().cast("array<struct<prefix:string,allow:boolean,pattern:string>>")),
+                        lambda r: F.when(r["pattern"].isNull(), path.startswith(r["prefix"])).otherwise(F.rlike(path, r["pattern"])))
+    longest = F.array_max(F.transform(matching, lambda r: F.struct(F.length(r["prefix"]).alias("len"), r["allow"].alias("allow"))))
+    best = F.struct(F.coalesce(longest["allow"], F.lit(True)).alias("allow"))
     out = j.withColumn("allowed", best["allow"]).drop("_rules", "_rh")
     out = out.withColumn("status", F.when(F.col("allowed"), F.lit(None).cast("string")).otherwise(F.lit("ERROR"))) \
         .withColumn("error_cause", F.when(F.col("allowed"), F.lit(None).cast("string")).otherwise(F.lit("robots.txt")))

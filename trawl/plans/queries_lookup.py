@@ -147,3 +147,39 @@ def q_deny_scan(spark, sf_dir):
              .otherwise("News,extra"))
     lines = pages.select(F.concat(U.host("url"), F.lit(","), label).alias("value"))
     return LK.denylist_from_lines(lines)
+
+
+# Suffix rules over the hosts of ``pages``: whole suffixes, any one label below, an exception.
+SUFFIX_RULES = ["com", "org", "net", "example.org", "*.example.net", "!ththre.example.net"]
+
+
+@register("pay_level_domain", f"""
+WITH h AS (SELECT DISTINCT {Q.host('url')} AS host FROM pages),
+l AS (SELECT host, string_split(host, '.') AS labels FROM h WHERE host IS NOT NULL),
+d AS (SELECT host, CASE
+        WHEN ends_with(host, '.ththre.example.net') OR host = 'ththre.example.net' THEN 'ththre.example.net'
+        WHEN ends_with(host, '.example.net') AND len(labels) > 3 THEN array_to_string(labels[-4:], '.')
+        WHEN ends_with(host, '.example.net') THEN host
+        WHEN ends_with(host, '.example.org') THEN array_to_string(labels[-3:], '.')
+        WHEN host = 'example.org' THEN host
+        ELSE array_to_string(labels[-2:], '.') END AS domain FROM l)
+SELECT page_id, url, domain FROM pages LEFT JOIN d ON {Q.host('url')} = d.host
+""")
+def q_pay_level_domain(spark, sf_dir):
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    return LK.pay_level_domain(_pages(spark, sf_dir).select("page_id", "url"), rules)
+
+
+@register("robots_wildcards", f"""
+WITH p AS (SELECT page_id, url, coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1), ''), '/') AS path FROM pages)
+SELECT page_id, url, CASE WHEN starts_with(path, '/en/') AND ends_with(path, '1') THEN true
+                          ELSE NOT (contains(path, '?') OR starts_with(path, '/en')) END AS allowed
+FROM p
+""")
+def q_robots_wildcards(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    rules = [("/*?", False), ("/en/*1$", True), ("/en", False)]
+    table = pages.select(U.host("url").alias("host")).distinct().select("host", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("prefix"), F.lit(a).alias("allow")) for p, a in rules])).alias("r")).select("host", "r.*")
+    out, _ = LK.apply_robots(pages.select("page_id", "url"), table)
+    return out.select("page_id", "url", "allowed")

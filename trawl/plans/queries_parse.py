@@ -114,7 +114,7 @@ def q_visible_text(spark, sf_dir):
 
 
 @register("decode_charset", f"""
-SELECT page_id, upper(nullif(regexp_extract(substr(html, 1, 1024), {Q.lit(r'''(?i)<meta[^>]+charset\s*=\s*["']?([A-Za-z0-9_.:-]+)''')}, 1), '')) AS charset,
+SELECT page_id, upper(nullif(regexp_extract(html, {Q.lit(r'''(?i)<meta[^>]+charset\s*=\s*["']?([A-Za-z0-9_.:-]+)''')}, 1), '')) AS charset,
        length(html)::BIGINT AS n_chars, md5(html) AS text_md5
 FROM pages
 """)
@@ -123,8 +123,8 @@ def q_decode_charset(spark, sf_dir):
     document head, and the bytes are decoded again (round trip = the original text)."""
     p = _pages(spark, sf_dir)
     raw = p.select("page_id", F.encode("html", "UTF-8").alias("content"))
-    head = F.decode(F.substring("content", 1, 1024), "ISO-8859-1")  # ASCII-safe view of the head
-    cs = H.declared_charset(html_head=head)
+    view = F.decode("content", "ISO-8859-1")  # ASCII-safe view of the page
+    cs = H.declared_charset(html_head=view)
     text = H.decode_content(F.col("content"), cs)
     return raw.select("page_id", cs.alias("charset"), F.length(text).cast("long").alias("n_chars"),
                       F.md5(text).alias("text_md5"))
