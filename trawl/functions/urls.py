@@ -111,7 +111,8 @@ def remove_dot_segments(url) -> Column:
             F.aggregate(parts, F.array().cast("array<string>"), step), lambda left: joined(parts, left)))
         return F.concat(start, folded, rest)
 
-    return _bind(_c(url), lambda u: F.when(u.rlike(r"^[^?#]*/\.\.?([/?#]|$)"), clean(u)).otherwise(u))
+    u = _c(url)
+    return F.when(u.contains("/.") & u.rlike(r"^[^?#]*/\.\.?([/?#]|$)"), clean(u)).otherwise(u)
 
 
 def resolve(base, href) -> Column:
@@ -134,7 +135,7 @@ def resolve(base, href) -> Column:
         .when(h == "", F.regexp_replace(b, r"#.*$", ""))
         .otherwise(F.concat(base_dir, h))
     )
-    return remove_dot_segments(out)
+    return _bind(out, remove_dot_segments)
 
 
 def is_valid_url(url) -> Column:
@@ -151,8 +152,8 @@ def normalise(url) -> Column:
 
 def url_id(url) -> Column:
     """SHA-256 hex of the fragment-free, dot-segment-free URL; 'ERROR' when invalid."""
-    n = remove_dot_segments(strip_fragment(url))
-    return F.when(is_valid_url(n), F.sha2(n, 256)).otherwise(F.lit("ERROR"))
+    return _bind(remove_dot_segments(strip_fragment(url)),
+                 lambda n: F.when(is_valid_url(n), F.sha2(n, 256)).otherwise(F.lit("ERROR")))
 
 
 def partition_key(url, mode: str = "host", key=None) -> Column:

@@ -36,7 +36,7 @@ def _page_tags(pages: DataFrame) -> Column:
 
 def with_tags(pages: DataFrame) -> DataFrame:
     """``pages`` with the tag table of each page (``tags``), made once for all that reads it."""
-    return pages.withColumn("tags", T.table("html"))
+    return U.materialize(pages, "tags", T.table("html"))
 
 
 def extract_links(pages: DataFrame, max_per_page: int = -1, anchors: bool = False,
@@ -50,7 +50,9 @@ def extract_links(pages: DataFrame, max_per_page: int = -1, anchors: bool = Fals
     """
     header_col = ["metadata"] if "metadata" in pages.columns and "metadata" not in key_cols else []
     scanned = F.col("tags") if "tags" in pages.columns else T.table("html", "a", "meta")
-    base = pages.select(*key_cols, F.col(url_col).alias("src_url"), *header_col, scanned.alias("_found"))
+    # made once: a filter on it must not be pushed below the scan with a second scan
+    base = U.materialize(pages.select("*", F.col(url_col).alias("src_url")), "_found", scanned) \
+        .select(*key_cols, "src_url", *header_col, "_found")
     header = F.element_at("metadata", F.lit("X-Robots-Tag")) if "metadata" in pages.columns and not skip_headers else None
     directives = H.robots_directives(header, None if skip_meta else H.meta_robots_content("_found"))
     base = base.withColumn("_page_nofollow", H.is_nofollow(directives))
