@@ -87,3 +87,26 @@ def test_hits_window_loop(spark, tmp_path):
     assert got.count() == exp.count() == j.count()
     assert j.filter(F.abs(got.hub - exp.hub) > 1e-9).count() == 0
     assert os.path.isdir(str(tmp_path / "edges"))
+
+
+def test_known_urls_expire_when_idle(spark, tmp_path):
+    """Literal arrivals over three batches and a restart: each arrival renews a URL's span of 30 minutes."""
+    files = [[("http://h/a#x", 0), ("http://h/b", 0), ("http://h/b", 10), (None, 0)], [("http://h/a", 20), ("http://h/c", 35)],
+             [("http://h/a#y", 45), ("http://h/b", 45), ("http://h/c", 65), ("http://h/a", 74)]]
+    want = {("http://h/a", 0, False), ("http://h/b", 0, False), ("http://h/b", 10, True), ("http://h/a", 20, True),
+            ("http://h/c", 35, False), ("http://h/a", 45, True), ("http://h/b", 45, False), ("http://h/c", 65, False),
+            ("http://h/a", 74, True)}
+    schema, d = "url string, ts timestamp", str(tmp_path / "in")
+    table = lambda rows: spark.createDataFrame([(u, m) for u, m in rows], "url string, m int").select(
+        "url", F.timestamp_seconds(F.col("m") * 60 + 1_700_000_000).alias("ts"))
+    minute = ((F.unix_timestamp("ts") - 1_700_000_000) / 60).cast("int").alias("m")
+    for n, rows in enumerate(files):
+        table(rows).coalesce(1).write.mode("append").parquet(d)
+        s = ST.known_urls_stream(spark.readStream.schema(schema).parquet(d), "30 minutes")
+        q = s.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+            "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        q.awaitTermination(300)  # a new query on the state of the one before
+    got = spark.read.parquet(str(tmp_path / "out")).select("norm_url", minute, "known").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    batch = ST.known_urls(table([r for f in files for r in f]), "30 minutes").select("norm_url", minute).collect()
+    assert {tuple(r) for r in batch} == {w[:2] for w in want if not w[2]}

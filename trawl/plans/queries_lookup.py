@@ -13,6 +13,7 @@ from trawl.operators.parse import extract_links
 from trawl.plans import sqlkit as Q
 from trawl.plans.catalog import register
 from trawl.session import configure, load_table
+from trawl.streaming.crawl import known_urls
 
 LANG_RE = r"://[^/]+/([a-z]{2})/"
 
@@ -183,3 +184,17 @@ def q_robots_wildcards(spark, sf_dir):
         F.struct(F.lit(p).alias("prefix"), F.lit(a).alias("allow")) for p, a in rules])).alias("r")).select("host", "r.*")
     out, _ = LK.apply_robots(pages.select("page_id", "url"), table)
     return out.select("page_id", "url", "allowed")
+
+
+@register("known_urls", """
+WITH a AS (SELECT 'http://u' || user_id || '.example.net/' AS norm_url, ts,
+                  lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events)
+SELECT norm_url, epoch_us(ts) AS ts_us FROM a WHERE before IS NULL OR ts >= before + INTERVAL 6 HOUR
+""")
+def q_known_urls(spark, sf_dir):
+    """T3 over the arrivals in ``events`` (one URL per user), known for 6 hours after the last one."""
+    configure(spark)
+    ev = load_table(spark, sf_dir, "events")
+    url = F.concat(F.lit("http://u"), F.col("user_id").cast("string"), F.lit(".example.net/#"), F.col("event_type"))
+    got = known_urls(ev.select(url.alias("url"), F.col("ts").cast("timestamp").alias("ts")), "6 hours")
+    return got.select("norm_url", F.unix_micros("ts").alias("ts_us"))

@@ -1,7 +1,9 @@
 """Structured Streaming forms.
 
-* ``first_seen_stream`` (T2/T3): first arrival of a normalised URL wins; with an expiry the
-  known-URL cache is the watermark-bounded ``dropDuplicatesWithinWatermark`` state.
+* ``first_seen_stream`` (T2): first arrival of a normalised URL wins, for good or (with an expiry)
+  for a span from its first sight.
+* ``known_urls_stream`` (T3): the known-URL cache with idle expiry, a timer per URL that each arrival
+  sets anew; ``known_urls`` is its batch form.
 * ``metric_stream`` (T6): 10 s tumbling buckets with a watermark, append mode.
 * ``crawl_loop`` (T7, T8, T1, K6): micro-batches of arriving page files drive the crawl step;
   each batch writes a new version of the status table (idempotent per batch id).
@@ -20,6 +22,7 @@ from __future__ import annotations
 import json
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,43 @@ def first_seen_stream(stream: DataFrame, url_col: str = "url", ts_col: str | Non
     return s.dropDuplicates(["norm_url"])
 
 
+def known_urls(rows: DataFrame, idle: str, url_col: str = "url", ts_col: str = "ts") -> DataFrame:
+    """T3 (batch): one row (norm_url, ts) for each arrival of a URL that was not known: its first, or one at
+    least ``idle`` after the arrival before. Arrivals of a URL merge into sessions before the shuffle."""
+    norm = U.strip_fragment(url_col)
+    span = f"{pd.Timedelta(idle).value // 1000 - 1} microseconds"  # sessions that touch are one
+    return rows.where(norm.isNotNull()).groupBy(norm.alias("norm_url"), F.session_window(ts_col, span).alias("w")).agg(
+        F.min(ts_col).alias("ts")).select("norm_url", "ts")
+
+
+def known_urls_stream(stream: DataFrame, idle: str, url_col: str = "url", ts_col: str = "ts",
+                      delay: str = "10 minutes") -> DataFrame:
+    """The known-URL cache with idle expiry. Every arrival gives (norm_url, ts, known); a URL is known
+    while less than ``idle`` has passed since its last arrival, each arrival starts that span again, and a
+    URL whose span has ended (by the watermark, ``delay`` behind the newest arrival) leaves the state.
+    Arrivals behind the watermark are dropped."""
+    span = pd.Timedelta(idle)
+    seen = stream.select(U.strip_fragment(url_col).alias("norm_url"), F.col(ts_col).cast("timestamp").alias("ts")) \
+        .where("norm_url is not null and ts is not null").withWatermark("ts", delay)
+
+    def arrivals(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        times = pd.concat([b["ts"] for b in batches]).sort_values(ignore_index=True)  # of one URL and batch
+        last = pd.Timestamp(state.get[0], unit="us", tz=times.dt.tz) if state.exists else pd.NaT
+        before = times.cummax().shift(1)
+        before = before.where(before.notna() & ~(before < last), last) if last is not pd.NaT else before
+        known = (before.notna() & (times < before + span)).to_numpy()
+        newest = times.iloc[-1] if last is pd.NaT else max(last, times.iloc[-1])
+        state.update((int(newest.value // 1000),))
+        state.setTimeoutTimestamp(max(int((newest + span).value // 1_000_000), state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"norm_url": key[0], "ts": times, "known": known})
+
+    return seen.groupBy("norm_url").applyInPandasWithState(
+        arrivals, "norm_url string, ts timestamp, known boolean", "last long", "append", "EventTimeTimeout")
+
+
 def metric_stream(metrics: DataFrame, seconds: int = 10, delay: str = "1 minute", ts_col: str = "ts") -> DataFrame:
     """Tumbling metric buckets; rows later than the watermark are dropped (our bound)."""
     return metric_buckets(metrics.withWatermark(ts_col, delay), seconds, ts_col)
