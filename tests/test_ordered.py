@@ -72,3 +72,16 @@ def test_position_with_null_keys_and_order(spark):
     df = spark.createDataFrame([(None, 3), (None, None), ("a", 2), ("a", 1)], "k string, o int")
     got = {(r.k, r.o): r.pos for r in position_within(df, ["k"], ["o"]).collect()}
     assert got == {(None, None): 1, (None, 3): 2, ("a", 1): 1, ("a", 2): 2}
+
+
+def test_many_buckets(spark):
+    """More bounds than a row is compared with one by one; nulls, ties before the last column, a hot key."""
+    df = skewed(spark, 20_000).withColumn("v", F.when(F.col("v") % 50 != 0, F.col("v")))
+    got = position_within(df, ["key"], ["v", "uid"], num_partitions=500)
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("key").orderBy("v", "uid")))
+    assert got.select("uid", "pos").exceptAll(exp.select("uid", "pos")).count() == 0 and got.count() == 20_000
+    from trawl.operators.ordered import _bucketed
+    sizes = [r["count"] for r in _bucketed(df, ["key", "v", "uid"], 500).groupBy("_b").count().collect()]
+    assert len(sizes) > 450 and max(sizes) < 400
+    sums = running_sums(df.withColumn("x", F.lit(1.0)), ["uid"], ["x"], num_partitions=300)
+    assert sums.where(F.col("cum_x") != F.col("uid") + 1).count() == 0

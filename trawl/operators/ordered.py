@@ -19,37 +19,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-#: Rows compared with every bound one by one, so there are never more buckets than this.
-MAX_BUCKETS = 256
+#: Buckets up to which a row is compared with every bound; beyond, with a list of lists of bounds.
+FLAT = 64
 
 
-def _bucket(df: DataFrame, cols: list[str], num: int | None) -> Column:
-    """Number of bounds at or below the row's ``cols``: an ordered, deterministic bucket.
+def _bucketed(df: DataFrame, cols: list[str], num: int | None) -> DataFrame:
+    """``df`` with ``_b``: the number of bounds at or below the row's ``cols``, an ordered, deterministic
+    bucket. As many buckets as shuffle partitions (or ``num``), which follow the size of the data.
 
     The bounds are quantiles of the ``32 * num`` rows with the smallest hash of ``cols`` (one
-    bounded top-k job), so they are the same for any partitioning of the input."""
-    num = min(num or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), MAX_BUCKETS)
+    bounded top-k job), so they are the same for any partitioning of the input. Many bounds are one
+    row of lists, joined to all rows: the first bounds of the lists tell the list, the list the bucket, so
+    a row is compared with about twice the square root of their number."""
+    num = max(1, num or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     keys = df.select(*cols)
     picked = sorted(
         keys.orderBy(F.xxhash64(*cols)).limit(32 * num).collect(),
         key=lambda r: [(v is not None, v if v is not None else 0) for v in r])
     step = len(picked) / num
     bounds = [picked[int(i * step)] for i in range(1, num)] if step >= 1 else picked[1:]
-    if not bounds:
-        return F.lit(0)
-    types = [f.dataType for f in keys.schema.fields]
-    row = lambda r: F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, types, cols, strict=True)])
     here = F.struct(*[F.col(c) for c in cols])
-    return F.size(F.filter(F.array(*[row(r) for r in bounds]), lambda x: x <= here))
+    below = lambda xs: F.size(F.filter(xs, lambda x: x <= here))
+    if len(bounds) <= FLAT:
+        types = [f.dataType for f in keys.schema.fields]
+        row = lambda r: F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, types, cols, strict=True)])
+        return df.withColumn("_b", below(F.array(*[row(r) for r in bounds])) if bounds else F.lit(0))
+    width = int(len(bounds) ** 0.5)
+    lists = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    item = T.StructType([T.StructField(f.name, f.dataType) for f in keys.schema.fields])
+    schema = T.StructType([T.StructField("_first", T.ArrayType(item)), T.StructField("_lists", T.ArrayType(T.ArrayType(item)))])
+    table = df.sparkSession.createDataFrame([([x[0] for x in lists[1:]], lists)], schema)
+    found = df.crossJoin(F.broadcast(table)).withColumn("_list", below(F.col("_first")))  # one row
+    return found.withColumn("_b", F.col("_list") * width + below(F.element_at("_lists", F.col("_list") + 1))) \
+        .drop("_first", "_lists", "_list")
 
 
 def position_within(df: DataFrame, keys: list[str], order: list[str], out: str = "pos",
                     num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its ``keys`` group by ``order`` (``order`` must be a
     total order within a key, e.g. end with a unique column). Null keys form a group."""
-    tagged = df.withColumn("_b", _bucket(df, keys + order, num_partitions))
+    tagged = _bucketed(df, keys + order, num_partitions)
     here = Window.partitionBy(*keys, "_b")
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     side = tagged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -83,7 +95,7 @@ def running_sums(df: DataFrame, order: list[str], values: list[str], prefix: str
                  num_partitions: int | None = None) -> DataFrame:
     """Cumulative sums of ``values`` over the total order ``order`` (rows unbounded preceding to
     current row), without collecting the data into one partition. Nulls add nothing."""
-    tagged = df.withColumn("_b", _bucket(df, order, num_partitions))
+    tagged = _bucketed(df, order, num_partitions)
     here = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     value = {v: F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values}
@@ -91,6 +103,6 @@ def running_sums(df: DataFrame, order: list[str], values: list[str], prefix: str
     offsets = totals.select("_b", *[F.coalesce(F.sum("_t_" + v).over(before), F.lit(0.0)).alias("_o_" + v)
                                     for v in values])
     local = tagged.withColumns({prefix + v: F.sum(value[v]).over(here) for v in values})
-    out = local.join(F.broadcast(offsets), "_b")  # at most MAX_BUCKETS rows
+    out = local.join(F.broadcast(offsets), "_b")  # one row per bucket: as many as shuffle partitions
     return out.withColumns({prefix + v: F.col(prefix + v) + F.col("_o_" + v) for v in values}) \
         .drop("_b", *["_o_" + v for v in values])
