@@ -178,6 +178,19 @@ def signature(pages: DataFrame, previous: DataFrame | None = None, key: str = "u
         "changed", F.col("signature_old").isNull() | (F.col("signature_old") != F.col("signature")))
 
 
+def snapshot_changes(old: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
+    """What became of every page between two snapshots: ``signature``, ``signature_old`` and ``change``
+    (unchanged, changed, new, gone). Both sides go into the join as key and signature only; a key given
+    several times in a snapshot counts with its smallest signature, null keys are left out."""
+    def signed(pages):
+        return pages.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.md5(F.coalesce("html", F.lit("")))).alias("signature"))
+
+    before = signed(old).withColumnRenamed("signature", "signature_old")
+    change = F.when(F.col("signature_old").isNull(), "new").when(F.col("signature").isNull(), "gone") \
+        .when(F.col("signature") == F.col("signature_old"), "unchanged").otherwise("changed")
+    return signed(new).join(before, key, "full").select(key, "signature", "signature_old", change.alias("change"))
+
+
 def split_values(md: Column, keys) -> Column:
     """Comma-separated values of the given keys become separate values."""
     keys = list(keys)

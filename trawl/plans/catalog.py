@@ -29,6 +29,7 @@ MODULES = (
     "trawl.plans.queries_evaluate",
     "trawl.plans.queries_monitor",
     "trawl.plans.queries_warc",
+    "trawl.plans.queries_varied",
 )
 
 
