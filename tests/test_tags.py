@@ -75,3 +75,13 @@ def test_long_pages_and_broken_markup():
     many = "<p " + "a='1' " * 100_000 + ">" + "<" * 100_000 + "<!--" + "-" * 100_000
     assert T.tags_of(many, None) == [("p", {"a": "1"}, "")]
     assert T.pieces_of("<div>" * 50_000 + "x", frozenset(["div"])) == [("x", 1, 0, [])]
+
+
+def test_links_are_put_back(spark):
+    html = """<head><a href=/no>head</a></head><body>Go <a href="/a#x">to <b>A</b></a>, <a name=n>not a link</a><a href='mailto:x'></a>!
+    <p>Say |LINK_1| and |LINK_99| <a href=b>|LINK_0|<div>block</div></a> end<a href=c>open"""
+    rows = B.blocks_with_links(page_df(spark, [(1, "http://x.example/p/q", html), (2, "http://y.example/", None)])).orderBy("block_idx").collect()
+    assert [(r.annotated, r.text, r.links) for r in rows] == [
+        ("Go |LINK_0| , not a link |LINK_1| !", "Go to A , not a link !", ["http://x.example/a", "mailto:x"]),
+        ("Say |LINK_1| and |LINK_99| |LINK_2| end |LINK_3|", "Say and |LINK_99| |LINK_0| block end open",
+         ["mailto:x", "http://x.example/p/b", "http://x.example/p/c"])]

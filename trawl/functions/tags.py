@@ -128,6 +128,49 @@ def pieces_of(page: str, boundaries: frozenset[str]) -> list[tuple[str, int, int
     return out
 
 
+def annotated_of(page: str, boundaries: frozenset[str]) -> tuple[list[str], list[tuple[str, str]]]:
+    """Texts of the page's runs between boundary tags with ``|LINK_n|`` in place of the n-th link's content,
+    and (target, anchor text) of each link. A link ends at its closing tag or the next link; boundaries
+    inside it are part of it."""
+    texts, parts, links, anchor = [], [], [], None
+    in_head = False
+
+    def flush():
+        text = squeeze(" ".join(parts))
+        if text:
+            texts.append(text)
+        parts.clear()
+
+    def close():
+        links[-1] = (links[-1][0], squeeze(" ".join(anchor)))
+
+    for kind, name, content in scan(page):
+        if name == "head":
+            in_head = kind == "open"
+        elif name == "body" and kind == "open":
+            in_head = False
+        if in_head:
+            continue
+        if kind == "text":
+            (parts if anchor is None else anchor).append(content)
+            continue
+        if name == "a" and anchor is not None:
+            close()
+            anchor = None
+        if name == "a" and kind == "open":
+            href = attributes(content).get("href")
+            if href is not None:
+                parts.append(f"|LINK_{len(links)}|")
+                links.append((href, ""))
+                anchor = []
+        elif name in boundaries and anchor is None:
+            flush()
+    if anchor is not None:
+        close()
+    flush()
+    return texts, links
+
+
 def _offsets(lengths: list[int]) -> pa.Array:
     ends, at = [0], 0
     for n in lengths:
@@ -181,6 +224,25 @@ def pieces(page: Column | str, boundaries: list[str]) -> Column:
     return of(page)
 
 
+ANNOTATED = "struct<texts:array<string>,links:array<struct<href:string,anchor:string>>>"
+
+
+def annotated(page: Column | str, boundaries: list[str]) -> Column:
+    """``texts`` of the page's runs with link placeholders and the ``links`` (``href``, ``anchor``) they number."""
+    tags = frozenset(boundaries)
+
+    @F.arrow_udf(ANNOTATED)
+    def of(pages: pa.Array) -> pa.Array:
+        found = [annotated_of(p or "", tags) for p in pages.to_pylist()]
+        links = [x for _, ls in found for x in ls]
+        texts = pa.ListArray.from_arrays(_offsets([len(t) for t, _ in found]), _strings([x for t, _ in found for x in t]))
+        pairs = pa.StructArray.from_arrays([_strings([h for h, _ in links]), _strings([a for _, a in links])], ["href", "anchor"])
+        return pa.StructArray.from_arrays([texts, pa.ListArray.from_arrays(_offsets([len(ls) for _, ls in found]), pairs)],
+                                          ["texts", "links"])
+
+    return of(page)
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 

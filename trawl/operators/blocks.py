@@ -83,6 +83,25 @@ def block_links(blocks: DataFrame, key_cols=("page_id",)) -> DataFrame:
                          F.posexplode("links").alias("link_idx", "link"))
 
 
+def blocks_with_links(pages: DataFrame, url_col: str = "url", key_cols=("page_id",)) -> DataFrame:
+    """One row per block: ``annotated`` (its text with ``|LINK_n|`` for the page's n-th link), ``text`` (anchors
+    put back by number, in order) and ``links`` (the targets, resolved, without fragment; unresolvable ones are
+    left out). All inside the page's row."""
+    base = pages.select(*key_cols, F.col(url_col).alias("url"), T.annotated("html", BLOCK_TAGS).alias("_a"))
+    base = U.materialize(base.withColumnRenamed("_a", "_scan"), "_a", F.col("_scan"))
+    rows = base.select(*key_cols, "url", F.col("_a.links").alias("_links"), F.posexplode("_a.texts").alias("block_idx", "annotated"))
+    numbers = F.transform(F.regexp_extract_all("annotated", F.lit(r"\|LINK_(\d{1,9})\|"), 1), lambda n: n.cast("int"))
+    numbers = F.filter(numbers, lambda n: n < F.size("_links"))  # a page may hold such text itself
+    rows = U.materialize(rows, "_numbers", numbers)
+    text = F.aggregate("_numbers", F.col("annotated"), lambda done, n: F.replace(
+        done, F.concat(F.lit("|LINK_"), n.cast("string"), F.lit("|")), F.try_element_at("_links", n + 1)["anchor"]))
+    links = F.filter(F.transform("_numbers", lambda n: U.strip_fragment(
+        U.resolve(F.col("url"), F.try_element_at("_links", n + 1)["href"]))), lambda x: x.isNotNull() & (x != ""))
+    squeezed = F.trim(F.regexp_replace(text, r"\s+", " "))  # an empty anchor leaves two spaces
+    return rows.select(*key_cols, "url", F.col("block_idx").cast("long").alias("block_idx"), "annotated", squeezed.alias("text"),
+                       links.alias("links"))
+
+
 def drop_empty(pages_blocks: DataFrame, key_cols=("page_id",)):
     """Pages without a content block fail; returns (kept pages' blocks, failed page keys)."""
     has = pages_blocks.groupBy(*key_cols).agg(F.max(F.col("is_content").cast("int")).alias("_c"))
