@@ -1,6 +1,6 @@
 """The parse and URL rules on pages and links that reach them: directives, redirects, metadata and
-nofollow links (P4-P7, P9, P10, P14, P15, P17), and all URL filters with metadata (U5, U6, U8, U9, U11,
-U12, J4).
+nofollow links (P4-P7, P9, P10, P14, P15, P17), all URL filters with metadata (U5, U6, U8, U9, U11,
+U12, J4), and rows that carry metadata (P12, P13, P15, P16, P18, P20, A5, M5, R7, U14).
 
 The rows are those of ``pages`` with markup or an address set in by ``page_id``, so that both outcomes of
 every rule occur; the jobs are the library's own, over the whole table.
@@ -11,10 +11,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
+from trawl.functions import meta as M
 from trawl.functions import urls as U
+from trawl.operators import frontier as FR
 from trawl.operators.links import mark_seen
-from trawl.operators.parse import extract_links, extract_meta, page_directives, redirects, snapshot_changes, with_tags
+from trawl.operators.parse import (dedup_values, depth_defaults, extract_links, extract_meta, links_to_status, on_sitemap,
+                                   page_directives, redirects, snapshot_changes, split_values, sub_documents, with_tags)
+from trawl.operators.relevance import block_relevance_list
 from trawl.operators.urlfilter import deny, filter_chain
+from trawl.plans.queries_relevance import SQL_LOF, scored_blocks
 from trawl.plans import sqlkit as Q
 from trawl.plans.catalog import register
 from trawl.session import configure, load_table
@@ -176,3 +181,93 @@ def q_snapshot_changes(spark, sf_dir):
     p = load_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     later = p.withColumn("html", F.when(F.col("page_id") % 4 == 0, F.concat("html", F.lit("<!-- edited -->"))).otherwise(F.col("html")))
     return snapshot_changes(p.where("page_id % 10 <> 0"), later.where("page_id % 10 <> 1"))
+
+
+@register("outlink_status", f"""
+WITH {Q.links_ctes()}
+SELECT page_id, target AS url, 'DISCOVERED' AS status, CASE WHEN page_id % 3 = 0 THEN '7' ELSE '5' END AS max_link_depth,
+       '1' AS max_page_link_depth, CASE WHEN page_id % 4 = 0 THEN 'true' ELSE 'false' END AS on_sitemap
+FROM lk
+""")
+def q_outlink_status(spark, sf_dir):
+    """Status rows of out-links with the source's metadata, default depths where it has none."""
+    configure(spark)
+    links = extract_links(load_table(spark, sf_dir, "pages"))
+    own = F.when(F.col("page_id") % 3 == 0, F.create_map(F.lit("maxLinkDepth"), F.array(F.lit("7")))).otherwise(M.empty_md())
+    dated = F.when(F.col("page_id") % 4 == 0, F.create_map(F.lit("sitemap.lastModified"), F.array(F.lit("2024-01-01")))).otherwise(M.empty_md())
+    md = depth_defaults(F.map_concat(own, dated, F.create_map(F.lit("page"), F.array(F.col("page_id").cast("string")))))
+    rows = links_to_status(links, md)
+    first = lambda k: F.try_element_at(F.element_at("metadata", F.lit(k)), F.lit(1))
+    return rows.select(first("page").cast("long").alias("page_id"), "url", "status", first("maxLinkDepth").alias("max_link_depth"),
+                       first("maxPageLinkDepth").alias("max_page_link_depth"), on_sitemap(F.col("metadata")).alias("on_sitemap"))
+
+
+@register("block_flags", f"""
+WITH {SQL_LOF}
+SELECT page, string_agg(CASE WHEN pred = 1 THEN '1' ELSE '0' END, '' ORDER BY block_idx) AS relevance_flags FROM sb GROUP BY page
+""")
+def q_block_flags(spark, sf_dir):
+    """A5 over the scored vectors."""
+    return block_relevance_list(scored_blocks(spark, sf_dir))
+
+
+@register("value_lists", """
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'a|b|a' WHEN 1 THEN 'x y' ELSE '' END AS words, 'p|q' AS authors FROM pages
+""")
+def q_value_lists(spark, sf_dir):
+    """P15 and P16 on metadata with lists and repeated values."""
+    configure(spark)
+    p = load_table(spark, sf_dir, "pages")
+    raw = F.when(F.col("page_id") % 3 == 0, "a, b ,,a").when(F.col("page_id") % 3 == 1, "x y").otherwise(" , ")
+    md = F.create_map(F.lit("words"), F.array(raw), F.lit("authors"), F.array(F.lit("p"), F.lit("q"), F.lit("p")))
+    got = dedup_values(split_values(md, ["words"]), ["authors"])
+    joined = lambda k: F.array_join(F.element_at("md", F.lit(k)), "|")
+    return p.select("page_id", got.alias("md")).select("page_id", joined("words").alias("words"), joined("authors").alias("authors"))
+
+
+@register("page_documents", f"""
+WITH {Q.links_ctes()}
+SELECT page_id, target AS document FROM lk WHERE link_pos <= 3
+""")
+def q_page_documents(spark, sf_dir):
+    """P20: the first three link targets of a page as its documents, one row each."""
+    configure(spark)
+    links = extract_links(load_table(spark, sf_dir, "pages"), max_per_page=3)
+    return sub_documents(links.groupBy("page_id").agg(F.collect_list("target").alias("documents")))
+
+
+@register("warc_metadata", """
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'OWS.CURLIELABEL: BOOKS, FOOD' WHEN 1 THEN '' ELSE 'OWS.CURLIELABEL: ' END AS lines FROM pages
+""")
+def q_warc_metadata(spark, sf_dir):
+    """M5: configured metadata as header lines."""
+    configure(spark)
+    p = load_table(spark, sf_dir, "pages")
+    md = F.when(F.col("page_id") % 3 == 0, F.create_map(F.lit("curlieLabel"), F.array(F.lit("Books"), F.lit("food")))) \
+        .when(F.col("page_id") % 3 == 2, F.create_map(F.lit("curlieLabel"), F.array(F.lit("")))).otherwise(M.empty_md())
+    return p.select("page_id", F.array_join(M.warc_md_lines(md, ["curlieLabel", "other"]), "|").alias("lines"))
+
+
+@register("fetch_route_plain", """
+SELECT event_id, CASE value::BIGINT % 5 WHEN 0 THEN 'parse' ELSE 'status' END AS route,
+       CASE value::BIGINT % 5 WHEN 0 THEN 'parse' WHEN 2 THEN 'status+target' ELSE 'status' END AS route_following
+FROM (SELECT event_id, floor(value) AS value FROM events)
+""")
+def q_fetch_route_plain(spark, sf_dir):
+    """What follows a fetch when redirects are not followed, beside R3 when they are."""
+    configure(spark)
+    ev = load_table(spark, sf_dir, "events").select("event_id", F.floor("value").alias("v"))
+    code = F.element_at(F.array(*[F.lit(c) for c in (200, 304, 301, 404, 500)]), (F.pmod("v", F.lit(5)) + 1).cast("int"))
+    e = ev.withColumn("code", code)
+    return e.select("event_id", FR.fetch_route("code", allow_redirects=False).alias("route"), FR.fetch_route("code").alias("route_following"))
+
+
+@register("uri_escaped", f"""
+SELECT page_id, {_ORIGIN} || CASE page_id % 3 WHEN 0 THEN '/a%20b' WHEN 1 THEN '/%C3%A9?q=%E6%97%A5' ELSE '/plain?x=1&y=%25' END AS url FROM pages
+""")
+def q_uri_escaped(spark, sf_dir):
+    """Spaces and letters outside ASCII."""
+    configure(spark)
+    p = load_table(spark, sf_dir, "pages")
+    tail = F.when(F.col("page_id") % 3 == 0, "/a b").when(F.col("page_id") % 3 == 1, "/é?q=日").otherwise("/plain?x=1&y=%25")
+    return p.select("page_id", U.uri_escape(F.concat(F.regexp_extract("url", U.ORIGIN_RE, 1), tail)).alias("url"))
