@@ -1,8 +1,10 @@
 """Entry 1 as a batch job: one focused-crawl step over a table of fetched pages.
 
-frontier (S1 due URLs) -> fetched pages -> blocks (B1-B4) -> embeddings (E3) -> block scores
+frontier (S1 due URLs) -> fetched pages -> redirects (P9, P10: such a page is not parsed further; its
+target is DISCOVERED) -> content blocks (B1-B4) -> embeddings (E3) -> block scores
 against the topical corpus (J6/L3 or J7/L1) -> page statistics (A1-A4) -> link priority (C1, C2)
--> child status rows (C3, J4) + FETCHED rows -> focused schedule (F1) -> status upsert (K6)
+-> normalised and filtered links (U6-U8) -> child status rows (C3, J4) + FETCHED and REDIRECTION rows
+-> focused schedule (F1) -> status upsert (K6)
 -> next frontier.
 
 Stage boundaries are joins on the URL; the corpus is broadcast after a size check; block
@@ -21,6 +23,7 @@ from trawl.operators import embed as E
 from trawl.operators import frontier as FR
 from trawl.operators import links as L
 from trawl.operators import relevance as R
+from trawl.operators.parse import redirects
 from trawl.session import ensure_checkpoint_dir
 
 
@@ -47,15 +50,25 @@ def crawl_step(pages: DataFrame, frontier: DataFrame, corpus: DataFrame, now: Co
     due = FR.due_urls(frontier, now).checkpoint(eager=True)
     pages_n = U.materialize(pages.withColumnRenamed("url", "_raw_url"), "url", U.normalise("_raw_url"))
     fetched = pages_n.join(due.select("url"), "url", "left_semi")
-    blocks = B.segment_pages(fetched, min_words=B.MIN_WORDS)
+    # a page that names another address (not its own with a fragment) is a redirect: its target is
+    # discovered, its content not read
+    moved = redirects(fetched).where("status = 'REDIRECTION'").select("page_id", "url", "status", U.normalise("redir_to").alias("target"))
+    moved = moved.where(~F.col("target").eqNullSafe(F.col("url"))).checkpoint(eager=True)
+    targets = moved.select(F.col("target").alias("url")).where(U.chain(U.basic_filter("url"), U.regex_filter("url")))
+    stay = fetched.join(moved.select("page_id"), "page_id", "left_anti")
+    blocks = B.segment_pages(stay, min_words=B.MIN_WORDS).where("is_content")
     scored = score_blocks(blocks, corpus, scorer, threshold, model_fn).checkpoint(eager=True)
     stats = R.page_stats(scored, page_col="url")
     bl = scored.select("page_id", "url", "block_idx", F.col("score").alias("block_score"),
                        F.posexplode("links").alias("link_idx", "link"))
+    bl = U.materialize(bl.withColumnRenamed("link", "_raw"), "link", U.normalise("_raw")).where(
+        U.chain(U.basic_filter("link"), U.regex_filter("link")))
     prio = L.link_priority(bl, stats.select("url", "page_relevance"), key_cols=("url",))
     crawled = frontier.filter(F.col("status") == "FETCHED").select("url").unionByName(fetched.select("url"))
-    child = L.child_status(prio, crawled, link_col="link", page_url_col="url", key_cols=("url",),
-                           fetched_pages=fetched)
+    child = L.child_status(prio, crawled, link_col="link", page_url_col="url", key_cols=("url",), fetched_pages=stay)
+    none = F.lit(None).cast("timestamp").alias("next_fetch")
+    child = child.unionByName(moved.select("url", "status", none)).unionByName(
+        L.not_seen(targets, crawled, "url", "url").distinct().select("url", F.lit("DISCOVERED").alias("status"), now.alias("next_fetch")))
     updates = child.select(
         "url", U.partition_key("url", key_mode).alias("key"),
         M.empty_md().alias("metadata"), "status", "next_fetch", F.lit(None).cast("timestamp").alias("leased_until"),

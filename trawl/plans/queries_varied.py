@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from trawl.functions import html as H
 from trawl.functions import meta as M
 from trawl.functions import urls as U
+from trawl.operators import blocks as B
 from trawl.operators import frontier as FR
 from trawl.operators.links import mark_seen
 from trawl.operators.parse import (dedup_values, depth_defaults, extract_links, extract_meta, links_to_status, on_sitemap,
                                    page_directives, redirects, snapshot_changes, split_values, sub_documents, with_tags)
 from trawl.operators.relevance import block_relevance_list
 from trawl.operators.urlfilter import deny, filter_chain
+from trawl.plans.crawl_step import crawl_step, seed_frontier
+from trawl.plans.queries_blocks import blocks_sql
 from trawl.plans.queries_relevance import SQL_LOF, scored_blocks
 from trawl.plans import sqlkit as Q
 from trawl.plans.catalog import register
@@ -271,3 +274,24 @@ def q_uri_escaped(spark, sf_dir):
     p = load_table(spark, sf_dir, "pages")
     tail = F.when(F.col("page_id") % 3 == 0, "/a b").when(F.col("page_id") % 3 == 1, "/é?q=日").otherwise("/plain?x=1&y=%25")
     return p.select("page_id", U.uri_escape(F.concat(F.regexp_extract("url", U.ORIGIN_RE, 1), tail)).alias("url"))
+
+
+@register("crawl_step_varied", f"""
+WITH {SQL_V},
+w AS (SELECT page_id, {Q.normalise('url')} AS url, replace(html, '<p>', '<p><a href="/deep/' || page_id || '">w</a> ') AS html FROM v),
+due AS (SELECT page_id, url, row_number() OVER (PARTITION BY {Q.host('url')} ORDER BY url) <= 30 AS due FROM w),
+{blocks_sql(B.MIN_WORDS).replace("FROM pages", "FROM w")},
+deep AS (SELECT DISTINCT {_ORIGIN} || '/deep/' || blk.page_id AS url FROM blk WHERE is_content AND contains(raw, '/deep/')
+         AND page_id IN (SELECT page_id FROM due WHERE due AND page_id % 8 NOT IN (3, 4))),
+moved AS (SELECT {_ORIGIN} || CASE page_id % 8 WHEN 3 THEN '/canon/' ELSE '/next/' END || page_id AS url FROM due WHERE due AND page_id % 8 IN (3, 4))
+SELECT url, CASE WHEN NOT due THEN 'DISCOVERED' WHEN page_id % 8 IN (3, 4) THEN 'REDIRECTION' ELSE 'FETCHED' END AS status FROM due
+UNION ALL SELECT url, 'DISCOVERED' FROM deep UNION ALL SELECT url, 'DISCOVERED' FROM moved
+""")
+def q_crawl_step(spark, sf_dir):
+    """One step over pages with redirects and with links in their paragraphs: the status of every URL after it."""
+    p = _pages(spark, sf_dir)
+    link = F.concat(F.lit('<p><a href="/deep/'), F.col("page_id").cast("string"), F.lit('">w</a> '))
+    p = p.withColumn("html", F.replace("html", F.lit("<p>"), link))
+    corpus = load_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    return crawl_step(p, seed_frontier(p, now), corpus, now).select("url", "status")
