@@ -96,3 +96,18 @@ def test_repeated_ids_and_other_branches(spark, monkeypatch):
     monkeypatch.setattr(bwt_dedup, "HOT", 2)
     assert sorted(map(tuple, bwt_dedup.dedup(docs).collect())) == want
     assert bwt_dedup.cleaned(table(spark, [(1, "a", "en", "s", 1)]), [x.split()[0] for x in SCHEMA.split(", ")]).count() == 1
+
+
+@pytest.mark.parametrize("chunk", [500_000, 3])
+def test_components_contract_in_tasks(spark, monkeypatch, chunk):
+    """A path, a star, a ring and pairs, dealt over tasks, also with a few edges contracted at a time."""
+    from trawl.llm import components as C
+
+    monkeypatch.setattr(C, "CHUNK", chunk)
+    edges = [(i, i + 1) for i in range(100, 200)] + [(500, i) for i in range(501, 560)] + [(600 + i, 600 + (i + 1) % 30) for i in range(30)]
+    edges += [(-5, 9), (9, -5), (7, 7), (1000, 1001)]
+    random.Random(2).shuffle(edges)
+    got = {r.node: r.component for r in C.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    want = {i: 100 for i in range(100, 201)} | {i: 500 for i in range(500, 560)} | {i: 600 for i in range(600, 630)}
+    assert got == want | {-5: -5, 9: -5, 1000: 1000, 1001: 1000}
+    assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
