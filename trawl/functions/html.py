@@ -1,8 +1,8 @@
 """HTML column functions: tag patterns, robots directives (P6, P7), redirects (P9), visible text.
 
-Pages are parsed with JVM regular expressions over the ``html`` string column, so the work
-stays in whole-stage codegen and is split by Spark like any other projection. The patterns are
-written in the common subset of Java and RE2 syntax so the same text serves the SQL oracles.
+Directives and redirects read the page's tag table (``tags.table``); visible text uses JVM regular
+expressions over the ``html`` column. The patterns named here are written in the common subset of Java and
+RE2 syntax, as the SQL oracles use them.
 """
 
 from __future__ import annotations
@@ -17,13 +17,9 @@ from trawl.functions import tags as T
 
 # <a ...>anchor</a>: group 1 = attributes, group 2 = inner html
 A_TAG_RE = r"(?is)<a\s([^>]*)>(.*?)</a>"
-# href="..." or href='...' inside an attribute string
-HREF_RE = r"""(?i)\bhref\s*=\s*["']([^"']*)["']"""
-REL_RE = r"""(?i)\brel\s*=\s*["']([^"']*)["']"""
 # plain href list used by the fast link extractor (P2): group 1 = href
 A_HREF_RE = r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 META_TAG_RE = r"(?is)<meta\s[^>]*>"
-TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 
 # Robots directive names, in declaration order; 'none' expands to the three after it.
 ROBOTS_DIRECTIVES = ["noai", "noarchive", "nocache", "nofollow", "noimageai", "noimageindex",
@@ -35,14 +31,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def attr(tag, name: str) -> Column:
-    """Value of attribute ``name`` (quoted, case-insensitive name) in a tag string, NULL if absent."""
-    pat = r"(?is)\b" + name + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    v = F.regexp_extract(_c(tag), pat, 0)
-    inner = F.regexp_extract(v, r"""(?s)=\s*["'](.*)["']$""", 1)
-    return F.when(v != "", inner)
-
-
 def directives_from_values(values) -> Column:
     """Normalise an array of raw directive strings: trim, lower, keep known names, expand 'none'."""
     words = F.transform(_c(values), lambda v: F.lower(F.trim(v)))
@@ -125,10 +113,6 @@ def visible_text(html) -> Column:
     return strip_tags(t)
 
 
-def title(html) -> Column:
-    return strip_tags(F.regexp_extract(_c(html), TITLE_RE, 1))
-
-
 def declared_charset(content_type=None, html_head=None) -> Column:
     """Charset from the Content-Type header, else from <meta charset> / http-equiv in the
     document head; upper-cased, NULL when none is declared."""

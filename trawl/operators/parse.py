@@ -99,19 +99,6 @@ def extract_links(pages: DataFrame, max_per_page: int = -1, anchors: bool = Fals
     return out
 
 
-def extract_hrefs(pages: DataFrame, url_col: str = "url", key_cols=("page_id",)) -> DataFrame:
-    """P2 fast path: distinct resolved targets per page with positions, without anchors.
-
-    De-duplication happens inside the row (``array_distinct`` keeps first occurrences in
-    order), so the operator is a pure projection + explode: no shuffle at all.
-    """
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(H.A_HREF_RE), 1)
-    resolved = F.filter(F.transform(hrefs, lambda h: U.resolve(F.col(url_col), h)), lambda t: t.isNotNull())
-    return pages.select(*key_cols, F.col(url_col).alias("src_url"),
-                        F.posexplode(F.array_distinct(resolved)).alias("link_pos", "target")) \
-        .withColumn("link_pos", F.col("link_pos") + 1)
-
-
 def cap_per_page(links: DataFrame, max_per_page: int, key_cols=("page_id",)) -> DataFrame:
     """Keep the first ``max_per_page`` distinct targets of each page (document order).
 
