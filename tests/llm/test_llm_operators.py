@@ -1,7 +1,6 @@
 """The ten operators against brute force on small tables with nulls, empty and long texts, ties,
 repeated rows and extra columns, and on empty tables."""
 
-import base64
 import hashlib
 import re
 import zlib
@@ -170,15 +169,6 @@ def test_tree_keeps_rare_contexts_of_a_large_corpus(spark):
         assert r.score == pytest.approx(sum(np.log10(prob(tuple(t[max(0, k - 2):k]), w)) for k, w in enumerate(t)))
 
 
-def test_kept_contexts_are_distributions():
-    context, c = np.array([0, 0, 1]), np.array([60.0, 30.0, 5.0])
-    q, total = np.array([0.1, 0.2, 0.5]), np.array([100.0, 10.0])
-    log, back = suffix_tree._kept(context, c, q, total)
-    assert not np.isnan(back[0]) and np.isnan(back[1])  # the second says nothing new
-    seen = (10 ** log[:2]).sum()
-    assert seen + 10 ** back[0] * (1 - q[:2].sum()) == pytest.approx(1)
-
-
 def near_expected(texts):
     sets = {}
     for i, t in texts.items():

@@ -45,19 +45,6 @@ def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, at, END), np.insert(doc, at, np.arange(n))
 
 
-def _kept(context: np.ndarray, c: np.ndarray, q: np.ndarray, total: np.ndarray):
-    """Smoothed log10 P of each (context, next) entry with parent probability ``q``, and log10
-    back-off weight of each context (nan where the divergence test fails); ``_level`` for arrays."""
-    part = np.maximum(c - DISCOUNT, 0) / total[context]
-    n = len(total)
-    back = 1 - np.bincount(context, part, n)
-    p = part + back[context] * q
-    rest = np.maximum(1 - np.bincount(context, q, n), 0)
-    kl = np.bincount(context, p * np.log(p / q), n) + back * rest * np.log(np.maximum(back, 1e-300))
-    kept = (total * kl > GAIN) & (np.bincount(context, minlength=n) > 0)
-    return np.log10(p), np.where(kept, np.log10(np.maximum(back, 1e-300)), np.nan)
-
-
 def _events(rows: DataFrame) -> DataFrame:
     """(row, doc_id, held_out, a, b, c): every token c of every text with the two before it (END where
     there is none: an end has no successor, so it is never a context)."""
