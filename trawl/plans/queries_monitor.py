@@ -21,12 +21,19 @@ def metrics(spark, sf_dir):
     ev = load_table(spark, sf_dir, "events")
     name = F.create_map(*[x for kv in NAMES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])[F.col("event_type")]
     comp = F.when(F.col("user_id") < 50, "fetch").when(F.col("user_id") < 100, "parse").otherwise("status")
-    return ev.select(name.alias("name"), F.col("user_id").cast("short").alias("task_id"), comp.alias("component"),
+    return ev.select(name.alias("name"), F.col("user_id").alias("task_id"), comp.alias("component"),
                      F.concat(F.lit("worker-"), F.floor(F.col("user_id") / 30).cast("string")).alias("worker"),
                      (F.lit(6700) + F.floor(F.col("user_id") / 30)).cast("int").alias("port"),
                      F.col("ts").cast("timestamp").alias("ts"), "value", "event_type")
 
 
+def _task_id(spark, sf_dir):
+    """``task_id`` as the SQL types it, a SMALLINT; where a table's ids go beyond that, as the table types them."""
+    ids = load_table(spark, sf_dir, "events").agg(F.min("user_id"), F.max("user_id")).first()
+    narrow = all(x is None or -(1 << 15) <= x < 1 << 15 for x in ids)
+    return F.col("task_id").cast("short").alias("task_id") if narrow else F.col("task_id")
+
+
 NAME_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAMES.items()) + " END"
 SQL_M = f"""m AS (SELECT {NAME_SQL} AS name, user_id::SMALLINT AS task_id,
        CASE WHEN user_id < 50 THEN 'fetch' WHEN user_id < 100 THEN 'parse' ELSE 'status' END AS component,
@@ -61,14 +68,14 @@ SELECT {Q.fmt_ts('b')} AS bucket, task_id, round(metric, 6) AS metric, rank FROM
 @register("top_tasks", _top_sql(NAMES["click"], "avg"))
 def q_top_tasks(spark, sf_dir):
     t = MO.top_series(metrics(spark, sf_dir), NAMES["click"], "avg", "1 hour", 5)
-    return t.select(S.fmt_ts("bucket").alias("bucket"), "task_id", F.round("metric", 6).alias("metric"),
+    return t.select(S.fmt_ts("bucket").alias("bucket"), _task_id(spark, sf_dir), F.round("metric", 6).alias("metric"),
                     F.col("rank").cast("long").alias("rank"))
 
 
 @register("top_tasks_sum", _top_sql(NAMES["view"], "sum"))
 def q_top_tasks_sum(spark, sf_dir):
     t = MO.top_series(metrics(spark, sf_dir), NAMES["view"], "sum", "1 hour", 5)
-    return t.select(S.fmt_ts("bucket").alias("bucket"), "task_id", F.round("metric", 6).alias("metric"),
+    return t.select(S.fmt_ts("bucket").alias("bucket"), _task_id(spark, sf_dir), F.round("metric", 6).alias("metric"),
                     F.col("rank").cast("long").alias("rank"))
 
 
@@ -118,7 +125,7 @@ FROM r JOIN o USING (task_id) WHERE rank <= 5
 """)
 def q_two_level_top(spark, sf_dir):
     t = MO.nested_top(metrics(spark, sf_dir), "task_id", 10, "event_type", 5)
-    return t.select("task_id", "event_type", F.round("inner_avg", 6).alias("inner_avg"),
+    return t.select(_task_id(spark, sf_dir), "event_type", F.round("inner_avg", 6).alias("inner_avg"),
                     F.col("rank").cast("long").alias("rank"), F.round("outer_avg", 6).alias("outer_avg"))
 
 
