@@ -94,3 +94,37 @@ def test_corpus_without_directions(spark):
     zero = table(spark, np.zeros((3, 2)))
     assert {r.best_sim for r in max_cosine(table(spark, np.eye(2)), zero).collect()} == {-1.0}
     assert {r.best_sim for r in max_cosine(table(spark, np.eye(2)), zero, max_broadcast=1).collect()} == {-1.0}
+
+
+def test_blocks_of_distances_stay_small():
+    import tracemalloc
+
+    from trawl.operators.pivot import Found
+
+    rng = np.random.default_rng(5)
+    q, m = rng.normal(size=(4096, 16)), rng.normal(size=(8192, 16))
+    found = Found(np.arange(4096), q, 8, True)
+    tracemalloc.start()
+    found.look(np.arange(4096), np.arange(8192), m)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    row, _, nn, _ = found.nearest()
+    some = rng.choice(4096, 20, replace=False)
+    d = ((q[some, None] - m[None]) ** 2).sum(2)
+    d[np.arange(20), some] = np.inf
+    assert [sorted(nn[row == x]) for x in some] == [sorted(x) for x in np.argsort(d, axis=1)[:, :8]]
+
+
+def test_one_split_of_queries_is_spread(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    got = knn(df.coalesce(1), df, 3, exclude_self=True)
+    assert got.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def test_vectors_beyond_the_square_root_of_the_range(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [2.5, 0.0]), (4, [4.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.vec_id, r["rank"]): r.nn_id for r in knn(df, df, 1, exclude_self=True).where("vec_id > 0").collect()}
+    assert got == {(1, 1): 2, (2, 1): 3, (3, 1): 2, (4, 1): 3}

@@ -34,7 +34,11 @@ MAX_PIVOTS = 1024
 MAX_RINGS = 64
 #: Bytes of vectors that may be broadcast in one piece.
 MAX_BROADCAST_BYTES = 100 << 20
-_CELLS = 1 << 24  # entries of one distance block (128 MB)
+#: Queries that a task compares with the pivots at a time.
+QUERIES = 1024
+#: Rows (with their vectors) that a task hands over at a time.
+HANDED = 16384
+_CELLS = 1 << 21  # entries of one distance block (16 MB)
 
 
 def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -75,11 +79,6 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(_squared(a, b), 0.0))
 
 
-def _slack(q: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Rounding of a squared distance in product form."""
-    return 1e-9 * ((q ** 2).sum(1) + ((m ** 2).sum(1).max() if len(m) else 0.0))
-
-
 class Found:
     """The nearest rows of a block of queries so far."""
 
@@ -98,11 +97,25 @@ class Found:
         if not len(rows) or not len(ids):
             return
         step = max(1, _CELLS // len(ids))
+        length = (m ** 2).sum(1)
+        right = np.column_stack([m, np.ones(len(m)), length]).T
+        order = np.argsort(ids, kind="stable") if self.exclude_self else None
         for part in (rows[i:i + step] for i in range(0, len(rows), step)):
-            qa, slack = self.q[part], _slack(self.q[part], m)
-            d2 = _squared(qa, m)
+            qa = self.q[part]
+            own = (qa ** 2).sum(1)
+            slack = 1e-9 * (own + length.max())  # rounding of a squared distance in product form
+            d2 = np.column_stack([-2.0 * qa, own, np.ones(len(qa))]) @ right  # squared distances in one product
             if self.exclude_self:
-                d2[self.ids[part, None] == ids[None, :]] = np.inf
+                first, last = (np.searchsorted(ids, self.ids[part], side, sorter=order) for side in ("left", "right"))
+                for x in np.flatnonzero(last > first):
+                    d2[x, order[first[x]:last[x]]] = np.inf
+            # most queries have no row of the block within reach; only the others are looked at closely
+            upto = np.minimum(self.near[part, -1], self.limit[part]) + slack
+            some = np.flatnonzero((d2 <= upto[:, None]).any(1))
+            if not len(some):
+                continue
+            if len(some) < len(part):
+                part, qa, slack, d2 = part[some], qa[some], slack[some], d2[some]
             both = np.concatenate([self.near[part], d2 + slack[:, None]], 1)
             self.near[part] = np.sort(np.partition(both, self.k - 1, axis=1)[:, :self.k], axis=1)
             upto = np.minimum(self.near[part, -1], self.limit[part]) + slack
@@ -223,12 +236,15 @@ def _broadcast_search(queries: DataFrame, corpus: DataFrame, n: int, k: int, exc
     shared = queries.sparkSession.sparkContext.broadcast(index)
 
     def search(batches):
-        for pdf in batches:
-            ids, q = vectors(pdf)
-            (row, rank, nn, dist), visits = shared.value.search(ids, q, k, exclude_self)
-            yield pd.DataFrame({"id": ids[row], "rank": rank + 1, "nn_id": nn, "dist": dist, "cells": visits[row]})
+        for whole in batches:
+            for i in range(0, len(whole), QUERIES):
+                ids, q = vectors(whole.iloc[i:i + QUERIES])
+                (row, rank, nn, dist), visits = shared.value.search(ids, q, k, exclude_self)
+                yield pd.DataFrame({"id": ids[row], "rank": rank + 1, "nn_id": nn, "dist": dist, "cells": visits[row]})
 
-    return queries.mapInPandas(search, "id long, rank int, nn_id long, dist double, cells long")
+    # the work is queries x corpus: spread over the cores, however few splits the queries' file has
+    spread = queries.repartition(3 * queries.sparkSession.sparkContext.defaultParallelism, "id")
+    return spread.mapInPandas(search, "id long, rank int, nn_id long, dist double, cells long")
 
 
 # ---------------------------------------------------------------- shuffled form
@@ -237,8 +253,9 @@ def _located(corpus: DataFrame, pivots: np.ndarray) -> DataFrame:
     shared = corpus.sparkSession.sparkContext.broadcast(pivots)
 
     def locate(batches):
-        for pdf in batches:
-            if len(pdf):
+        for whole in batches:
+            for i in range(0, len(whole), QUERIES):
+                pdf = whole.iloc[i:i + QUERIES]
                 d = distances(matrix(pdf["v"]), shared.value)
                 yield pdf.assign(cell=d.argmin(1), r=d.min(1))
 
@@ -280,15 +297,17 @@ def _visits(queries: DataFrame, cells: Cells, wanted: int, own: bool) -> DataFra
     def visit(batches):
         c = shared.value
         for whole in batches:
-            for i in range(0, len(whole), 1024):
-                pdf = whole.iloc[i:i + 1024]
+            for i in range(0, len(whole), QUERIES):
+                pdf = whole.iloc[i:i + QUERIES]
                 q = matrix(pdf["v"])
                 d, home = c.home(q)
                 reach = np.minimum(pdf["reach"].fillna(np.inf).to_numpy(), c.first_reach(d, wanted))
                 near = (c.bound(d, home) <= reach[:, None] + c.slack) & ((c.cell[None, :] == home[:, None]) == own)
-                row, unit = np.nonzero(near)
-                yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row],
-                                    "reach": reach[row], "unit": unit})
+                all_rows, all_units = np.nonzero(near)
+                for at in range(0, len(all_rows), HANDED):  # a query that visits many units is as many vectors
+                    row, unit = all_rows[at:at + HANDED], all_units[at:at + HANDED]
+                    yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row],
+                                        "reach": reach[row], "unit": unit})
 
     return queries.mapInPandas(visit, "id long, v array<double>, reach double, unit int")
 
