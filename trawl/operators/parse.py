@@ -122,18 +122,20 @@ def redirects(pages: DataFrame, use_canonical: bool = True, ignore_meta_redirect
     When the target differs from the page: the target becomes DISCOVERED and the page
     REDIRECTION with ``_redirTo``.
     """
-    pages = pages if "tags" in pages.columns else with_tags(pages)
+    if "tags" not in pages.columns:
+        pages = U.materialize(pages, "tags", T.table("html", "link", "meta"))
     refresh = F.lit(None).cast("string") if ignore_meta_redirect else H.meta_refresh_target("tags")
     canon = H.canonical_href("tags") if use_canonical else F.lit(None).cast("string")
     raw = F.coalesce(canon, refresh)
     target = U.resolve(F.col(url_col), raw)
     red = pages.select(*key_cols, F.col(url_col).alias("page_url"), target.alias("target")) \
         .filter(F.col("target").isNotNull() & (F.col("target") != F.col("page_url")))
-    discovered = red.select(*key_cols, F.col("target").alias("url"), F.lit("DISCOVERED").alias("status"),
-                            F.lit(None).cast("string").alias("redir_to"))
-    page_row = red.select(*key_cols, F.col("page_url").alias("url"), F.lit("REDIRECTION").alias("status"),
-                          F.col("target").alias("redir_to"))
-    return discovered.unionByName(page_row)
+    # both rows of a page from one scan of it
+    rows = F.array(F.struct(F.col("target").alias("url"), F.lit("DISCOVERED").alias("status"),
+                            F.lit(None).cast("string").alias("redir_to")),
+                   F.struct(F.col("page_url").alias("url"), F.lit("REDIRECTION").alias("status"),
+                            F.col("target").alias("redir_to")))
+    return red.select(*key_cols, F.explode(rows).alias("_row")).select(*key_cols, "_row.url", "_row.status", "_row.redir_to")
 
 
 def route_mime(content_type: Column) -> Column:
