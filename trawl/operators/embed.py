@@ -19,6 +19,8 @@ TOKEN_RE = r"[\p{L}\p{N}]+"
 WINDOW = 512
 VOCAB = 30522
 MAX_BROADCAST_TERMS = 5_000_000
+#: Most frequent terms whose document frequency goes to every task (about 10 MB).
+HOT_TERMS = 200_000
 
 
 def tokens(text) -> Column:
@@ -66,17 +68,23 @@ def mean_pool_vectors(df: DataFrame, key_cols, vec_col: str = "embedding") -> Da
         .select(*key_cols, F.transform("_v", lambda s: s["mean_value"]).alias("vector"))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dims: int = 64) -> DataFrame:
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dims: int = 64,
+          hot_terms: int = HOT_TERMS) -> DataFrame:
     """weight = tf * ln((N+1)/(df+1)), summed into ``dims`` md5-hashed dimensions.
-    Returns (id_col, dim, weight)."""
-    ex = docs.select(id_col, F.explode(tokens(text_col)).alias("term"))
+    Returns (id_col, dim, weight).
+
+    Texts are shuffled by id, not their terms: all counts of a document are made where it lies. The
+    ``hot_terms`` most frequent terms find their document frequency there too (a bounded broadcast); the
+    rows of the others alone travel to it by a shuffle."""
+    ex = docs.select(id_col, text_col).repartition(F.col(id_col)).select(id_col, F.explode(tokens(text_col)).alias("term"))
     tf = ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.count()  # one row per document
-    # The vocabulary is not bounded, so nothing is broadcast by hand: AQE measures the document
-    # frequency side at runtime and broadcasts it only under its size threshold (a hot term such
-    # as "the" is then a map-side lookup); above it the join is sort-merge with skew splitting.
-    w = tf.join(dfreq, "term").withColumn(
+    hot = F.broadcast(dfreq.orderBy(F.col("df").desc(), "term").limit(hot_terms))
+    near = tf.join(hot, "term")
+    # the other terms are not bounded in number: joined by a shuffle, none of them frequent
+    far = tf.join(hot.select("term"), "term", "left_anti").join(dfreq, "term")
+    w = near.unionByName(far).withColumn(
         "w", F.col("tf") * F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)))
     return w.groupBy(id_col, md5_bucket(F.col("term"), dims).alias("dim")).agg(F.sum("w").alias("weight"))
 
