@@ -17,6 +17,8 @@ from trawl.operators.ordered import position_within
 from trawl.session import broadcast_if_small, ensure_checkpoint_dir
 
 MAX_BROADCAST_NODES = 5_000_000
+#: Bytes of node names up to which the scores are broadcast, through the driver, twice a round.
+MAX_BROADCAST_NAMES = 16 << 20
 
 
 def distinct_edges(edges: DataFrame, src: str = "src", dst: str = "dst", graph_col: str | None = None) -> DataFrame:
@@ -26,7 +28,8 @@ def distinct_edges(edges: DataFrame, src: str = "src", dst: str = "dst", graph_c
 
 
 def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst", graph_col: str | None = None,
-         checkpoint: bool = True, norm_every: int = 8, max_broadcast_nodes: int = MAX_BROADCAST_NODES) -> DataFrame:
+         checkpoint: bool = True, norm_every: int = 8, max_broadcast_nodes: int = MAX_BROADCAST_NODES,
+         max_broadcast_names: int = MAX_BROADCAST_NAMES) -> DataFrame:
     """H1: hub and authority scores of every node, per graph.
 
     Returns (graph?, node, hub, authority). Graphs without edges (zero norm) give no rows.
@@ -38,8 +41,8 @@ def hits(edges: DataFrame, rounds: int = 5, src: str = "src", dst: str = "dst",
         ensure_checkpoint_dir(spark)
         e = e.checkpoint(eager=True)
     nodes = e.select(*g, F.col(src).alias("node")).union(e.select(*g, F.col(dst).alias("node"))).distinct()
-    n_nodes = nodes.count()
-    small = n_nodes <= max_broadcast_nodes
+    n_nodes, names = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col("node").cast("string"))), F.lit(0))).first()
+    small = n_nodes <= max_broadcast_nodes and names <= max_broadcast_names
     scores = nodes.select(*g, "node", F.lit(1.0).alias("hub"), F.lit(1.0).alias("authority"))
     e_by_src = e_by_dst = e
     if not small:
