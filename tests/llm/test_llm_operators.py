@@ -14,6 +14,7 @@ from trawl.llm import (boosted, bwt_dedup, concat_cut, ftrl, fusion, heap_bpe, l
                        projected_search, suffix_tree)
 from trawl.llm.bwt import repeated
 from trawl.llm.stats import document_stats
+from trawl.session import ensure_checkpoint_dir
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 PASSAGE = " ".join(f"shared{i} passage words" for i in range(20))
@@ -169,6 +170,23 @@ def test_tree_keeps_rare_contexts_of_a_large_corpus(spark):
         assert r.score == pytest.approx(sum(np.log10(prob(tuple(t[max(0, k - 2):k]), w)) for k, w in enumerate(t)))
 
 
+def test_tree_writes_little_beside_its_texts(spark, tmp_path):
+    """Triples seen once, nearly all of them here, aren't kept: the written tables and the shuffle files left when
+    they are made stay under four times the texts' Parquet files."""
+    from pathlib import Path
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{k:x}" for k in rng.zipf(1.3, 400) % 50_000) for _ in range(2000)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    size = lambda *tops: sum(f.stat().st_size for top in tops for f in Path(top).rglob("*") if f.is_file())
+    local = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    tops = [ensure_checkpoint_dir(spark).removeprefix("file:"), *local]
+    before = size(*tops)
+    got = suffix_tree.scores(spark.read.parquet(str(tmp_path / "docs")))
+    assert size(*tops) - before < 4 * size(tmp_path)
+    assert got.where("score > base_score").count() > 0 and got.count() == len(texts)
+
+
 def near_expected(texts):
     sets = {}
     for i, t in texts.items():

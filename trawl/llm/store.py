@@ -23,6 +23,18 @@ def persist(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def persist_alone(df: DataFrame, name: str) -> DataFrame:
+    """As ``persist``; the shuffle files of the query that made ``df`` go when it is written, so that
+    steps one after another don't add up on the executors' disks."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return persist(df, name)
+    finally:
+        conf.set(key, was)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, spread over the cores where its scan has fewer splits."""
     configure(spark)

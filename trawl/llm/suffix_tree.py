@@ -8,10 +8,13 @@ the next tokens seen at least ``LEAST`` times after it, at every size of the inp
 distribution is smoothed by absolute discounting: P(w|s) = max(c(sw) - 0.5, 0) / c(s) + back(s)
 P(w|parent(s)), which sums to one. A token is scored in the longest kept suffix of what precedes it.
 
-All levels are written tables that grow with the corpus; no table is gathered by the driver. Every token
-of every text is a row (its text, the two tokens before it, itself). Their distinct triples with the count
-in the training texts make the top level, its sums the pairs and words. Probabilities are worked out
-once per distinct pair and triple, level by level, and joined to the tokens by a shuffle.
+The corpus is tokenised once, into a written table of blocks of whole documents: the block's distinct
+words and each token's place among them. Counts and sums over the corpus come in rounds. In a round
+each block sends what it has of each key (a word, pair or triple, as one 64-bit hash) to the key's
+bucket, the bucket adds up, and the block gets back the sums of its own keys, in its own order. A
+block sends a key once, so a frequent key is a row's entry per block and no bucket outgrows its share.
+A pair is sent only if both of its words were seen ``LEAST`` times in training, a triple only if both
+of its pairs were: no other can be seen as often. No table is gathered by the driver.
 
 Defined results: a null or empty text is one end token; rows are scored one by one (repeated or
 null ids included; a null id has the fold of the empty text); other columns are ignored; without
@@ -21,20 +24,34 @@ result.
 
 from __future__ import annotations
 
+from collections.abc import Generator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.sample import fold
-from trawl.llm.store import persist
-from trawl.llm.text import U64, blocks, hashed_words
+from trawl.llm.store import persist_alone
+from trawl.llm.text import U64, blocks, hashed_words, mix, per_doc
 
 LEAST = 2
 GAIN = 12.0
 DISCOUNT = 0.5
 END = U64(0x5851F42D4C957F2D)
-_END = int(END.view(np.int64))
+#: Bytes of text in a block, and keys in a bucket at most (on average).
+BLOCK = 1 << 21
+BUCKET = 1 << 20
+#: Rounds of ``_talk``: words, then, for contexts of one and two tokens, counts and the two sums of the test.
+ROUNDS = ("word-counts", "pair-counts", "pair-parts", "pair-gains", "triple-counts", "triple-parts", "triple-gains")
+OF_WORDS = ROUNDS[0], *ROUNDS[2:4]
+
+_BLOCKS = ("block long, n_tokens long, n_words long, n_train long, doc_id array<long>, held_out array<boolean>, size array<long>, "
+           "words binary, codes binary")
+_ASKS = "bucket int, block long, keys binary, parts binary"
+_REPLIES = "block long, bucket int, n_positive long, sums binary, ids binary"
+_SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+           "score double")
 
 
 def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,71 +62,224 @@ def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, at, END), np.insert(doc, at, np.arange(n))
 
 
-def _events(rows: DataFrame) -> DataFrame:
-    """(row, doc_id, held_out, a, b, c): every token c of every text with the two before it (END where
-    there is none: an end has no successor, so it is never a context)."""
+def _blocks(rows: DataFrame) -> DataFrame:
+    """The tokenised corpus: a row for each block of whole documents."""
 
     def task(batches):
         from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 40
+        block = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lo, hi, data, off in blocks(batch.column(1)):
+            for lo, hi, data, off in blocks(batch.column(1), BLOCK):
                 tok, doc = _tokens(data, off)
-                before = []
-                for k in (2, 1):
-                    t = np.full(len(tok), END)
-                    t[k:] = np.where(doc[k:] == doc[:-k], tok[:-k], END)
-                    before.append(t)
-                at = pa.array(doc + lo)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + doc), batch.column(0).take(at), batch.column(2).take(at),
-                     *(pa.array(t.view(np.int64)) for t in (*before, tok))],
-                    ["row", "doc_id", "held_out", "a", "b", "c"])
-                row += hi - lo
-
-    return rows.mapInArrow(task, "row long, doc_id long, held_out boolean, a long, b long, c long")
-
-
-def _level(entries: DataFrame, context: list[str]) -> DataFrame:
-    """``entries`` (context, next token, t: count in training, q: probability in the parent) with q
-    replaced by the probability in the context where the divergence test keeps it."""
-    real = entries.where(F.col(context[0]) != _END)
-    seen = F.col("t") >= LEAST
-    total = real.groupBy(*context).agg(
-        F.sum("t").alias("n"), F.sum(F.when(seen, F.col("t") - DISCOUNT)).alias("part"),
-        F.sum(F.when(seen, F.col("q"))).alias("share")).where("part is not null")
-    total = total.select(*context, "n", (1 - F.col("part") / F.col("n")).alias("back"), "share")
-    p = (F.col("t") - DISCOUNT) / F.col("n") + F.col("back") * F.col("q")
-    gain = F.sum(p * F.log(p / F.col("q"))) + F.first("back") * F.greatest(1 - F.first("share"), F.lit(0.0)) \
-        * F.log(F.first("back"))
-    kept = real.where(seen).join(total, context).groupBy(*context).agg(
-        gain.alias("kl"), F.first("n").alias("n"), F.first("back").alias("back")).where(F.col("n") * F.col("kl") > GAIN)
-    kept = persist(kept.select(*context, "n", "back"), "contexts")
-    q = F.when(F.col("back").isNull(), F.col("q")).when(seen, p).otherwise(F.col("back") * F.col("q"))
-    return entries.join(kept, context, "left").withColumn("q", q).drop("n", "back")
+                words, codes = np.unique(tok, return_inverse=True)
+                held, size = batch.column(2).slice(lo, hi - lo), per_doc(hi - lo, doc)
+                one = [block, len(tok), len(words), int(size[~held.to_numpy(zero_copy_only=False)].sum()),
+                       batch.column(0).slice(lo, hi - lo).to_pylist(), held.to_pylist(), size,
+                       _ascending(words), _planes(codes.astype("<u4"))]
+                types = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())] + [pa.binary()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(one, types, strict=True)],
+                                                 [x.split()[0] for x in _BLOCKS.split(", ")])
+                block += 1
+
+    return rows.mapInArrow(task, _BLOCKS)
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of a sequence from the hash of its beginning and that of its last token."""
+    with np.errstate(over="ignore"):
+        return mix(a * U64(0x9E3779B97F4A7C15) + b)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The lowest byte of each number, then the next of each: rows of zeros, which compress, for small numbers."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _numbers(x: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind)[:, 0]
+
+
+def _ascending(keys: np.ndarray) -> bytes:
+    return _planes(np.diff(keys, prepend=U64(0)))
+
+
+def _keys(x: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(x, "<u8"), dtype=U64)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers as bytes, whole numbers in the smallest type that holds them; the first byte is its letter."""
+    whole = not (x % 1).any() and not (x < 0).any()
+    x = x.astype(np.min_scalar_type(int(x.max())) if whole else float)
+    return x.dtype.char.encode() + x.tobytes()
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, chr(x[0]), offset=1).astype(float)
+
+
+def _distinct(h: np.ndarray, *of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(distinct hashes, ascending; the place of each of ``h`` among them; what ``of`` has for each)."""
+    keys, inv = np.unique(h, return_inverse=True)
+    each = [np.zeros(len(keys), x.dtype) for x in of]
+    for x, y in zip(each, of, strict=True):
+        x[inv] = y
+    return keys, inv, *each
+
+
+def _level(keys: np.ndarray, n: np.ndarray, mine: np.ndarray, context: np.ndarray, t: np.ndarray,
+           own: np.ndarray, q: np.ndarray) -> Generator:
+    """The probabilities of entries: ``q``, those in the parent, replaced where the divergence test keeps
+    the context. ``keys``, ``n`` (hash, count in training) and ``mine`` are by context; ``context``, ``t`` (count
+    in training), ``own`` and ``q`` by entry. ``mine`` and ``own`` are true in one block of the corpus."""
+    seen = t >= LEAST
+    sums = lambda x: np.bincount(context[seen & own], x[seen & own], len(keys))
+    part, back, kept = np.zeros(len(keys)), np.ones(len(keys)), np.zeros(len(keys), bool)
+    ask = n >= LEAST
+    part[ask] = yield keys[ask], sums(2 * (t - DISCOUNT))[ask]
+    ask = part > 0
+    back[ask] = 1 - part[ask] / 2 / n[ask]
+    rest = back * np.log(back)  # of the divergence, times the share of the parent that no entry has
+    p = np.where(seen, (t - DISCOUNT) / np.maximum(n, 1)[context] + back[context] * q, q)
+    gain = n * (sums(p * np.log(p / q) - q * rest[context]) + np.where(mine, rest, 0))
+    got = yield keys[ask], gain[ask]
+    kept[ask] = got > 0
+    return np.where(kept[context], np.where(seen, p, back[context] * q), q)
+
+
+def _talk(row: dict, total: int, distinct: int) -> Generator:
+    """A block's side of the rounds: yields (hashes of distinct keys, ascending; what to add up) and is sent
+    the sums over all blocks, for a count twice the sum and 1 more if the key is this block's own (it is one
+    block's), for a gain 1 if the sum is above ``GAIN``, else 0. Returns (tokens that training has, base score,
+    score) by document."""
+    codes = _numbers(row["codes"], "<u4").astype(np.int64)
+    size = np.asarray(row["size"], np.int64)
+    doc = np.repeat(np.arange(len(size)), size)
+    train = ~np.asarray(row["held_out"], bool)[doc]
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+
+    if "words" in row:  # the first round, of which later ones have the words' ids
+        yield _keys(row["words"]), np.bincount(codes, train)
+    words = np.concatenate([_keys(x["ids"]) for x in row[ROUNDS[0]]])
+    got = np.concatenate([_unpacked(x["sums"]) for x in row[ROUNDS[0]]])
+    n, mine = got // 2, got % 2 > 0
+    root = (n + 0.5) / (total + 0.5 * (distinct + 1))
+
+    at = np.flatnonzero(place >= 1)
+    pair = np.zeros(len(doc), np.int64)
+    keys, pair[at], b, c = _distinct(_joined(words[codes[at - 1]], words[codes[at]]), codes[at - 1], codes[at])
+    got, ask = np.zeros(len(keys)), (n[b] >= LEAST) & (n[c] >= LEAST)
+    got[ask] = yield keys[ask], np.bincount(pair[at], train[at], len(keys))[ask]
+    t, own = got // 2, got % 2 > 0
+    q = yield from _level(words, n, mine, b, t, own, root[c])
+    prob = root[codes]
+    prob[at] = q[pair[at]]
+
+    at = np.flatnonzero(place >= 2)
+    at = at[t[pair[at - 1]] >= LEAST]
+    triples, inv, first, last = _distinct(_joined(keys[pair[at - 1]], words[codes[at]]), pair[at - 1], pair[at])
+    got, ask = np.zeros(len(triples)), t[last] >= LEAST
+    got[ask] = yield triples[ask], np.bincount(inv, train[at], len(triples))[ask]
+    context, of = np.unique(first, return_inverse=True)
+    prob[at] = (yield from _level(keys[context], t[context], own[context], of, got // 2, got % 2 > 0, q[last]))[inv]
+    known, base, score = (per_doc(len(size), doc, x) for x in (n[codes] > 0, np.log10(root)[codes], np.log10(prob)))
+    return known.astype(np.int64), base, score
+
+
+def _replayed(row: dict, total: int, distinct: int, rounds: int) -> tuple:
+    """What the block sends in the round after ``rounds`` (hashes, numbers), or its scores after the last."""
+    talk = _talk(row, total, distinct)
+    sent = next(talk)
+    for name in ROUNDS[1:rounds]:
+        got = [_unpacked(x["sums"]) for x in row[name] or ()]
+        try:
+            sent = talk.send(np.concatenate(got) if got else np.zeros(0))
+        except StopIteration as end:
+            return end.value
+    return sent
+
+
+def _rows(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _asks(state: DataFrame, total: int, distinct: int, rounds: int, bits: int) -> DataFrame:
+    """A row for each block and bucket (a key's first ``bits``): the block's keys there, ascending, and its part
+    of their sums."""
+
+    def task(batches):
+        for row in _rows(batches):
+            keys, parts = _replayed(row, total, distinct, rounds)
+            if not len(keys):
+                continue
+            bucket = (keys >> U64(64 - bits)).astype(np.int32) if bits else np.zeros(len(keys), np.int32)
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cuts[:-1]]), pa.array(np.full(len(spans), row["block"], np.int64)),
+                 pa.array([_ascending(keys[lo:hi]) for lo, hi in spans], pa.binary()),
+                 pa.array([_packed(parts[lo:hi]) for lo, hi in spans], pa.binary())], ["bucket", "block", "keys", "parts"])
+
+    return state.mapInArrow(task, _ASKS)
+
+
+def _replies(asks: DataFrame, name: str, bits: int) -> DataFrame:
+    """The sums of each bucket, as ``_talk`` is sent them, dealt back to the blocks that sent the keys; the
+    first block owns a key. Words also get ids in the order of their hashes, in the same buckets."""
+
+    def added(asks: pa.Table) -> pa.Table:
+        asks = asks.sort_by("block")
+        keys = [_keys(x.as_py()) for x in asks["keys"]]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, inv = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(inv, np.concatenate([_unpacked(x.as_py()) for x in asks["parts"]]), len(distinct))
+        back = (sums > GAIN if name.endswith("gains") else sums)[inv].astype(float)
+        if name.endswith("counts"):
+            first = np.zeros(len(distinct), np.int64)
+            first[inv[::-1]] = np.arange(len(inv))[::-1]
+            back *= 2
+            back[first] += 1
+            if name != ROUNDS[0]:
+                back[sums[inv] < LEAST] = 0  # as good as never seen
+        ids = inv.astype(U64)
+        if bits:
+            ids += U64(asks["bucket"][0].as_py()) << U64(64 - bits)
+        ids = [_ascending(x) for x in np.split(ids, ends[:-1])] if name == ROUNDS[0] else [None] * len(keys)
+        return pa.table([asks["block"], asks["bucket"],
+                         pa.array([int((sums > 0).sum())] + [0] * (len(keys) - 1), pa.int64()),
+                         pa.array([_packed(x) for x in np.split(back, ends[:-1])], pa.binary()),
+                         pa.array(ids, pa.binary())], ["block", "bucket", "n_positive", "sums", "ids"])
+
+    return asks.groupBy("bucket").applyInArrow(added, _REPLIES)
 
 
 def scores(docs: DataFrame, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document; the
     tree is learnt from the rows outside fold ``held_out``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold() == held_out).alias("held_out"))
-    events = _events(rows)  # made anew for the join at the end
-    triples = persist(events.groupBy("a", "b", "c").agg(
-        F.sum(F.when(F.col("held_out"), 0).otherwise(1)).alias("t")), "triples")
-    pairs = persist(triples.groupBy("b", "c").agg(F.sum("t").alias("t")), "pairs")
-    words = persist(pairs.groupBy("c").agg(F.sum("t").alias("n")), "words")
-    row = words.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    total, distinct = int(row.n or 0), int(row.v)
-    root = words.select("c", (F.col("n") > 0).cast("int").alias("known"),
-                        ((F.col("n") + 0.5) / (total + 0.5 * (distinct + 1))).alias("root"))
-    pairs = persist(_level(pairs.join(root, "c").withColumn("q", F.col("root")), ["b"]), "pair-level")
-    triples = triples.join(pairs.select("b", "c", "known", "root", "q"), ["b", "c"])
-    triples = persist(_level(triples, ["a", "b"]).select(
-        "a", "b", "c", "known", F.log10("root").alias("base"), F.log10("q").alias("tree")), "triple-level")
-    return events.join(triples, ["a", "b", "c"]).groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"),
-        F.count(F.lit(1)).alias("n_tokens"), F.sum("known").alias("n_known"),
-        F.sum("base").alias("base_score"), F.sum("tree").alias("score")).select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-        "base_score", "score")
+    state = persist_alone(_blocks(rows), "blocks")
+    row = state.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("words"), F.sum("n_train").alias("train")).first()
+    total, distinct = int(row.train or 0), 0
+    for k, name in enumerate(ROUNDS):
+        bits = (int((row.words if name in OF_WORDS else row.n) or 0) // BUCKET).bit_length()
+        replies = _replies(_asks(state, total, distinct, k, bits), name, bits)
+        replies = persist_alone(replies.groupBy("block").agg(
+            F.sum("n_positive").alias("n_positive"),
+            F.sort_array(F.collect_list(F.struct("bucket", "sums", "ids"))).alias(name)), name)
+        if not k:
+            state = state.drop("words")
+            distinct = int(replies.agg(F.sum("n_positive")).first()[0] or 0)
+        state = state.join(replies.drop("n_positive"), "block", "left")
+
+    def task(batches):
+        for row in _rows(batches):
+            known, base, score = _replayed(row, total, distinct, len(ROUNDS))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["doc_id"], pa.int64()), pa.array(row["held_out"], pa.bool_()),
+                 pa.array(row["size"], pa.int64()), pa.array(known), pa.array(np.full(len(known), total)),
+                 pa.array(base), pa.array(score)], [x.split()[0] for x in _SCORES.split(", ")])
+
+    return state.mapInArrow(task, _SCORES)
