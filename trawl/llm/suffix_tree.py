@@ -137,20 +137,20 @@ def _level(keys: np.ndarray, n: np.ndarray, mine: np.ndarray, context: np.ndarra
     sums = lambda x: np.bincount(context[seen & own], x[seen & own], len(keys))
     part, back, kept = np.zeros(len(keys)), np.ones(len(keys)), np.zeros(len(keys), bool)
     ask = n >= LEAST
-    part[ask] = yield keys[ask], sums(2 * (t - DISCOUNT))[ask]
-    ask = part > 0
-    back[ask] = 1 - part[ask] / 2 / n[ask]
+    part[ask] = yield lambda: (keys[ask], sums(2 * (t - DISCOUNT))[ask])
+    more = part > 0
+    back[more] = 1 - part[more] / 2 / n[more]
     rest = back * np.log(back)  # of the divergence, times the share of the parent that no entry has
     p = np.where(seen, (t - DISCOUNT) / np.maximum(n, 1)[context] + back[context] * q, q)
-    gain = n * (sums(p * np.log(p / q) - q * rest[context]) + np.where(mine, rest, 0))
-    got = yield keys[ask], gain[ask]
-    kept[ask] = got > 0
+    gain = lambda: n * (sums(p * np.log(p / q) - q * rest[context]) + np.where(mine, rest, 0))
+    got = yield lambda: (keys[more], gain()[more])
+    kept[more] = got > 0
     return np.where(kept[context], np.where(seen, p, back[context] * q), q)
 
 
 def _talk(row: dict, total: int, distinct: int) -> Generator:
-    """A block's side of the rounds: yields (hashes of distinct keys, ascending; what to add up) and is sent
-    the sums over all blocks, for a count twice the sum and 1 more if the key is this block's own (it is one
+    """A block's side of the rounds: yields a function for (hashes of distinct keys, ascending; what to add up) and
+    is sent the sums over all blocks, for a count twice the sum and 1 more if the key is this block's own (it is one
     block's), for a gain 1 if the sum is above ``GAIN``, else 0. Returns (tokens that training has, base score,
     score) by document."""
     codes = _numbers(row["codes"], "<u4").astype(np.int64)
@@ -160,27 +160,27 @@ def _talk(row: dict, total: int, distinct: int) -> Generator:
     place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
 
     if "words" in row:  # the first round, of which later ones have the words' ids
-        yield _keys(row["words"]), np.bincount(codes, train)
+        yield lambda: (_keys(row["words"]), np.bincount(codes, train))
     words = np.concatenate([_keys(x["ids"]) for x in row[ROUNDS[0]]])
     got = np.concatenate([_unpacked(x["sums"]) for x in row[ROUNDS[0]]])
     n, mine = got // 2, got % 2 > 0
     root = (n + 0.5) / (total + 0.5 * (distinct + 1))
 
-    at = np.flatnonzero(place >= 1)
+    two = np.flatnonzero(place >= 1)
     pair = np.zeros(len(doc), np.int64)
-    keys, pair[at], b, c = _distinct(_joined(words[codes[at - 1]], words[codes[at]]), codes[at - 1], codes[at])
-    got, ask = np.zeros(len(keys)), (n[b] >= LEAST) & (n[c] >= LEAST)
-    got[ask] = yield keys[ask], np.bincount(pair[at], train[at], len(keys))[ask]
+    keys, pair[two], b, c = _distinct(_joined(words[codes[two - 1]], words[codes[two]]), codes[two - 1], codes[two])
+    got, of_pairs = np.zeros(len(keys)), (n[b] >= LEAST) & (n[c] >= LEAST)
+    got[of_pairs] = yield lambda: (keys[of_pairs], np.bincount(pair[two], train[two], len(keys))[of_pairs])
     t, own = got // 2, got % 2 > 0
     q = yield from _level(words, n, mine, b, t, own, root[c])
     prob = root[codes]
-    prob[at] = q[pair[at]]
+    prob[two] = q[pair[two]]
 
     at = np.flatnonzero(place >= 2)
     at = at[t[pair[at - 1]] >= LEAST]
     triples, inv, first, last = _distinct(_joined(keys[pair[at - 1]], words[codes[at]]), pair[at - 1], pair[at])
-    got, ask = np.zeros(len(triples)), t[last] >= LEAST
-    got[ask] = yield triples[ask], np.bincount(inv, train[at], len(triples))[ask]
+    got, of_triples = np.zeros(len(triples)), t[last] >= LEAST
+    got[of_triples] = yield lambda: (triples[of_triples], np.bincount(inv, train[at], len(triples))[of_triples])
     context, of = np.unique(first, return_inverse=True)
     prob[at] = (yield from _level(keys[context], t[context], own[context], of, got // 2, got % 2 > 0, q[last]))[inv]
     known, base, score = (per_doc(len(size), doc, x) for x in (n[codes] > 0, np.log10(root)[codes], np.log10(prob)))
@@ -197,7 +197,7 @@ def _replayed(row: dict, total: int, distinct: int, rounds: int) -> tuple:
             sent = talk.send(np.concatenate(got) if got else np.zeros(0))
         except StopIteration as end:
             return end.value
-    return sent
+    return sent()
 
 
 def _rows(batches):
